@@ -100,7 +100,7 @@ def ffill(df: DataFrame, part: list[str], order, value: Column, out: str, chunk:
     if chunk is None:
         return rows.withColumn(out, F.col("_in")).drop("_in", "_v", CHUNK)
     last_of_chunk = dedup_latest(base.filter(F.col("_v").isNotNull()), [*part, CHUNK], _reverse(order))
-    spine = base.groupBy(*part, CHUNK).agg(F.lit(1).alias("_one"))
+    spine = base.select(*part, CHUNK).distinct()
     tails = last_of_chunk.select(*[F.col(k).alias(f"_k_{k}") for k in [*part, CHUNK]], F.col("_v").alias("_tail"))
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in [*part, CHUNK]])
     outer = Window.partitionBy(*part).orderBy(CHUNK).rowsBetween(UNBOUNDED, -1)
@@ -125,7 +125,7 @@ def bfill(df: DataFrame, part: list[str], order, value: Column, out: str, chunk:
     if chunk is None:
         return rows.withColumn(out, F.col("_in")).drop("_in", "_v", CHUNK)
     head_rows = dedup_latest(base.filter(F.col("_v").isNotNull()), [*part, CHUNK], order)
-    spine = base.groupBy(*part, CHUNK).agg(F.lit(1).alias("_one"))
+    spine = base.select(*part, CHUNK).distinct()
     heads = head_rows.select(*[F.col(k).alias(f"_k_{k}") for k in [*part, CHUNK]], F.col("_v").alias("_head"))
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in [*part, CHUNK]])
     outer = Window.partitionBy(*part).orderBy(CHUNK).rowsBetween(1, Window.unboundedFollowing)
