@@ -126,14 +126,15 @@ def packet_slice(payload, fields: dict[str, tuple[int, int]]) -> dict[str, Colum
     return {name: F.substring(body, at + 1, size) for name, (at, size) in fields.items()}
 
 
-def dynamic_array(words, head: int, width: int = 1) -> Column:
-    """ABI dynamic array: the head word holds the byte offset of a count followed by its elements.
+def dynamic_array(words, head: int, width: int = 1, base: int = 0) -> Column:
+    """ABI dynamic array: the head word holds the byte offset, counted from word `base`, of a count followed
+    by its elements.
 
     Returns array<array<string>>: `width` words per element. The guard keeps an empty list empty;
     sequence() would otherwise count downwards.
     """
     w = _col(words)
-    at = (hex_to_number(word(w, head)) / 32).cast("int")
+    at = (hex_to_number(word(w, head)) / 32).cast("int") + base
     count = hex_to_number(F.get(w, at)).cast("int")
     index = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
     return F.transform(index, lambda i: F.slice(w, at + 2 + i * width, F.lit(width)))

@@ -49,32 +49,73 @@ def json_items(df: DataFrame, col: str, as_type: str = "array<string>", **kw) ->
     return flatten(df, F.from_json(F.col(col), as_type), **kw)
 
 
-def flatten_tree(df: DataFrame, payload: str, children: str, depth: int, node_fields: dict[str, str], root: str = "ORIGIN") -> DataFrame:
+def flatten_tree(df: DataFrame, payload: str, children: str, depth: int, node_fields: dict[str, str], root: str = "ORIGIN", node: str | None = None) -> DataFrame:
     """Nested nodes of a JSON tree to one row per node with its path and its parent's path.
 
     The levels are built as array columns next to each other and exploded once: one scan, one parse, no
     shuffle, and the working set is the one payload already in the row. `depth` bounds the unrolled
-    levels; a tree that goes deeper raises an error rather than losing nodes.
+    levels; a tree that goes deeper raises an error rather than losing nodes. See flatten_tree_any().
 
-    node_fields: output column → field of the node (read as text).
+    node_fields: output column → field of the node (read as text). `node` names a column for the node
+    itself without its children.
     """
+    nodes, levels = _tree_levels(df, payload, children, depth, root)
+    deeper = F.exists(f"_l{depth}", lambda n: _has_kids(n, children))
+    guarded = F.when(deeper, F.raise_error(F.lit(f"tree deeper than {depth} levels")).cast(nodes.select(levels.alias("x")).schema["x"].dataType)).otherwise(levels)
+    return _tree_rows(df, nodes.withColumn("_n", F.explode(guarded)), payload, children, node_fields, node)
+
+
+def flatten_tree_any(df: DataFrame, payload: str, children: str, node_fields: dict[str, str], root: str = "ORIGIN", node: str | None = None, step: int = 8) -> DataFrame:
+    """The same for trees of any depth. Each round unrolls `step` levels; the few nodes with children below
+    them are written as the next round's input, until none are left. `df` should be a table on storage, as
+    it is read twice."""
+    from ..session import staged
+
     base = [c for c in df.columns if c != payload]
+    work, out = df, None
+    while True:
+        nodes, levels = _tree_levels(work, payload, children, step, root)
+        rows = _tree_rows(df, nodes.withColumn("_n", F.explode(levels)), payload, children, node_fields, node)
+        if work is not df:
+            # the first node of each round was emitted by the round before
+            rows = rows.join(work.select(*base, F.col("_path").alias("trace_address")), [*base, "trace_address"], "left_anti")
+        out = rows if out is None else out.unionByName(rows)
+        bottom = nodes.select(*base, F.explode(f"_l{step}").alias("_n")).filter(_has_kids(F.col("_n"), children))
+        rest = bottom.select(*base, F.to_json("_n.node").alias(payload), F.col("_n.path").alias("_path"), F.col("_n.parent").alias("_parent"))
+        work = staged(rest, "tree")
+        if work.isEmpty():
+            return out
+
+
+def _has_kids(n, children: str) -> Column:
+    return F.try_variant_get(n["node"], f"$.{children}[0]", "variant").isNotNull()
+
+
+def _tree_levels(df: DataFrame, payload: str, children: str, depth: int, root: str) -> tuple[DataFrame, Column]:
+    """Array columns _l0 … _l<depth> of struct(path, parent, node), and all of them as one array."""
+    base = [c for c in df.columns if c not in (payload, "_path", "_parent")]
+    resumed = "_path" in df.columns
     no_kids = F.array().cast("array<variant>")
 
     def kids_of(n):
         prefix = F.when(n["path"] == root, F.lit("")).otherwise(F.concat(n["path"], F.lit("_")))
         kids = F.coalesce(F.try_variant_get(n["node"], f"$.{children}", "array<variant>"), no_kids)
-        return F.transform(kids, lambda k, i: F.struct(
-            F.concat(prefix, i.cast("string")).alias("path"), n["path"].alias("parent"), k.alias("node")))
+        return F.transform(kids, lambda k, i: F.struct(F.concat(prefix, i.cast("string")).alias("path"), n["path"].alias("parent"), k.alias("node")))
 
-    top = F.struct(F.lit(root).alias("path"), F.lit(None).cast("string").alias("parent"), F.col("_node").alias("node"))
+    path = F.col("_path") if resumed else F.lit(root)
+    parent = F.col("_parent") if resumed else F.lit(None).cast("string")
+    top = F.struct(path.alias("path"), parent.alias("parent"), F.col("_node").alias("node"))
     out = df.withColumn("_node", F.try_parse_json(F.col(payload))).filter(F.col("_node").isNotNull())
     out = out.select(*base, F.array(top).alias("_l0"))
     for d in range(depth):
         out = out.withColumn(f"_l{d + 1}", F.flatten(F.transform(f"_l{d}", kids_of)))
-    deeper = F.exists(f"_l{depth}", lambda n: F.try_variant_get(n["node"], f"$.{children}[0]", "variant").isNotNull())
-    levels = F.concat(*[F.col(f"_l{d}") for d in range(depth + 1)])
-    nodes = F.when(deeper, F.raise_error(F.lit(f"tree deeper than {depth} levels")).cast(out.select(levels.alias("x")).schema["x"].dataType)).otherwise(levels)
+    return out, F.concat(*[F.col(f"_l{d}") for d in range(depth + 1)])
+
+
+def _tree_rows(df: DataFrame, exploded: DataFrame, payload: str, children: str, node_fields: dict[str, str], node: str | None) -> DataFrame:
+    base = [c for c in df.columns if c != payload]
     fields = [F.try_variant_get("_n.node", f"$.{f}", "string").alias(n) for n, f in node_fields.items()]
-    return out.select(*base, F.explode(nodes).alias("_n")).select(
-        *base, F.col("_n.path").alias("trace_address"), F.col("_n.parent").alias("parent_address"), *fields)
+    if node:
+        plain = F.map_filter(F.try_variant_get("_n.node", "$", "map<string,variant>"), lambda k, _v: k != children)
+        fields.append(F.to_json(plain).alias(node))
+    return exploded.select(*base, F.col("_n.path").alias("trace_address"), F.col("_n.parent").alias("parent_address"), *fields)
