@@ -57,8 +57,9 @@ def compare(spark, con, folder: str, name: str):
         if a and b and a != b:
             return f"{c}: types {a} != {b}"
     if got != want:
-        only_got = [r for r in got if r not in set(want)][:3]
-        only_want = [r for r in want if r not in set(got)][:3]
+        have, expected = set(got), set(want)
+        only_got = [r for r in got if r not in expected][:3]
+        only_want = [r for r in want if r not in have][:3]
         return f"rows {len(got)} != {len(want)}; ours {only_got} theirs {only_want}"
     return None if got else "EMPTY"
 

@@ -64,7 +64,8 @@ def either_key(left: DataFrame, right: DataFrame, pairs: list[tuple[Column, Colu
 
 
 def contains_any(df: DataFrame, text: str, patterns: DataFrame, pattern: str, carry: list[str] = (), limit: int = 2000) -> DataFrame:
-    """Case-blind substring join: one row per (row, pattern found in its text).
+    """Case-blind substring join: one row per (row, pattern found in its text). Patterns are plain text, not
+    wildcards.
 
     Up to `limit` patterns travel as one literal array and every row is tested in place, without a join
     or a shuffle. Beyond that, rows are cut into pieces as long as the shortest pattern, joined on the

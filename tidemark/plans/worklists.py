@@ -6,12 +6,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.common import greatest_strict, newest, part
+from ..functions.common import greatest_strict, newest, oldest, part
 from ..operators import increments as inc
 from ..operators.joins import in_interval, pages
 from ..operators.rows import flatten, json_project
 from ..operators.sets import missing
-from ..operators.windows import dedup_latest, first_seen, mod_batches, nth_latest
+from ..operators.windows import dedup_latest, mod_batches, nth_latest
 from ..sources.files import number_sequence
 from .audit import keyed
 from .evm import values as V
@@ -104,8 +104,8 @@ def evm_addresses(txs: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     rows = txs.select(F.col("from_address").alias("evm_address"), F.col("block_timestamp").alias("block_timestamp_associated"), F.col("block_number").alias("block_id_associated"))
     if stored is not None:
         rows = rows.unionByName(stored.select(*rows.columns))
-    cols = ["block_timestamp_associated", "block_id_associated"]
-    return keyed(first_seen(rows.filter(F.col("evm_address").isNotNull()), ["evm_address"], cols, cols), "evm_addresses_id", "evm_address")
+    order = [oldest("block_timestamp_associated"), oldest("block_id_associated")]
+    return keyed(dedup_latest(rows.filter(F.col("evm_address").isNotNull()), ["evm_address"], order), "evm_addresses_id", "evm_address")
 
 
 # --- cut-offs ---------------------------------------------------------------------------------------

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import common as c
 from ..operators import aggregates as agg
 from ..operators import increments as inc
 from ..operators import joins

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import joins, windows
-from ..sources import files
 from .base import day_no, query
 
 

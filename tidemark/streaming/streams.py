@@ -11,8 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.common import newest
-from ..operators.increments import late_parent, merge_upsert, upsert_partitions, write_partitions
+from ..operators.increments import late_parent, upsert_partitions, write_partitions
 from ..operators.windows import dedup_latest, running_sum
 from ..session import scratch_path
 
