@@ -18,7 +18,8 @@ def _lit_dec(n: int) -> Column:
 
 
 def strip_0x(c) -> Column:
-    return F.regexp_replace(F.lower(_col(c)), "^0x", "")
+    c = _col(c)
+    return F.when(c.startswith("0x") | c.startswith("0X"), F.substr(c, F.lit(3))).otherwise(c)
 
 
 def hex_words(c, size: int = 64) -> Column:
@@ -31,38 +32,41 @@ def word(words, i: int) -> Column:
     return F.get(_col(words), F.lit(i))
 
 
-def _limb(padded: Column, start: int, size: int) -> Column:
-    return F.conv(F.substring(padded, start, size), 16, 10).cast("decimal(38,0)")
+_ZEROS = "0" * 64
 
 
-def _padded(c) -> Column:
-    return F.lpad(strip_0x(c), 64, "0")
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once, where it would otherwise be repeated in the expression."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _is_hex(c) -> Column:
-    return _col(c).rlike("^(0[xX])?[0-9a-fA-F]{1,64}$")
+def _with_padded(c, body) -> Column:
+    """body(the 64 digits of a hex text); NULL when the text is no hex of at most 32 bytes."""
+    digits = F.regexp_extract(_col(c), "^(?:0[xX])?([0-9a-fA-F]{1,64})$", 1)
+    return let(digits, lambda d: F.when(d != "", let(F.lpad(d, 64, "0"), body)))
 
 
-def hex_to_number(c) -> Column:
-    """Unsigned hex to decimal(38,0); NULL when it is not hex or does not fit."""
-    h = _padded(c)
-    low, mid, high = _limb(h, 50, 15), _limb(h, 35, 15), _limb(h, 20, 15)
-    # cast before the product: 2^120 * limb may exceed 38 digits and must give NULL
-    top = F.try_multiply(high, _lit_dec(2**120))
-    value = F.try_add(F.try_add(F.try_multiply(mid, _lit_dec(2**60)), low), top)
-    return F.when(_is_hex(c) & F.substring(h, 1, 19).rlike("^0*$"), value.cast("decimal(38,0)"))
+def _limb(h: Column, start: int, size: int) -> Column:
+    return F.conv(F.substring(h, start, size), 16, 10).cast("decimal(38,0)")
 
 
-def hex_to_text_number(c) -> Column:
-    """Unsigned hex to exact decimal text, up to 78 digits.
+def _zero_head(h: Column, n: int) -> Column:
+    return F.left(h, F.lit(n)) == _ZEROS[:n]
 
-    Short values go through decimal(38,0). Long ones run Horner's rule over 60-bit limbs, carrying
-    19 decimal digits per position, which keeps every product inside 38 digits.
-    """
-    h = _padded(c)
+
+def _number(h: Column) -> Column:
+    """64 digits to decimal(38,0). Values under 2^60, nearly all in practice, take one conversion."""
+    low, mid, high = _limb(h, 50, 15), _limb(h, 35, 15), _limb(h, 20, 15)
+    # 2^120 * limb may exceed 38 digits and must give NULL
+    wide = F.try_add(F.try_add(F.try_multiply(mid, _lit_dec(2**60)), low), F.try_multiply(high, _lit_dec(2**120)))
+    return F.when(_zero_head(h, 49), low).when(_zero_head(h, 19), wide.cast("decimal(38,0)"))
+
+
+def _long_text(h: Column) -> Column:
+    """64 digits to decimal text by Horner's rule over 60-bit limbs, carrying 19 decimal digits per
+    position, which keeps every product inside 38 digits."""
     limbs = F.array(*[_limb(h, s, n) for s, n in ((1, 4), (5, 15), (20, 15), (35, 15), (50, 15))])
-    zero = F.lit(0).cast("decimal(38,0)")
-    start = F.array(*[zero] * 5)
+    start = F.array(*[_lit_dec(0)] * 5)
     base, digit = _lit_dec(2**60), _lit_dec(_DIGIT)
 
     def step(acc, limb):
@@ -70,27 +74,36 @@ def hex_to_text_number(c) -> Column:
         for i in range(5):
             total = (F.get(acc, F.lit(i)) * base + carry).cast("decimal(38,0)")
             out.append((total % digit).cast("decimal(38,0)"))
-            carry = F.floor((total - total % digit) / digit).cast("decimal(38,0)")
+            # used once per position, so the expression grows with the square of the positions only
+            carry = F.call_function("div", total, digit).cast("decimal(38,0)")
         return F.array(*out)
 
     def as_text(acc):
         joined = F.concat(*[F.lpad(F.get(acc, F.lit(i)).cast("string"), 19, "0") for i in (4, 3, 2, 1, 0)])
-        return F.coalesce(F.nullif(F.regexp_replace(joined, "^0+", ""), F.lit("")), F.lit("0"))
+        return F.regexp_replace(joined, "^0+", "")
 
-    long_form = F.aggregate(limbs, start, step, as_text)
-    short = F.substring(h, 1, 33).rlike("^0*$")
-    return F.when(_is_hex(c), F.when(short, hex_to_number(c).cast("string")).otherwise(long_form))
+    return F.aggregate(limbs, start, step, as_text)
 
 
-def _complement(c) -> Column:
-    return F.translate(_padded(c), "0123456789abcdef", "fedcba9876543210")
+def hex_to_number(c) -> Column:
+    """Unsigned hex to decimal(38,0); NULL when it is not hex or does not fit."""
+    return _with_padded(c, _number)
+
+
+def hex_to_text_number(c) -> Column:
+    """Unsigned hex to exact decimal text, up to 78 digits."""
+    return _with_padded(c, lambda h: F.when(_zero_head(h, 33), _number(h).cast("string")).otherwise(_long_text(h)))
 
 
 def signed_hex_to_number(c) -> Column:
     """Two's complement 256-bit word to decimal(38,0); NULL when it does not fit."""
-    negative = F.substring(_padded(c), 1, 1).rlike("[89a-f]")
-    minus = F.try_subtract(F.lit(-1).cast("decimal(38,0)"), hex_to_number(_complement(c)))
-    return F.when(_is_hex(c), F.when(negative, minus.cast("decimal(38,0)")).otherwise(hex_to_number(c)))
+
+    def signed(h):
+        flipped = F.translate(h, "0123456789abcdefABCDEF", "fedcba9876543210543210")
+        minus = F.try_subtract(_lit_dec(-1), let(flipped, _number)).cast("decimal(38,0)")
+        return F.when(F.substring(h, 1, 1) >= "8", minus).otherwise(_number(h))
+
+    return _with_padded(c, signed)
 
 
 def number_to_hex(c) -> Column:
@@ -134,7 +147,14 @@ def dynamic_array(words, head: int, width: int = 1, base: int = 0) -> Column:
     sequence() would otherwise count downwards.
     """
     w = _col(words)
-    at = (hex_to_number(word(w, head)) / 32).cast("int") + base
-    count = hex_to_number(F.get(w, at)).cast("int")
-    index = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(index, lambda i: F.slice(w, at + 2 + i * width, F.lit(width)))
+    none = F.array().cast("array<array<string>>")
+
+    def as_int(word_text):
+        return let(word_text, lambda x: hex_to_number(x).cast("int"))
+
+    def elements(at, count):
+        items = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.slice(w, at + 2 + i * width, F.lit(width)))
+        return F.when(count > 0, items).otherwise(none)
+
+    at_word = (as_int(word(w, head)) / 32).cast("int") + base
+    return let(at_word, lambda at: let(as_int(F.get(w, at)), lambda count: elements(at, count)))

@@ -110,6 +110,15 @@ def inside_flagged(nodes: DataFrame, part: list[str], address: str, flagged: Col
     return nodes.join(hit, [*part, address], "left").withColumn(out, F.coalesce("_h", F.lit(False))).drop("_h")
 
 
+def inside_flagged_payload(nodes: DataFrame, part: list[str], address: str, flagged: Column, out: str, root: str = "ORIGIN") -> DataFrame:
+    """The same for groups that came out of one payload row each. The group's few flagged addresses travel
+    as one list, so the nodes take part in a single join on the group."""
+    bad = nodes.filter(flagged).groupBy(*part).agg(F.collect_set(address).alias("_bad"))
+    hit = F.exists(path_prefixes(F.col(address), root=root), lambda p: F.array_contains("_bad", p))
+    joined = nodes.join(bad, part, "left")
+    return joined.withColumn(out, F.when(F.col("_bad").isNull(), F.lit(False)).otherwise(hit)).drop("_bad")
+
+
 def many_roles(rows: DataFrame, keys: list[str], tokens: Column, dim: DataFrame, dim_key: str, attrs: list[str]) -> DataFrame:
     """Look up one dimension for every entry of a short list column and return one map per attribute.
 

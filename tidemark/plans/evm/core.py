@@ -8,7 +8,7 @@ from ...functions.common import greatest_strict, newest
 from ...functions.hexwords import decimal_adjust, hex_to_number, hex_to_text, hex_to_text_number, hex_words, topic_address, word
 from ...operators import increments as inc
 from ...operators.aggregates import merge_totals
-from ...operators.joins import inside_flagged
+from ...operators.joins import inside_flagged_payload
 from ...operators.rows import flatten, flatten_tree_any
 from ...operators.sets import union_all
 from ...operators.windows import dedup_latest
@@ -215,7 +215,7 @@ def fact_traces(nodes: DataFrame, txs: DataFrame) -> DataFrame:
     """Calls in order, typed, failed when they or a call above them carry an error."""
     rows = _variant(order_traces(nodes), "trace_json").withColumn("error_reason", _text("error"))
     key = ["block_number", "tx_hash"]
-    rows = inside_flagged(rows, key, "trace_address", F.col("error_reason").isNotNull(), "_failed")
+    rows = inside_flagged_payload(rows, key, "trace_address", F.col("error_reason").isNotNull(), "_failed")
     raw_value = F.coalesce(hex_to_text_number(_text("value")), F.lit("0"))
     typed = rows.withColumn("value_precise_raw", raw_value).select(
         *key, "trace_address", "trace_index", "sub_traces", "error_reason", _text("revertReason").alias("revert_reason"), _text("from").alias("from_address"), _text("to").alias("to_address"),

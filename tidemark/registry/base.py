@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import spread, staged
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -18,6 +20,13 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
+
+    def table(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A table between two jobs of one query, written once: jobs hand over stored tables."""
+        if name not in self._tables:
+            self._tables[name] = staged(make(), name)
+        return self._tables[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
@@ -61,7 +70,7 @@ class Tables:
         """Two 32-byte words per line: the part key and the quantity."""
         def w(c):
             return F.lpad(F.lower(F.hex(c)), 64, "0")
-        return self.lineitem.select(
+        return spread(self.lineitem).select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
             F.concat(F.lit("0x"), w(F.col("l_partkey")), w(F.col("l_quantity").cast("bigint"))).alias("data"))
 

@@ -95,23 +95,32 @@ def raw_traces(t) -> DataFrame:
 
 
 def blocks(t):
-    return core.fact_blocks(core.latest_blocks(raw_blocks(t)))
+    return t.table("blocks", lambda: core.fact_blocks(core.latest_blocks(t.table("raw_blocks", lambda: raw_blocks(t)))))
 
 
 def receipts(t):
-    return core.latest_receipts(raw_receipts(t))
+    return t.table("receipts", lambda: core.latest_receipts(t.table("raw_receipts", lambda: raw_receipts(t))))
 
 
-def transactions(t, with_blocks=None):
-    return core.fact_transactions(core.latest_transactions(raw_transactions(t)), blocks(t) if with_blocks is None else with_blocks, receipts(t))
+def latest_transactions(t):
+    return t.table("latest_transactions", lambda: core.latest_transactions(t.table("raw_transactions", lambda: raw_transactions(t))))
+
+
+def transactions(t):
+    return t.table("transactions", lambda: core.fact_transactions(latest_transactions(t), blocks(t), receipts(t)))
+
+
+def early_transactions(t):
+    """Transactions as stored while the blocks from number 2500 on were missing."""
+    return t.table("early_transactions", lambda: core.fact_transactions(latest_transactions(t), blocks(t).filter("block_number < 2500"), receipts(t)))
 
 
 def logs(t):
-    return core.fact_event_logs(receipts(t), transactions(t))
+    return t.table("logs", lambda: core.fact_event_logs(receipts(t), transactions(t)))
 
 
 def traces(t):
-    return core.fact_traces(core.traces(raw_traces(t)), transactions(t))
+    return t.table("traces", lambda: core.fact_traces(core.traces(t.table("raw_traces", lambda: raw_traces(t))), transactions(t)))
 
 
 def contracts(t):
@@ -123,11 +132,11 @@ def contracts(t):
 
 def prices(t):
     """Token prices for the days the token shipped with a discount over 2 %, and a coin price per order day.
-    Sevenths keep products off the rounding ties on which engines differ."""
+    An odd divisor keeps products off the rounding ties on which engines differ."""
     shipped = t.lineitem.filter("l_discount > 0.02").select("l_partkey", F.col("l_shipdate").alias("hour")).distinct()
     token = shipped.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
-        "hour", address("l_partkey").alias("token_address"), (F.col("p_retailprice") / 7).alias("price"), (F.col("p_size") > 25).alias("is_verified"), F.lit(False).alias("is_native"))
-    coin = t.orders.groupBy(F.col("o_orderdate").alias("hour")).agg((F.max("o_totalprice") / 7).alias("price")).select("hour", F.lit("coin").alias("token_address"), "price", F.lit(True).alias("is_verified"), F.lit(True).alias("is_native"))
+        "hour", address("l_partkey").alias("token_address"), (F.col("p_retailprice") / 3.14159).alias("price"), (F.col("p_size") > 25).alias("is_verified"), F.lit(False).alias("is_native"))
+    coin = t.orders.groupBy(F.col("o_orderdate").alias("hour")).agg((F.max("o_totalprice") / 3.14159).alias("price")).select("hour", F.lit("coin").alias("token_address"), "price", F.lit(True).alias("is_verified"), F.lit(True).alias("is_native"))
     return token.unionByName(coin)
 
 
@@ -136,8 +145,8 @@ VIEWS.update({
         from (select distinct l_orderkey, cast(l_linenumber as bigint) as l_linenumber, l_partkey, l_suppkey, cast(l_quantity as bigint) as qty, cast(round(l_extendedprice * 100) as bigint) as cents, cast(round(l_discount * 100) as bigint) as disc,
         cast(round(l_tax * 100) as bigint) as tax, l_returnflag, l_linestatus, l_shipdate as ts, date_diff('day', date '1992-01-01', cast(l_shipdate as date)) as block_number from lineitem))""",
     "e_contract": """select '0x' || lpad(lower(to_hex(p_partkey)), 40, '0') as address, p_partkey, p_brand as symbol, case when p_type <> 'SMALL' then p_name end as name, case when p_size > 10 then p_size % 10 end as decimals from part""",
-    "e_price": """select distinct l_shipdate as hour, l_partkey, p_retailprice / 7 as price, p_size > 25 as is_verified from lineitem join part on l_partkey = p_partkey where l_discount > 0.02""",
-    "e_coin": "select o_orderdate as hour, max(o_totalprice) / 7 as price from orders group by 1",
+    "e_price": """select distinct l_shipdate as hour, l_partkey, p_retailprice / 3.14159 as price, p_size > 25 as is_verified from lineitem join part on l_partkey = p_partkey where l_discount > 0.02""",
+    "e_coin": "select o_orderdate as hour, max(o_totalprice) / 3.14159 as price from orders group by 1",
 })
 
 
@@ -162,10 +171,8 @@ def q_transactions(t):
 
 @query("evm_heal_transactions", f"""select tx_hash, {_TS}, l_returnflag <> 'R' as tx_succeeded from e_line where block_number >= 2500""")
 def q_heal_transactions(t):
-    """Blocks from number 2500 on arrived late; their transactions get their time in a second run."""
-    all_blocks = blocks(t)
-    stored = transactions(t, all_blocks.filter("block_number < 2500"))
-    return core.heal_transactions(stored, all_blocks, receipts(t)).select("tx_hash", "block_timestamp", "tx_succeeded")
+    """The blocks arrive; waiting transactions get their time in a second run."""
+    return core.heal_transactions(early_transactions(t), blocks(t), receipts(t)).select("tx_hash", "block_timestamp", "tx_succeeded")
 
 
 VIEWS["e_log"] = f"""select *, 0 as event_index, {addr('l_partkey')} as contract_address from e_line union all select *, 1, case when l_linestatus = 'O' then {addr('l_suppkey')} else {addr('l_orderkey')} end from e_line"""
@@ -179,9 +186,8 @@ def q_logs(t):
 
 @query("evm_heal_event_logs", f"select tx_hash, event_index, {_TS} from e_log where block_number >= 2500")
 def q_heal_logs(t):
-    all_blocks = blocks(t)
-    old = core.fact_event_logs(receipts(t), transactions(t, all_blocks.filter("block_number < 2500")))
-    return core.heal_event_logs(old, transactions(t, all_blocks)).select("tx_hash", "event_index", "block_timestamp")
+    old = core.fact_event_logs(receipts(t), early_transactions(t))
+    return core.heal_event_logs(old, transactions(t)).select("tx_hash", "event_index", "block_timestamp")
 
 
 VIEWS["e_trace"] = f"""select tx_hash, block_number, ts, l_returnflag, l_linestatus, l_orderkey, l_linenumber, l_partkey, l_suppkey, tax, 'ORIGIN' as trace_address, 0 as trace_index, 1 as sub_traces, 'CALL' as type, {addr('l_suppkey')} as from_address, {addr('l_orderkey')} as to_address, qty / 1000.0 as value, l_returnflag <> 'R' as trace_succeeded from e_line

@@ -25,6 +25,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf) -> S
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in settings.items():
@@ -57,3 +58,10 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly row work on an input of few splits; an input with enough of them is left
+    alone, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
