@@ -73,7 +73,9 @@ def tx_caller(attrs: DataFrame, name: str = "tx_caller_address") -> DataFrame:
 
 
 def fee_payer(attrs: DataFrame, name: str = "tx_fee_payer") -> DataFrame:
-    return attrs.filter(has("tx", "fee_payer")).select("tx_id", F.col("attribute_value").alias(name))
+    """First fee payer of each transaction, so that a swap stays one row."""
+    first = dedup_latest(attrs.filter(has("tx", "fee_payer")), ["tx_id"], _first_order(attrs))
+    return first.select("tx_id", F.col("attribute_value").alias(name))
 
 
 def groups_calling(attrs: DataFrame, contracts: DataFrame, keys: list[str] = GROUP, msg_type: str = "execute", contract: str = "contract_address") -> DataFrame:

@@ -40,17 +40,18 @@ def event_attributes():
 MSG_TYPES = {"click": "message", "view": "message", "purchase": "transfer", "signup": "tx", "error": "signer"}
 
 
-def message_type():
+def message_type(types=None):
     out = F.lit(None).cast("string")
-    for event, kind in MSG_TYPES.items():
+    for event, kind in (types or MSG_TYPES).items():
         out = F.when(F.col("event_type") == event, F.lit(kind)).otherwise(out)
     return out
 
 
-def raw_transactions(t) -> DataFrame:
-    """One JSON payload per transaction."""
-    coded = F.transform(event_attributes(), lambda a: F.struct(F.base64(a["key"]).alias("key"), F.base64(a["value"]).alias("value")))
-    event = F.struct((F.col("event_id") % 10).alias("i"), message_type().alias("type"), coded.alias("attributes"))
+def raw_transactions(t, kind=None, attrs=None) -> DataFrame:
+    """One JSON payload per transaction; `kind` and `attrs` give other meanings to the event types."""
+    kind = message_type() if kind is None else kind
+    coded = F.transform(event_attributes() if attrs is None else attrs, lambda a: F.struct(F.base64(a["key"]).alias("key"), F.base64(a["value"]).alias("value")))
+    event = F.struct((F.col("event_id") % 10).alias("i"), kind.alias("type"), coded.alias("attributes"))
     txs = t.events.groupBy(F.concat(F.lit("T"), F.expr("cast(event_id div 10 as string)")).alias("hash")).agg(
         F.min("ts").alias("first_ts"), F.max("ts").alias("_inserted_timestamp"), F.count_if(F.col("event_type") == "error").alias("errors"),
         F.array_sort(F.collect_list(event)).alias("events"))
@@ -78,6 +79,12 @@ def transactions(t):
     return core.transactions(raw_transactions(t), blocks(t))
 
 
+def other_attributes(t, types, attrs) -> DataFrame:
+    """Attribute table of the same events under other message types."""
+    txs = core.transactions(raw_transactions(t, message_type(types), attrs), blocks(t))
+    return t.table("attributes", lambda: core.msg_attributes(core.messages(txs)))
+
+
 def messages(t):
     return core.messages(transactions(t))
 
