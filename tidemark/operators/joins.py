@@ -123,7 +123,7 @@ def many_roles(rows: DataFrame, keys: list[str], tokens: Column, dim: DataFrame,
     """Look up one dimension for every entry of a short list column and return one map per attribute.
 
     `tokens` is an array bounded by the row's layout (eight at most in a pool); positions become the
-    names token0, token1, … NULL entries and misses stay out of the maps.
+    names token0, token1, … NULL entries and misses stay out of the maps. Keys must be unique.
     """
     flat = rows.select(*keys, F.posexplode(tokens).alias("_pos", "_tok")).filter(F.col("_tok").isNotNull())
     looked = flat.join(dim.select(F.col(dim_key).alias("_tok"), *attrs), "_tok", "left")

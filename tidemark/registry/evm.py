@@ -40,6 +40,10 @@ def qhex(c):
 
 def lines(t) -> DataFrame:
     """Line items with integers for every measure, a hash and a position."""
+    return t.table("lines", lambda: _lines(t))
+
+
+def _lines(t) -> DataFrame:
     li = t.lineitem.select(
         "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "l_partkey", "l_suppkey", F.col("l_quantity").cast("bigint").alias("qty"), F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
         F.round(F.col("l_discount") * 100).cast("bigint").alias("disc"), F.round(F.col("l_tax") * 100).cast("bigint").alias("tax"), "l_returnflag", "l_linestatus", F.col("l_shipdate").alias("ts")).distinct()

@@ -174,13 +174,13 @@ def descendant(t):
     return joins.inside_flagged(line_traces(t), ["tx"], "addr", F.col("bad"), "failed").select("tx", "addr", "failed")
 
 
-@query("op_join_multi_dim", """with k as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, array[c_nationkey, s_nationkey, null] as toks from lineitem join orders on l_orderkey = o_orderkey
+@query("op_join_multi_dim", """with k as (select distinct l_orderkey, l_linenumber, l_partkey, l_suppkey, array[c_nationkey, s_nationkey, null] as toks from lineitem join orders on l_orderkey = o_orderkey
     join customer on o_custkey = c_custkey join supplier on l_suppkey = s_suppkey)
     select l_orderkey, l_linenumber, l_partkey, l_suppkey, 'token0=' || c.n_name || ',token1=' || s.n_name as n_name_by_token, 'token0=' || toks[1] || ',token1=' || toks[2] as tokens
     from k join nation c on c.n_nationkey = toks[1] join nation s on s.n_nationkey = toks[2]""")
 def multi_dim(t):
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
-        t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(*keys, "c_nationkey", "s_nationkey")
+        t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(*keys, "c_nationkey", "s_nationkey").distinct()
     tokens = F.array("c_nationkey", "s_nationkey", F.lit(None).cast("int"))
     return joins.many_roles(rows, keys, tokens, t.nation, "n_nationkey", ["n_name"])

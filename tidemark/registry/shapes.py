@@ -98,22 +98,20 @@ def lateral_flatten_outer(t):
     return rows.flatten_map(t.events.select("event_id", m.alias("m")), "m", outer=True).select("event_id", "key", "value")
 
 
-@query("op_flatten_recursive", """with lns as (select l_orderkey, l_returnflag, l_linestatus, row_number() over (partition by l_orderkey
-    order by l_linenumber, l_partkey, l_suppkey, l_shipdate, l_returnflag, l_linestatus) - 1 as rn from lineitem)
-    select o_orderkey, 'ORIGIN' as trace_address, null as parent_address, o_orderstatus as kind from orders
-    union all select l_orderkey, cast(rn as varchar), 'ORIGIN', l_returnflag from lns
-    union all select l_orderkey, rn || '_0', cast(rn as varchar), l_linestatus from lns""")
+@query("op_flatten_recursive", """with l as (select distinct l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus, l_shipdate from lineitem)
+    select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, 'ORIGIN' as trace_address, null as parent_address, l_returnflag as kind from l
+    union all select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, '0', 'ORIGIN', l_linestatus from l
+    union all select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, '1', 'ORIGIN', 'last' from l
+    union all select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, '0_0', '0', 'leaf' from l where l_returnflag <> 'N'""")
 def flatten_recursive(t):
-    return _line_tree(t)
-
-
-def _line_tree(t):
-    """An order with its lines as children and each line's status below it, as one nested JSON text."""
-    leaf = F.struct(F.col("l_linestatus").alias("kind"))
-    kid = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", F.struct(F.col("l_returnflag").alias("kind"), F.array(leaf).alias("calls")).alias("node"))
-    kids = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.transform(F.array_sort(F.collect_list(kid)), lambda k: k["node"]).alias("calls"))
-    tree = t.orders.join(kids, "o_orderkey", "left").select("o_orderkey", F.to_json(F.struct(F.col("o_orderstatus").alias("kind"), "calls")).alias("payload"))
-    return rows.flatten_tree(tree, "payload", "calls", 2, {"kind": "kind"})
+    """A nested payload per line: its status below it, and a leaf below that for some."""
+    line = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+    leaf = F.when(F.col("l_returnflag") != "N", F.array(F.struct(F.lit("leaf").alias("kind"))))
+    first = F.struct(F.col("l_linestatus").alias("kind"), leaf.alias("calls"))
+    last = F.struct(F.lit("last").alias("kind"), F.lit(None).cast("array<struct<kind:string>>").alias("calls"))
+    tree = F.struct(F.col("l_returnflag").alias("kind"), F.array(first, last).alias("calls"))
+    once = t.lineitem.select(*line, "l_returnflag", "l_linestatus", "l_shipdate").distinct()
+    return rows.flatten_tree(once.select(*line, F.to_json(tree).alias("payload")), "payload", "calls", 2, {"kind": "kind"})
 
 
 @query("op_split_rows", r"select doc_id, w as word, count(*) as n from (select doc_id, unnest(regexp_split_to_array(text, '[ \n\t]+')) as w from documents) group by 1, 2")
