@@ -62,8 +62,9 @@ def read_seed(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
 
 
 def inline_map(spark: SparkSession, rows: list[tuple], columns: list[str]) -> DataFrame:
-    """Small literal table. It is planned as a local relation, whose known size lets Spark broadcast it."""
-    return spark.createDataFrame(rows, columns)
+    """Small literal table. The rows are part of the plan, so Spark knows how small it is and broadcasts it."""
+    literals = [F.struct(*[F.lit(v).alias(c) for v, c in zip(row, columns)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*literals)))
 
 
 def number_sequence(spark: SparkSession, lo: int, hi: int, name: str = "block_number") -> DataFrame:
