@@ -114,7 +114,8 @@ def inside_flagged_payload(nodes: DataFrame, part: list[str], address: str, flag
     """The same for groups that came out of one payload row each. The group's few flagged addresses travel
     as one list, so the nodes take part in a single join on the group."""
     bad = nodes.filter(flagged).groupBy(*part).agg(F.collect_set(address).alias("_bad"))
-    hit = F.exists(path_prefixes(F.col(address), root=root), lambda p: F.array_contains("_bad", p))
+    own = F.col(address)
+    hit = F.exists("_bad", lambda b: (b == root) | (own == b) | own.startswith(F.concat(b, F.lit("_"))))
     joined = nodes.join(bad, part, "left")
     return joined.withColumn(out, F.when(F.col("_bad").isNull(), F.lit(False)).otherwise(hit)).drop("_bad")
 
