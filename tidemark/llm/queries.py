@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, langid, mixing, prefixcounts, toxicity
+from . import chat, langid, mixing, prefixcounts, secretscan, toxicity
 from .ship import ship
 from .text import fold_of
 
@@ -89,3 +89,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     rows = rows.unionByName(spark.createDataFrame([(-1, 0, "user", forged), (-1, 1, "assistant", forged)], "conv_id long, turn long, role string, text string"))
     return chat.read_back(chat.conversations(chat.format_turns(rows)))
+
+
+@query("op8_secret_scan")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    found = secretscan.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("secret_spans", lambda s: s["order"] < len(secretscan.BASE))
+    counts = [F.size(F.filter("secret_spans", lambda s, i=i: s["order"] == i)).cast("bigint").alias(f"n_{r.kind}") for i, r in enumerate(secretscan.BASE)]
+    return found.select("doc_id", *counts, F.sha2(secretscan.digest(base).cast("binary"), 256).alias("base_sha256"), secretscan.digest(F.col("secret_spans")).alias("spans"))
