@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, langid, mixing, prefixcounts, secretscan, toxicity
+from . import chat, decontam, langid, mixing, prefixcounts, secretscan, toxicity
 from .ship import ship
 from .text import fold_of
 
@@ -97,3 +97,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     base = F.filter("secret_spans", lambda s: s["order"] < len(secretscan.BASE))
     counts = [F.size(F.filter("secret_spans", lambda s, i=i: s["order"] == i)).cast("bigint").alias(f"n_{r.kind}") for i, r in enumerate(secretscan.BASE)]
     return found.select("doc_id", *counts, F.sha2(secretscan.digest(base).cast("binary"), 256).alias("base_sha256"), secretscan.digest(F.col("secret_spans")).alias("spans"))
+
+
+@query("op3_benchmark_leaks")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
