@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontam, langid, mixing, prefixcounts, secretscan, toxicity
+from . import chat, decontam, langid, mixing, multiindex, prefixcounts, secretscan, toxicity
 from .ship import ship
 from .text import fold_of
 
@@ -102,3 +102,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_benchmark_leaks")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op9_multiindex_near_duplicates")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return multiindex.near_duplicates(table(spark, folder, "embeddings"))
