@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontam, langid, mixing, multiindex, prefixcounts, secretscan, toxicity
+from . import chat, decontam, langid, mixing, multiindex, ngramjoin, prefixcounts, secretscan, toxicity
 from .ship import ship
 from .text import fold_of
 
@@ -107,3 +107,8 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_multiindex_near_duplicates")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return multiindex.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query("op5_ngram_jaccard")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return ngramjoin.near_duplicates(table(spark, folder, "documents"))
