@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontam, langid, mixing, multiindex, ngramjoin, prefixcounts, secretscan, toxicity
+from . import chat, decontam, disclosure, langid, mixing, multiindex, ngramjoin, prefixcounts, secretscan, toxicity
 from .ship import ship
 from .text import fold_of
 
@@ -112,3 +112,16 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_ngram_jaccard")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return ngramjoin.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op7_disclosure_sanitisation")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    found = disclosure.sanitise(table(spark, folder, "documents"), with_text=False)
+    kinds = F.array(*[F.lit(k) for k in disclosure.KINDS])
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = F.filter("spans", lambda s: s["kind"] < 4)
+    counts = [F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("bigint").alias(f"n_{k}") for i, k in enumerate(disclosure.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
