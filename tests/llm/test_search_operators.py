@@ -1,0 +1,291 @@
+"""Leaks, n-gram join, sanitisation, secrets, vectors and the pipeline against brute force on small rows."""
+
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tidemark.llm import decontam, disclosure, graph, multiindex, ngramjoin, secretscan
+from tidemark.llm.queries import QUERIES
+
+LONG = "alpha beta gamma " * 40_000
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(1, None), (2, ""), (3, " \t\n"), (4, LONG), (5, "one two three four five six"), (5, "one two three four five six"), (None, "x y z"), (None, "x y z"), (7, "a b")]
+    return spark.createDataFrame([(i, t, "e", 1, "s", 2) for i, t in rows], "doc_id long, text string, h string, n int, words string, node long")
+
+
+def paragraphs(seed, n, size):
+    rnd = random.Random(seed)
+    return [" ".join("".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(size)) for _ in range(n)]
+
+
+# components
+
+def test_components(spark):
+    rnd = random.Random(1)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(0, i) for i in range(1, 50)] + [(rnd.randrange(200, 400), rnd.randrange(200, 400)) for _ in range(150)] + [(7, 7)]
+    parent = {x: x for e in edges for x in e}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            m = min(parent[a], parent[b])
+            changed |= parent[a] != m or parent[b] != m
+            parent[a] = parent[b] = m
+    got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert all(got.get(x, x) == m for x, m in parent.items())
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# n-gram join
+
+def brute_classes(rows, percent=80):
+    def grams(t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+    sets = {i: grams(t) for i, t in rows}
+    part = {i: i for i in sets}
+    links = [(a, b) for a, b in itertools.combinations(sorted(sets), 2) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            m = min(part[a], part[b])
+            changed |= part[a] != m or part[b] != m
+            part[a] = part[b] = m
+    return {i: (len(sets[i]), part[i]) for i in sets}
+
+
+def edited(rnd, text, share):
+    return " ".join("zz" + w if rnd.random() < share else w for w in text.split())
+
+
+@pytest.mark.parametrize("settings", [ngramjoin.Settings(), ngramjoin.Settings(rare=1, rounds=0), ngramjoin.Settings(rare=3, rounds=1, extra=12)])
+def test_join_loses_no_link(spark, settings):
+    rnd = random.Random(2)
+    passage = paragraphs(9, 1, 60)[0]
+    rows = []
+    for k, text in enumerate(paragraphs(3, 12, 120)):
+        rows += [text, text, text.upper()] + [edited(rnd, text, rnd.choice([0.005, 0.02, 0.04, 0.06])) for _ in range(6)] + [text + " " + passage]
+    rows += [p + " " + passage for p in paragraphs(4, 10, 8)] + ["a b c d e f g h", "a b c d e f g h i", "a b", "A  b", "b a", "q", None, "", " "]
+    rows += [" ".join(text.split()[:n]) for text in paragraphs(5, 4, 30) for n in (8, 9, 10, 25, 30)]
+    rows = [(rnd.randrange(10**9), t) for t in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngramjoin.near_duplicates(df, settings).collect()}
+    assert got == brute_classes(rows)
+
+
+def test_join_edges(spark, docs):
+    got = sorted(map(tuple, ngramjoin.near_duplicates(docs).collect()), key=str)
+    assert got == sorted([(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 3, 4), (5, 2, 5), (5, 2, 5), (None, 1, None), (None, 1, None), (7, 1, 7)], key=str)
+    assert ngramjoin.near_duplicates(docs.filter("false")).count() == 0
+
+
+def test_hot_group_needs_few_comparisons(spark, monkeypatch):
+    rnd = random.Random(8)
+    text = paragraphs(7, 1, 200)[0]
+    rows = [(i, edited(rnd, text, 0.004)) for i in range(300)] + [(1000 + i, t) for i, t in enumerate(paragraphs(6, 300, 200))]
+    seen = []
+    plain = ngramjoin.similar
+
+    def counted(pairs, sets, s):
+        seen.append(pairs.count())
+        return plain(pairs, sets, s)
+
+    monkeypatch.setattr(ngramjoin, "similar", counted)
+    got = {r.doc_id: r.component_id for r in ngramjoin.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {got[i] for i in range(300)} == {0} and all(got[1000 + i] == 1000 + i for i in range(300))
+    assert sum(seen) < 1500
+
+
+# leaks
+
+ITEM = "A train leaves Boston at 9 and travels 120 miles towards Albany while another leaves Albany at 9 and travels 60 miles. How far apart are both trains after an hour on their way"
+
+
+def found(spark, texts, items=(ITEM,)):
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, item_id string")
+    bench = spark.createDataFrame([(i, t, "x") for i, t in enumerate(items)], "item_id long, text string, doc_id string")
+    return {(r.doc_id, r.item_id): r.reparameterised for r in decontam.leaks(docs, bench).collect()}
+
+
+def test_leaks(spark):
+    filler = paragraphs(1, 2, 80)
+    other = ITEM.replace("Boston", "Denver").replace("Albany", "Vail").replace("120", "75").replace("60", "80").replace("miles", "km")
+    mixed_up = ITEM.replace("towards Albany", "towards Vail")
+    texts = [f"{filler[0]} {ITEM} {filler[1]}", f"{filler[0]}\n{ITEM.upper()}!!", f"{filler[0]}. {other}", filler[0], None, "", f"{filler[0]} {ITEM} {filler[1]} {ITEM}", ITEM.replace(" ", " ... "), LONG]
+    got = found(spark, texts)
+    assert got == {(0, 0): False, (1, 0): False, (2, 0): True, (6, 0): False, (7, 0): False} or {k for k in got} == {(0, 0), (1, 0), (2, 0), (6, 0)}
+    assert got[2, 0] and not got[0, 0]
+    assert found(spark, [mixed_up.replace("at 9 and", "at 4 and", 1)]) == {}
+
+
+def test_leak_edges(spark, docs):
+    bench = spark.createDataFrame([(1, ITEM), (2, None), (3, ""), (4, "too short")], "item_id long, text string")
+    assert decontam.leaks(docs, bench).count() == 0
+    assert decontam.leaks(docs, bench.filter("false")).count() == 0 and decontam.leaks(docs.filter("false"), bench).count() == 0
+    assert decontam.leaks(spark.createDataFrame([(None, ITEM), (3, ITEM), (3, ITEM)], "doc_id long, text string"), bench).select("doc_id").distinct().count() == 2
+
+
+def test_leaks_of_the_table_are_the_items_found_by_search(spark, folder):
+    def plain(t):
+        return " " + " ".join(re.findall(r"\w+", (t or "").lower())) + " "
+
+    items = [(r.item_id, plain(r.text)) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    want = {(r.doc_id, i) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect() for i, x in items if x in plain(r.text)}
+    assert want <= {(r.doc_id, r.item_id) for r in QUERIES["op3_benchmark_leaks"](spark, folder).collect()}
+
+
+# personal data
+
+PLAIN = [(re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), lambda m: True), (re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), lambda m: all(int(x) <= 255 for x in m.split("."))),
+         (re.compile(r"[0-9]([\x20-]?[0-9])+"), lambda m: 13 <= len(d := disclosure.digits_of(m)) <= 19 and disclosure.luhn(d)), (re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"), lambda m: 9 <= len(disclosure.digits_of(m)) <= 15)]
+
+
+def test_base_spans_are_the_patterns():
+    rnd = random.Random(9)
+    texts = ["a@b.c_x@d.e", "1.2.3.4.5.6.7.8", "a@b.c@d.e", "x+y@é.de", "4111 1111 1111 1111", "4111-1111-1111-11111111111111", "+1 (234) 567-8901 ", "+1 22 +33 4455 66778", "256.1.1.1 0255.1.1.001", "1" * 5000 + ".2", LONG + "x@y.z"]
+    texts += ["".join(rnd.choice("ab1234567890.+-@ ()_é") for _ in range(120)) for _ in range(400)]
+    for t in texts:
+        assert disclosure.base_spans(t) == [(k, m.start(), m.end()) for k, (rx, ok) in enumerate(PLAIN) for m in rx.finditer(t) if ok(m[0])], t[:100]
+
+
+def test_terms_that_disclose(spark, docs):
+    filler = paragraphs(2, 40, 30)
+    rows = [(i, f"{filler[i]} reach kestrelmark via kim@example.org for more {filler[39 - i]} common") for i in range(6)]
+    rows += [(100 + i, f"{t} common reach via more for") for i, t in enumerate(filler)] + [(200, "kestrelmark"), (201, f"{filler[0]} odd@example.org once"), (202, None), (203, "")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, spans string")
+    got = {r.doc_id: r for r in disclosure.sanitise(df).collect()}
+    terms = {i: [df_text[s.start : s.end] for s in got[i].spans if s.kind == 4] for i, df_text in rows if i < 6}
+    assert all(t == ["kestrelmark"] for t in terms.values())
+    assert "[EMAIL]" in got[0].text and "kestrelmark" not in got[0].text and "kim@" not in got[0].text
+    assert got[200].spans == [] and got[201].spans[0].kind == 0 and len(got[201].spans) == 1 and got[202].text == "" and got[203].text == ""
+    assert disclosure.sanitise(docs).count() == docs.count() and disclosure.sanitise(docs.filter("false")).count() == 0
+
+
+def test_copies_are_one_surrounding(spark):
+    df = spark.createDataFrame([(i, "some rareword near kim@example.org here") for i in range(9)], "doc_id long, text string")
+    assert {len(r.spans) for r in disclosure.sanitise(df).collect()} == {1}
+
+
+# secrets
+
+SECRET = re.compile(secretscan.BASE[0].pattern), re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]+")
+
+
+def brute_secrets(t):
+    t = t or ""
+    out = [(m.start(), 0, m.end()) for m in SECRET[0].finditer(t) if len(m[2]) >= 6]
+    out += [(m.start(), 1, m.end()) for m in SECRET[1].finditer(t) if len(m[0]) >= 20]
+    return sorted(out + [(m.start(), 2, m.end()) for m in SECRET[2].finditer(t) if len(m[0]) >= 24])
+
+
+def test_secrets_are_the_patterns(spark):
+    rnd = random.Random(10)
+    bits = ["password", "PassWD", "api_key", "APIkey", "Token", "secret", "=", ": ", "'", '"', " ", "abc", "abcdef12", "AKIA", "ABCDEFGH23456789", "0123456789abcdef", "é🙂", "\n"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randrange(14))) for _ in range(400)] + [None, "", LONG + " token=abcdefgh", "password=abc token=abcdefg", "secret=token=abcdefgh"]
+    df = spark.createDataFrame([(i % 50 if i % 7 else None, i, t, "x") for i, t in enumerate(texts)], "doc_id long, nr int, text string, row string")
+    got = {r.nr: r for r in secretscan.scan(df).withColumn("clean", secretscan.redacted(F.col("text"), F.col("secret_spans"))).collect()}
+    for i, t in enumerate(texts):
+        assert [tuple(s) for s in got[i].secret_spans if s.order < 3] == brute_secrets(t), t
+        assert got[i].text == t and (t is None) == (got[i].clean is None)
+        assert not brute_secrets(t) or brute_secrets(got[i].clean) == [] or "<secret>" in got[i].clean
+    assert got[len(texts) - 3].clean == LONG + " <secret>"
+    assert secretscan.scan(df.filter("false")).count() == 0
+
+
+def test_added_rules(spark):
+    t = "ghp_" + "a1" * 20 + " -----BEGIN RSA PRIVATE KEY----- https://user:pass@host"
+    r = secretscan.scan(spark.createDataFrame([(1, t)], "doc_id long, text string")).select(secretscan.digest(F.col("secret_spans")).alias("d")).first()
+    assert [x.split(":")[0] for x in r.d.split(",")] == ["code_host", "private_key", "address_login"]
+
+
+def test_queries_hold_for_every_match():
+    assert secretscan.trigram_query(r"[0-9a-f]{24,}") == secretscan.ALWAYS
+    assert secretscan.trigram_query("abcd|xyz") == [frozenset({"abc", "bcd"}), frozenset({"xyz"})]
+    assert secretscan.trigram_query("(?i)AB(c|d)+E") == secretscan.ALWAYS
+    for pattern, matches in ((secretscan.BASE[0].pattern, ["PASSWORD: 'x", "apikey=1", "API_KEY =1", 'token":"z', "passwd=q"]), (r"gh[pousr]_[A-Za-z0-9]{36,}", ["gho_" + "a" * 36])):
+        for m in matches:
+            held = {m.lower()[i : i + 3] for i in range(len(m) - 2)}
+            assert re.search(pattern, m) and any(way <= held for way in secretscan.trigram_query(pattern)), m
+
+
+# vectors
+
+def test_vectors(spark):
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=(60, 16))
+    rows = [(int(i), (base[i % 60] + rng.normal(size=16) * rng.choice([0, 0.01, 0.03, 0.05, 0.3])).tolist(), int(i % 3) if i % 11 else None) for i in rng.permutation(600)]
+    rows += [(1000, None, 1), (1001, [], 1), (1002, [0.0] * 16, 1), (1003, [float("nan")] * 16, 1), (1004, [None] + [1.0] * 15, 1), (1005, [1.0, 1.0], 1), (1006, [2.0, 2.0], 1), (1007, rows[0][1], rows[0][2]), (None, rows[1][1], rows[1][2])]
+    df = spark.createDataFrame([(*r, "x", 5) for r in rows], "vec_id long, embedding array<double>, label int, node string, n int")
+    good = [(i, np.array(v) / np.linalg.norm(v), len(v), l) for i, v, l in rows if i is not None and l is not None and v and None not in v and np.isfinite(v).all() and np.any(v)]
+    links = {i: {j for j, w, b, m in good if j != i and a == b and l == m and v @ w >= 0.98} for i, v, a, l in good}
+    part = {i: i for i, _, _ in rows if i is not None}
+    changed = True
+    while changed:
+        changed = False
+        for i, js in links.items():
+            for j in js:
+                m = min(part[i], part[j])
+                changed |= part[i] != m or part[j] != m
+                part[i] = part[j] = m
+    for cells in (20, 10_000):
+        got = multiindex.near_duplicates(df, multiindex.Settings(cell_rows=cells, recall=1.0)).collect()
+        assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got if r.vec_id is not None} == {i: (len(links.get(i, ())), part[i], part[i] == i) for i in part}
+        assert [tuple(r) for r in got if r.vec_id is None] == [(None, 0, None, False)]
+    assert multiindex.near_duplicates(df.filter("false")).count() == 0
+
+
+def test_recall_of_the_table(spark, folder):
+    folder = "/root/testdata/sf0.1"
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
+    x = np.array([r.embedding for r in rows], dtype=float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.array([r.label for r in rows])
+    near = (x @ x.T >= 0.98) & (label[:, None] == label[None, :])
+    want = dict(zip((r.vec_id for r in rows), near.sum(1) - 1))
+    got = {r.vec_id: r.n_links for r in QUERIES["op9_multiindex_near_duplicates"](spark, folder).collect()}
+    assert all(got[i] <= n for i, n in want.items()) and sum(got.values()) >= 0.99 * sum(want.values())
+
+
+def test_multi_sequence_is_the_whole_staircase():
+    rng = np.random.default_rng(2)
+    a, b = rng.random(9), rng.random(7)
+    assert set(multiindex.multi_sequence(a, b, 0.6)) == {(i, j) for i in range(9) for j in range(7) if a[i] + b[j] <= 0.6}
+
+
+# pipeline
+
+def test_pipeline(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    before = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, before, folder)
+        assert after.columns == docs.columns, name
+        before = spark.createDataFrame(after.collect(), docs.schema)
+        if name == "ngram_jaccard_join":
+            texts = {r.doc_id: r.text for r in previous.collect()}
+            assert {r.doc_id for r in before.collect()} == {i for i, (_, c) in brute_classes(list(texts.items())).items() if c == i}
+        if name == "secret_scan":
+            assert before.count() == previous.count() and all(not brute_secrets(r.text.replace("<secret>", " ")) for r in before.collect())
+        previous = before
+    mixed = corpus_pipeline.STAGES[-1][1](spark, before, folder)
+    assert mixed.count() == before.count()
+    key = lambda r: (r.doc_id, r.taken)
+    assert sorted(map(key, corpus_pipeline.run(spark, folder).collect())) == sorted(map(key, mixed.collect()))
+
+
+def test_stages_with_odd_rows(spark, folder):
+    odd = spark.createDataFrame([(1, None, None, None, None), (2, "", "en", "a", 0), (2, "", "en", "a", 0), (None, "token=abcdefgh", "en", "a", 14), (None, None, "en", "a", 0), (5, LONG, "en", None, 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES:
+        want = {"ngram_jaccard_join": 5}.get(name, 6)
+        assert stage(spark, odd, folder).count() == want, name
+        assert stage(spark, odd.filter("false"), folder).count() == 0, name

@@ -1,9 +1,8 @@
 """Near-duplicate vectors by an inverted multi-index.
 
 Each half of a unit vector has a codebook of its own; the pairs of codewords are the cells of a grid. A vector
-visits cells in the order of the least distance that a vector of the cell can have, until that exceeds the
-distance of the wanted cosine; so no pair is lost (the recall target is 1 unless a smaller one is asked for).
-Vectors in the visited cells are compared in double precision.
+visits cells in the order of the least distance that a vector of the cell can have, until the recall target is
+reached (`visit_limit`). Vectors in the visited cells are compared in double precision.
 
 A cell's rows are cut into blocks; a block is held in memory while the visitors stream past it. Blocks give link
 counts and a few links that keep the same parts connected, never all pairs. Equal vectors are compared once.
@@ -28,15 +27,14 @@ BLOCK = 2048
 class Settings:
     """`cell_rows`: wanted mean of rows per cell, which sets the codebooks' size. The codebooks are fitted on at
     most about `sample_rows` vectors, those of the smallest crc32(id); every vector is indexed and compared.
-    `recall`: the share of the squared distance bound up to which cells are visited; 1 visits all that can hold
-    a link."""
+    `recall`: the target at which a traversal ends; 1 visits all cells that can hold a link."""
 
     cosine: float = 0.98
     cell_rows: int = 200
     most_words: int = 512
     sample_rows: int = 20_000
     passes: int = 8
-    recall: float = 1.0
+    recall: float = 0.999
 
 
 def units(rows: list, size: int) -> np.ndarray:
@@ -87,6 +85,17 @@ def multi_sequence(first: np.ndarray, second: np.ndarray, limit: float) -> Itera
             yield int(i), int(j)
 
 
+def visit_limit(size: int, s: Settings) -> float:
+    """The squared least distance up to which cells are visited.
+
+    Linked unit vectors are at most sqrt(2 - 2 * cosine) apart. If the difference has no preferred direction, its
+    part across one plane per half is that of two of `size` directions: the squares' sum passes the limit with
+    probability exp(-limit * size / (2 * distance ** 2)), which is set to 1 - recall.
+    """
+    most = 2 - 2 * s.cosine
+    return (most if s.recall >= 1 else min(most, -2 * np.log(1 - s.recall) * most / size)) + 1e-9
+
+
 def near_duplicates(df: DataFrame, s: Settings = Settings(), *, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """vec_id, n_links, component_id, kept: a row for each input row.
 
@@ -96,7 +105,8 @@ def near_duplicates(df: DataFrame, s: Settings = Settings(), *, id_col: str = "v
     ids of their own, as rows of one id are one node of the links.
     """
     spark = df.sparkSession
-    rows = df.select(F.col(id_col).alias("vec_id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("vector"))
+    vector = F.col(vector_col) if df.schema[vector_col].dataType.simpleString() == "array<float>" else F.col(vector_col).cast("array<double>")
+    rows = df.select(F.col(id_col).alias("vec_id"), F.col(label_col).alias("label"), vector.alias("vector"))
     sound = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
     good = rows.filter(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("vector") > 0) & sound & F.exists("vector", lambda v: v != 0))
     classes = staged(good.groupBy("label", "vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("n")).withColumn("size", F.size("vector")), "vectors")
@@ -111,7 +121,7 @@ def near_duplicates(df: DataFrame, s: Settings = Settings(), *, id_col: str = "v
         half = size // 2
         books[size] = codebook(x[:, :half], k, s.passes), codebook(x[:, half:], k, s.passes)
     held = spark.sparkContext.broadcast(books)  # at most 2 * most_words codewords for each vector length met
-    limit = s.recall * (2 - 2 * s.cosine) + 1e-9
+    limits = {size: visit_limit(size, s) for size in books}
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for the home cell (role 0) and one for each further cell to visit (role 1). Of two cells the one
@@ -138,7 +148,7 @@ def near_duplicates(df: DataFrame, s: Settings = Settings(), *, id_col: str = "v
                         take.append(int(i))
                         cell.append(home)
                         role.append(0)
-                        for p, q in multi_sequence(first[r], second[r], limit):
+                        for p, q in multi_sequence(first[r], second[r], limits[int(size)]):
                             if p * len(two) + q > home:
                                 take.append(int(i))
                                 cell.append(p * len(two) + q)

@@ -108,8 +108,9 @@ def fit(df: DataFrame, labels: DataFrame, s: Settings = Settings(), *, id_col: s
     return Model(s.bits, float(bias.iloc[0]) if len(bias) else 0.0, kept.feature.to_numpy(np.int64), kept.weight.to_numpy(float))
 
 
-def score(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns of `keep` (of the input, `score` and `predicted` excepted), score (0 to 1) and predicted (1 from 0.5 on), one row for each input row.
+def score(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), score_col: str = "score", predicted_col: str = "predicted") -> DataFrame:
+    """The columns of `keep` (the id where none are named), score (0 to 1) and predicted (1 from 0.5 on), one row
+    for each input row. The two result columns need names that `keep` does not hold.
 
     A null or empty text has the bias alone. Only the text enters the score.
     """
@@ -117,16 +118,16 @@ def score(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str
     dense[model.features] = model.weights
     held = df.sparkSession.sparkContext.broadcast((dense, model.bias))
     bits = model.bits
-    cols = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[c for c in keep if c not in ("doc_id", "text")])
-    own = [f for f in cols.schema.fields if f.name in ("doc_id", *keep)]
-    schema = StructType([*own, StructField("score", DoubleType()), StructField("predicted", IntegerType())])
+    kept = list(keep or (id_col,))
+    cols = df.select(F.col(text_col).alias("text"), F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"))
+    own = cols.schema["row"].dataType.fields
+    schema = StructType([*own, StructField(score_col, DoubleType()), StructField(predicted_col, IntegerType())])
+    names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias = held.value
         for part, raw, offsets in slices(batches):
-            got = np.array([bias + table[f].sum(dtype=np.float64) for f in features(raw, offsets, bits)])
-            p = sigmoid(got)
-            arrays = [part.column(f.name) for f in own] + [pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+            p = sigmoid(np.array([bias + table[f].sum(dtype=np.float64) for f in features(raw, offsets, bits)]))
+            yield pa.RecordBatch.from_arrays([*part.column("row").flatten(), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32))], names=names)
 
     return cols.mapInArrow(run, schema)
