@@ -203,7 +203,7 @@ def test_secrets_are_the_patterns(spark):
 
 
 def test_added_rules(spark):
-    t = "ghp_" + "a1" * 20 + " -----BEGIN RSA PRIVATE KEY----- https://user:pass@host"
+    t = "ghp_" + "aXz1" * 10 + " -----BEGIN RSA PRIVATE KEY----- https://user:pass@host"
     r = secretscan.scan(spark.createDataFrame([(1, t)], "doc_id long, text string")).select(secretscan.digest(F.col("secret_spans")).alias("d")).first()
     assert [x.split(":")[0] for x in r.d.split(",")] == ["code_host", "private_key", "address_login"]
 

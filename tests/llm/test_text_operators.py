@@ -53,7 +53,7 @@ def test_parts_become_ordered_placeholders(spark):
     assert user.formatted == "<|im_start|>user\nsee \\bimage_1|> <|image_2|><|audio_3|><|document_4|>end<|im_end|>\n"
     assert [(a.ordinal, a.kind, a.uri, a.placeholder, a.tokens) for a in user.attachments] == [
         (2, "image", "s://a.png", "<|image_2|>", 85 + 170 * 4), (3, "audio", "s://b.wav", "<|audio_3|>", 63), (4, "document", "s://c.pdf", "<|document_4|>", 3 * 1024)]
-    assert user.n_tokens == sum(a.tokens for a in user.attachments) + 8
+    assert user.n_tokens == sum(a.tokens for a in user.attachments) + 9
     assert (empty.formatted, empty.loss_start, empty.loss_end, empty.attachments) == ("<|im_start|>assistant\n<|im_end|>\n", 22, 22, [])
 
 
@@ -206,7 +206,7 @@ def test_toxicity_learns_words_and_pairs(spark):
 def test_toxicity_edges(spark, docs):
     none = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
     got = toxicity.score(docs, none, keep=("doc_id", "text", "score"), score_col="p", predicted_col="q").collect()
-    assert len(got) == docs.count() and {r.p for r in got} == {0.5} and {r.score for r in got} == {1.0}
+    assert len(got) == docs.count() and max(r.p for r in got) < 1e-9 and {r.q for r in got} == {0} and {r.score for r in got} == {1.0}
     assert toxicity.score(docs.filter("false"), none).count() == 0
     assert "".join(r.text or "" for r in got).count("alpha") == 40_000
 

@@ -59,6 +59,7 @@ def document_vectors(raw: np.ndarray, offsets: np.ndarray, size: int) -> np.ndar
     row = np.repeat(np.arange(n + 1), np.append(np.diff(upto), 0) + 1)
     kept = text != 0
     kept[1:] |= text[:-1] != 0
+    kept[0] = True  # the gap before the first word
     text, row = text[kept], row[kept]
     known = np.unique(text)
     place = np.zeros(0x110000, dtype=np.int64)

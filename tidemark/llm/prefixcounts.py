@@ -1,8 +1,8 @@
 """Exact token counts at every prefix of a text.
 
 The count of a prefix follows from that of a shorter one: count(prefix) = count(up to the last word) + count(the
-word's part). A byte-level BPE never merges across the words that its pattern cuts, so a table with the running
-count at each word's end is exact, and a prefix that ends inside a word costs one encoding of that word's part.
+word's part). A byte-level BPE never merges across the words that its pattern cuts, so the table holds the running
+count at each word's end, and a prefix that ends inside a word, or in blanks, costs one encoding of that part.
 Truncation and budget questions then read the table; they never encode the text again.
 """
 
@@ -65,24 +65,23 @@ class PrefixCounter:
         return [(np.cumsum(np.fromiter(map(len, u), np.int32, len(u)), dtype=np.int32), np.cumsum(np.fromiter(map(known.__getitem__, u), np.int32, len(u)), dtype=np.int32)) for u in cut]
 
     def at(self, text: str, ends, counts, stop: int) -> int:
-        """Tokens of text[:stop]. Blanks before a word's blank are one word once the text ends there, so a
-        prefix that ends in blanks is counted from the start of the blanks."""
-        k = bisect_right(ends, stop)
+        """Tokens of text[:stop]. Blanks that end a text are one word, however the pattern cut them with a word
+        behind; so a prefix that ends in blanks is counted from the start of the words that are blank."""
         if stop <= 0 or not len(ends):
             return 0
-        if k and ends[k - 1] == stop:
-            return int(counts[k - 1])
-        if k and text[ends[k - 1] : stop].isspace():
+        k = bisect_right(ends, stop)
+        if text[stop - 1].isspace():
             while k and text[ends[k - 2] if k > 1 else 0 : ends[k - 1]].isspace():
                 k -= 1
         start = int(ends[k - 1]) if k else 0
-        return (int(counts[k - 1]) if k else 0) + self.encode(text[start:stop])
+        return (int(counts[k - 1]) if k else 0) + (self.encode(text[start:stop]) if start < stop else 0)
 
     def longest(self, text: str, ends, counts, budget: int) -> int:
-        """Code points of the longest prefix with at most `budget` tokens."""
+        """Code points of the longest prefix with at most `budget` tokens: it ends in the first word whose end
+        the table has above the budget, or before it."""
         k = bisect_right(counts, budget)
         stop = int(ends[k - 1]) if k else 0
-        for more in range(int(ends[k]) - 1 if k < len(ends) else stop, stop, -1):
+        for more in range(int(ends[k]) if k < len(ends) else stop, stop, -1):
             if self.at(text, ends, counts, more) <= budget:
                 return more
         return stop

@@ -17,6 +17,10 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 from .text import PUNCTUATION, fold_of, narrow, slices, windows, words
 
 
+#: The bias of a model that has seen no example of label 1.
+NEVER = -35.0
+
+
 @dataclass(frozen=True)
 class Settings:
     """alpha and beta set the rate alpha / (beta + sqrt(sum of squared gradients)) of each coordinate; l1 is the
@@ -58,14 +62,22 @@ def sigmoid(x):
 
 
 def ftrl(rows: list[tuple[np.ndarray, int]], s: Settings) -> tuple[float, np.ndarray, np.ndarray]:
-    """(bias, feature numbers, weights) after `passes` over the rows in their order. No row: bias 0, no weight."""
+    """(bias, feature numbers, weights) after `passes` over the rows in their order.
+
+    The bias is not pulled to zero: it carries how rare the label is. Without a row of label 1 nothing can be
+    called toxic, and the score is that of NEVER.
+    """
     size = 1 << s.bits
+    if not any(label for _, label in rows):
+        return NEVER, np.zeros(0, dtype=np.int64), np.zeros(0)
     z, n = np.zeros(size + 1), np.zeros(size + 1)
+    pull = np.full(size + 1, s.l1)
+    pull[size] = 0.0
 
     def weight(i):
-        zi = z[i]
-        w = -(zi - np.sign(zi) * s.l1) / ((s.beta + np.sqrt(n[i])) / s.alpha + s.l2)
-        return np.where(np.abs(zi) <= s.l1, 0.0, w)
+        zi, li = z[i], pull[i]
+        w = -(zi - np.sign(zi) * li) / ((s.beta + np.sqrt(n[i])) / s.alpha + s.l2)
+        return np.where(np.abs(zi) <= li, 0.0, w)
 
     bias = np.array([size])
     for _ in range(s.passes):
@@ -84,7 +96,7 @@ def fit(df: DataFrame, labels: DataFrame, s: Settings = Settings(), *, id_col: s
     """Learn from rows whose crc32(id) mod `held_out_parts` is not 0 and whose label is 0 or 1.
 
     A row with a null id or label is no example. An id with several labels counts as 1 if any is 1. Ids that
-    repeat in `df` give one example each. With no example the model scores 0.5 everywhere.
+    repeat in `df` give one example each. Without an example of label 1 every score is next to 0.
     """
     marks = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter(
         (fold_of("doc_id", held_out_parts) != 0) & F.col("label").isin(0, 1))
@@ -105,7 +117,7 @@ def fit(df: DataFrame, labels: DataFrame, s: Settings = Settings(), *, id_col: s
     learned = chosen.repartition(1).sortWithinPartitions("turn", "doc_id", "text").mapInArrow(learn, "feature long, weight double").toPandas()
     kept = learned[learned.feature >= 0].sort_values("feature")
     bias = learned[learned.feature < 0].weight
-    return Model(s.bits, float(bias.iloc[0]) if len(bias) else 0.0, kept.feature.to_numpy(np.int64), kept.weight.to_numpy(float))
+    return Model(s.bits, float(bias.iloc[0]) if len(bias) else NEVER, kept.feature.to_numpy(np.int64), kept.weight.to_numpy(float))
 
 
 def score(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), score_col: str = "score", predicted_col: str = "predicted") -> DataFrame:
