@@ -1,20 +1,22 @@
 """Jaccard self-join of documents on word n-grams, by token-combination prefixes.
 
-A document's tokens are the hashes of its distinct n-grams, in the order of the hash. Let c(n) = ceil(t * n) for the
-wanted similarity t. Two similar sets x, y share at least c(|x|) tokens, so of the extended prefix of x (its first
-|x| - c(|x|) + l(|x|) tokens) all but c(|x|) - l(|x|) common tokens are seen; as |y| >= t * |x|, both extended prefixes
-hold the first m(|x|) = min(l(c(|x|)), c(|x|)) common tokens. From this follow, without loss:
-
-* a document with fewer than m tokens in its prefix that any other prefix holds has no partner;
-* a pair has a common rare token in the prefixes, or all its common tokens there are frequent; then both documents
-  hold m frequent ones, and some two neighbours among the common ones stand within `reach` places of each other in
-  both, so the pair has a common combination of two frequent tokens.
+A document's tokens are the hashes of its distinct n-grams. Let c(n) = ceil(t * n) for the wanted similarity t, and
+l(n) the length by which a prefix is extended. Two similar sets x, y share at least c(|x|) tokens. In any order of
+all tokens, an extended prefix (the first |x| - c(|x|) + l(|x|) tokens of x) leaves out c(|x|) - l(|x|) tokens; as
+|y| >= t * |x|, both extended prefixes hold the first m(|x|) = min(l(c(|x|)), c(|x|)) common tokens. Hence, without loss:
+
+* In the order of the hash: a document with fewer than m tokens in its prefix that any other prefix holds has no
+  partner. This leaves few documents, of which each class of equal sets goes on as one.
+* Over their whole sets: a document with fewer than c tokens that any other holds has no partner.
+* In the order of frequency, rare tokens first: a pair has a common rare token in the prefixes, or all its common
+  tokens there are frequent. Then both documents have m frequent ones, and two neighbours among the common ones stand
+  within `reach` places of each other in both, so the pair has a common combination of two frequent tokens.
 
 So rare tokens are indexed alone and frequent ones in combinations. Candidates are verified on whole sets.
 
 Links are only wanted up to connection: first every document is held against one leader of its tokens' lists, which
 joins large groups of copies in a linear number of comparisons; all remaining candidates of different groups are
-then compared. Documents of equal sets are one class throughout.
+then compared.
 """
 
 from __future__ import annotations
@@ -30,6 +32,10 @@ from ..session import staged
 from .graph import components
 from .text import SLOT, mix, slices, windows, words
 
+#: 64-bit words of a set's parity sketch: bit i is the parity of its tokens in bucket i.
+WORDS = 16
+SKETCH = [f"k{i}" for i in range(WORDS)]
+
 #: Ids that every executor may hold a copy of (about 50 MB); more are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 
@@ -54,13 +60,16 @@ class Settings:
     def prefix(self, n):
         return np.minimum(n, n - self.core(n) + self.extension(n))
 
+    def core_of(self, n: Column) -> Column:
+        return F.floor((n * self.percent + 99) / 100)
+
     def common(self, n: Column) -> Column:
         """m(n) as a column."""
-        core = F.floor((n * self.percent + 99) / 100)
+        core = self.core_of(n)
         return F.least(F.greatest(F.lit(3), F.floor((core * self.extra + 99) / 100)), core)
 
     def longest_prefix(self, n: Column) -> Column:
-        return n - F.floor((n * self.percent + 99) / 100) + F.greatest(F.lit(3), F.floor((n * self.extra + 99) / 100))
+        return n - self.core_of(n) + F.greatest(F.lit(3), F.floor((n * self.extra + 99) / 100))
 
 
 def token_sets(raw: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarray]:
@@ -125,14 +134,20 @@ def signatures(docs: DataFrame, s: Settings) -> DataFrame:
     return _each(docs, "n int, one bigint, two bigint", make)
 
 
+def parities(tokens: np.ndarray) -> np.ndarray:
+    bucket = (tokens.view(np.uint64) >> np.uint64(20)).astype(np.int64) % (64 * WORDS)
+    return np.packbits(np.bincount(bucket, minlength=64 * WORDS).astype(np.uint8) & 1).view(np.int64)
+
+
 def whole_sets(docs: DataFrame, s: Settings) -> DataFrame:
-    """doc_id, n, tokens."""
+    """doc_id, n, tokens and the sketch."""
 
     def make(raw: np.ndarray, offsets: np.ndarray) -> dict[str, pa.Array]:
         sets = token_sets(raw, offsets, s.n)
-        return {"n": pa.array([len(x) for x in sets], pa.int32()), "tokens": _lists(sets)}
+        sketch = np.array([parities(x) for x in sets]).reshape(len(sets), WORDS)
+        return {"n": pa.array([len(x) for x in sets], pa.int32()), "tokens": _lists(sets)} | {k: pa.array(np.ascontiguousarray(sketch[:, i])) for i, k in enumerate(SKETCH)}
 
-    return _each(docs, "n int, tokens array<bigint>", make)
+    return _each(docs, "n int, tokens array<bigint>, " + ", ".join(f"{k} bigint" for k in SKETCH), make)
 
 
 def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -142,11 +157,24 @@ def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids, "doc_id", "left_semi")
 
 
-def shared(tokens: DataFrame, s: Settings) -> DataFrame:
-    """doc_id, n, hs: tokens that two documents hold, for documents with enough of them to have a partner."""
+def with_company(tokens: DataFrame, s: Settings) -> DataFrame:
+    """doc_id: documents with m tokens in their prefix that another document's prefix holds."""
     met = tokens.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1").select("h")
-    lists = tokens.join(met, "h").groupBy("doc_id", "n").agg(F.collect_list("h").alias("hs"))
-    return lists.filter(F.size("hs") >= s.common(F.col("n")))
+    counts = tokens.join(met, "h").groupBy("doc_id", "n").agg(F.count("*").alias("met"))
+    return counts.filter(F.col("met") >= s.common(F.col("n"))).select("doc_id").distinct()
+
+
+def prefix_index(sets: DataFrame, s: Settings) -> DataFrame:
+    """node, n, h, df: the tokens of the extended prefixes in the order of (df, h), without those of one node.
+
+    Tokens of one node come first in that order, so the prefix has room for the first shared ones that remain.
+    """
+    tokens = sets.select(F.col("doc_id").alias("node"), "n", F.explode("tokens").alias("h"))
+    df_of = tokens.groupBy("h").agg(F.count("*").cast("int").alias("df")).filter("df > 1")
+    lists = tokens.join(df_of, "h").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("ts"))
+    lists = lists.filter(F.size("ts") >= s.core_of(F.col("n")))
+    room = (s.longest_prefix(F.col("n")) - F.col("n") + F.size("ts")).cast("int")
+    return lists.select("node", "n", F.explode(F.slice("ts", F.lit(1), F.greatest(room, F.lit(1)))).alias("t")).select("node", "n", "t.h", "t.df")
 
 
 def similar(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
@@ -184,7 +212,7 @@ def _leader_pairs(index: DataFrame, s: Settings, turn: int) -> DataFrame:
 
 def _combinations(index: DataFrame, s: Settings) -> DataFrame:
     """node, n, part, h: combinations of two frequent tokens within reach, for nodes with enough frequent tokens."""
-    lists = index.filter(F.col("df") > s.rare).groupBy("node", "n", "part").agg(F.array_sort(F.collect_list("h")).alias("hs"))
+    lists = index.filter(F.col("df") > s.rare).groupBy("node", "n", "part").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "h"))), lambda t: t["h"]).alias("hs"))
     m = s.common(F.col("n"))
     lists = lists.filter(F.size("hs") >= m)
     most = F.size("hs") + s.longest_prefix(F.floor(F.col("n") * 100 / s.percent) + 1)
@@ -193,12 +221,17 @@ def _combinations(index: DataFrame, s: Settings) -> DataFrame:
     return lists.select("node", "n", "part", F.explode(made).alias("h"))
 
 
-def _other_pairs(index: DataFrame, s: Settings) -> DataFrame:
-    """All candidates of different groups: a common rare token, or a common combination of frequent ones."""
+def _other_pairs(index: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Candidates of different groups: a common rare token or a common combination of frequent ones, and sketches
+    that allow the similarity. Parities differ in as many places as the sets have different tokens, at most."""
     keys = index.filter(F.col("df") <= s.rare).select("node", "n", "part", "h").union(_combinations(index, s))
-    left = keys.select("h", F.col("node").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa"))
-    right = keys.select("h", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("part").alias("pb"))
-    return left.join(right, "h").filter((F.col("a") > F.col("b")) & (F.col("pa") != F.col("pb")) & _close("na", "nb", s)).select("a", "b").distinct()
+    keys = keys.join(sets.select(F.col("doc_id").alias("node"), *SKETCH), "node")
+    left = keys.select("h", F.col("node").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa"), *[F.col(k).alias(f"a{k}") for k in SKETCH])
+    right = keys.select("h", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("part").alias("pb"), *[F.col(k).alias(f"b{k}") for k in SKETCH])
+    apart = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in SKETCH[1:]), F.bit_count(F.col(f"a{SKETCH[0]}").bitwiseXOR(F.col(f"b{SKETCH[0]}"))))
+    near = (100 + s.percent) * apart <= (100 - s.percent) * (F.col("na") + F.col("nb"))
+    on = (left["h"] == right["h"]) & (F.col("a") > F.col("b")) & (F.col("pa") != F.col("pb")) & _close("na", "nb", s) & near
+    return left.join(right, on).select("a", "b").distinct()
 
 
 def near_duplicates(df: DataFrame, s: Settings = Settings(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -210,25 +243,22 @@ def near_duplicates(df: DataFrame, s: Settings = Settings(), *, id_col: str = "d
     """
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     known = docs.filter(F.col("doc_id").isNotNull())
-    first = staged(shared(prefixes(known, s), s), "shared_tokens")
+    first = staged(with_company(prefixes(known, s), s), "with_company")
 
-    classed = only(known, first.select("doc_id").distinct())
-    members = signatures(classed, s)
+    members = signatures(only(known, first), s)
     reps = members.groupBy("n", "one", "two").agg(F.min("doc_id").alias("node"))
     members = staged(members.join(reps, ["n", "one", "two"]).select("doc_id", "node").distinct(), "classes")
-    nodes = members.select(F.col("node").alias("doc_id")).distinct()
-
-    tokens = first.join(nodes, "doc_id", "left_semi").select("doc_id", "n", F.explode("hs").alias("h"))
-    kept = shared(tokens, s).select(F.col("doc_id").alias("node"), "n", F.explode("hs").alias("h")).distinct()
-    df_of = kept.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
-    index = staged(kept.join(df_of, "h"), "index")
-    sets = staged(whole_sets(only(known, staged(index.select(F.col("node").alias("doc_id")).distinct(), "nodes")), s), "sets")
+    nodes = staged(members.select(F.col("node").alias("doc_id")).distinct(), "nodes")
+    sets = staged(whole_sets(only(known, nodes), s), "sets")
+    index = staged(prefix_index(sets, s), "index")
+    sets = sets.join(index.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
 
     links = None
     for turn in range(s.rounds):
         found = similar(_leader_pairs(_grouped(index, links), s, turn), sets, s)
         links = staged(found if links is None else found.union(links), "similar")
-    links = staged(similar(_other_pairs(_grouped(index, links), s), sets, s).union(links), "similar")
+    rest = similar(_other_pairs(_grouped(index, links), sets, s), sets, s)
+    links = staged(rest if links is None else rest.union(links), "similar")
 
     # Members of a class are linked with their node.
     links = links.union(members.filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
