@@ -6,6 +6,9 @@ from tests.oracle import compare, connect
 from tidemark.registry import ORACLES, QUERIES
 
 
+LARGER = "/root/testdata/sf0.01"
+
+
 @pytest.fixture(scope="module")
 def con(folder):
     return connect(folder)
@@ -14,7 +17,9 @@ def con(folder):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_oracle(spark, con, folder, name):
     message = compare(spark, con, folder, name)
-    assert message in (None, "EMPTY"), message
+    if message == "EMPTY":  # such rows are rare: look at ten times as many
+        message = compare(spark, connect(LARGER), LARGER, name)
+    assert message is None, message
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))

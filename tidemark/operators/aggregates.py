@@ -94,18 +94,12 @@ def sum_sources(sources: list[DataFrame], keys: list[str], amount: str, out: str
     return one.groupBy(*keys).agg(F.sum(amount).alias(out))
 
 
-def trailing_days(daily: DataFrame, day: str, dates: DataFrame, score_date: str, days: int, limit: int = 5000) -> DataFrame:
+def trailing_days(daily: DataFrame, day: str, dates: DataFrame, score_date: str, days: int) -> DataFrame:
     """Copy each daily row to every score date whose trailing window of `days` days holds it.
 
-    Input is one row per (entity, day), already aggregated. The dates are at most one per calendar day; up
-    to `limit` of them travel as a literal, and a row is copied exactly to the dates it reaches. Beyond
-    that the day is exploded to its whole reach and matched by equality. Neither path joins on a range.
+    Input is one row per (entity, day), already aggregated. A row is exploded to the days it reaches and
+    matched with the score dates by equality; a NULL day reaches none, a NULL date holds none.
     """
-    wanted = dates.select(score_date).distinct()
-    head = [r[0] for r in wanted.limit(limit + 1).collect()]
-    if len(head) <= limit:
-        listed = F.array(*[F.lit(d) for d in sorted(head)]).cast("array<date>")
-        hits = F.filter(listed, lambda d: (d >= F.col(day)) & (d < F.date_add(F.col(day), days)))
-        return daily.withColumn(score_date, F.explode(hits))
     reach = F.sequence(F.col(day), F.date_add(F.col(day), days - 1), F.expr("interval 1 day"))
-    return daily.withColumn(score_date, F.explode(reach)).join(wanted, score_date, "left_semi")
+    wanted = dates.select(score_date).distinct()
+    return daily.withColumn(score_date, F.explode(reach)).join(wanted, score_date, "left_semi").select(*daily.columns, score_date)

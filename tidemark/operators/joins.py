@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .windows import ffill
 
+#: Characters of a pattern that a substring join matches on before it verifies.
+PIECE = 4
+
 
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Equi join in which NULL keys match NULL keys; the right key columns are dropped."""
@@ -63,32 +66,28 @@ def either_key(left: DataFrame, right: DataFrame, pairs: list[tuple[Column, Colu
     return reduce(DataFrame.unionByName, parts).dropDuplicates(left_id)
 
 
-def contains_any(df: DataFrame, text: str, patterns: DataFrame, pattern: str, carry: list[str] = (), limit: int = 2000) -> DataFrame:
+def contains_any(df: DataFrame, text: str, patterns: DataFrame, pattern: str, carry: list[str] = ()) -> DataFrame:
     """Case-blind substring join: one row per (row, pattern found in its text). Patterns are plain text, not
     wildcards.
 
-    Up to `limit` patterns travel as one literal array and every row is tested in place, without a join
-    or a shuffle. Beyond that, rows are cut into pieces as long as the shortest pattern, joined on the
-    pattern's first piece, and the candidates verified: the same result without a nested loop.
+    Each pattern is known by its first piece of at most PIECE characters. Rows are cut into their distinct
+    pieces of the lengths in use, joined on the piece, and the candidates verified. An empty pattern has the
+    empty piece, which every text holds; NULL texts and patterns match nothing.
     """
     cols = list(dict.fromkeys([pattern, *carry]))
-    pats = patterns.select(*cols).distinct()
-    head = pats.limit(limit + 1).collect()
     low = F.lower(F.col(text))
-    if len(head) <= limit:
-        if not head:
-            return df.select("*", *[F.lit(None).cast(pats.schema[c].dataType).alias(c) for c in cols]).filter(F.lit(False))
-        lits = F.array(*[F.struct(*[F.lit(r[c]).cast(pats.schema[c].dataType).alias(c) for c in cols]) for r in head])
-        hits = F.filter(lits, lambda p: low.contains(F.lower(p[pattern])))
-        return df.withColumn("_hit", F.explode(hits)).select(*df.columns, *[F.col(f"_hit.{c}").alias(c) for c in cols])
-    size = pats.agg(F.min(F.length(pattern)).alias("n")).first()["n"]
-    if not size:
-        raise ValueError("an empty pattern matches every row")
-    starts = F.sequence(F.lit(1), F.length(F.col(text)) - size + 1)
-    pieces = F.when(F.length(F.col(text)) >= size, F.array_distinct(F.transform(starts, lambda i: low.substr(i, F.lit(size)))))
-    cut = df.withColumn("_piece", F.explode(pieces))
-    keyed = pats.withColumn("_head", F.substring(F.lower(F.col(pattern)), 1, size))
-    return cut.join(keyed, F.col("_piece") == F.col("_head")).filter(low.contains(F.lower(F.col(pattern)))).drop("_piece", "_head")
+    keyed = patterns.select(*cols).filter(F.col(pattern).isNotNull()).distinct()
+    keyed = keyed.withColumn("_head", F.substring(F.lower(F.col(pattern)), 1, PIECE))
+
+    def pieces(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length("_low") - n + 1, F.lit(1)))
+        whole = F.transform(starts, lambda i: F.substring(F.col("_low"), i, F.lit(n)))
+        return F.when(F.length("_low") >= n, F.array_distinct(whole)).otherwise(F.array().cast("array<string>"))
+
+    cut = df.withColumn("_low", low).filter(F.col("_low").isNotNull())
+    cut = cut.withColumn("_piece", F.explode(F.concat(F.array(F.lit("")), *[pieces(n) for n in range(1, PIECE + 1)])))
+    hits = cut.join(keyed, F.col("_piece") == F.col("_head")).filter(F.col("_low").contains(F.lower(F.col(pattern))))
+    return hits.drop("_piece", "_head", "_low")
 
 
 def path_prefixes(address: Column, sep: str = "_", root: str = "ORIGIN") -> Column:

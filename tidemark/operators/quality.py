@@ -37,8 +37,8 @@ def parent_has_child(parent: DataFrame, child: DataFrame, keys: list[str], thres
     lonely = parent.select(*keys).distinct().join(child.select(*keys), keys, "left_anti")
     if threshold <= 1:
         return lonely
-    found = len(lonely.limit(threshold).collect())
-    return lonely if found >= threshold else lonely.filter(F.lit(False))
+    enough = lonely.agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= threshold)
+    return lonely.withColumn("_all", F.lit(1)).join(enough.select(F.lit(1).alias("_all")), "_all", "left_semi").select(*keys)
 
 
 def missing_rows(base: DataFrame, model: DataFrame, keys: list[str]) -> DataFrame:
@@ -75,6 +75,23 @@ def column_types(df: DataFrame, expected: dict[str, list[str]]) -> list[str]:
     return [c for c, types in expected.items() if have.get(c) not in types]
 
 
+def untyped(df: DataFrame, keys: list[str], expected: dict[str, str], whole: list[str] = ()) -> DataFrame:
+    """keys and column_name for each value that does not read as its type; of those in `whole`, also numbers with
+    a fraction. NULL passes."""
+    tests = []
+    for c, kind in expected.items():
+        read = F.col(c).try_cast(kind)
+        bad = read.isNull() if c not in whole else read.isNull() | (read != F.floor(read))
+        tests.append(F.when(F.col(c).isNotNull() & bad, F.lit(c)))
+    return df.select(*keys, F.explode(F.array_compact(F.array(*tests))).alias("column_name"))
+
+
+def without_fields(df: DataFrame, payload: str, fields: list[str]) -> DataFrame:
+    """Rows whose JSON object lacks one of the fields."""
+    names = F.json_object_keys(F.col(payload))
+    return df.filter(~reduce(lambda a, b: a & b, [F.coalesce(F.array_contains(names, f), F.lit(False)) for f in fields]))
+
+
 def recent(df: DataFrame, stamp: str, since) -> DataFrame:
     """One row with the newest stamp when it is older than `since` or absent."""
     top = df.agg(F.max(stamp).alias("newest"))

@@ -49,26 +49,17 @@ def json_items(df: DataFrame, col: str, as_type: str = "array<string>", **kw) ->
     return flatten(df, F.from_json(F.col(col), as_type), **kw)
 
 
-def flatten_tree(df: DataFrame, payload: str, children: str, depth: int, node_fields: dict[str, str], root: str = "ORIGIN", node: str | None = None) -> DataFrame:
+def flatten_tree(df: DataFrame, payload: str, children: str, node_fields: dict[str, str], root: str = "ORIGIN", node: str | None = None, step: int = 8) -> DataFrame:
     """Nested nodes of a JSON tree to one row per node with its path and its parent's path.
 
-    The levels are built as array columns next to each other and exploded once: one scan, one parse, no
-    shuffle, and the working set is the one payload already in the row. `depth` bounds the unrolled
-    levels; a tree that goes deeper raises an error rather than losing nodes. See flatten_tree_any().
+    The levels are built as array columns next to each other and exploded once: one parse, no shuffle, and
+    the working set is the one payload already in the row. Each round unrolls `step` levels; the few nodes
+    with children below them are written as the next round's input, until none are left. `df` should be a
+    table on storage, as it is read twice.
 
     node_fields: output column → field of the node (read as text). `node` names a column for the node
     itself without its children.
     """
-    nodes, levels = _tree_levels(df, payload, children, depth, root)
-    deeper = F.exists(f"_l{depth}", lambda n: _has_kids(n, children))
-    guarded = F.when(deeper, F.raise_error(F.lit(f"tree deeper than {depth} levels")).cast(nodes.select(levels.alias("x")).schema["x"].dataType)).otherwise(levels)
-    return _tree_rows(df, nodes.withColumn("_n", F.explode(guarded)), payload, children, node_fields, node)
-
-
-def flatten_tree_any(df: DataFrame, payload: str, children: str, node_fields: dict[str, str], root: str = "ORIGIN", node: str | None = None, step: int = 8) -> DataFrame:
-    """The same for trees of any depth. Each round unrolls `step` levels; the few nodes with children below
-    them are written as the next round's input, until none are left. `df` should be a table on storage, as
-    it is read twice."""
     from ..session import staged
 
     base = [c for c in df.columns if c != payload]

@@ -189,7 +189,7 @@ def lp_astroport(attrs: DataFrame, pools: DataFrame, contracts: DataFrame) -> Da
              "refund_assets": "_a2", "share": "_s1", "withdrawn_share": "_s2", "amount": "amount"}
     wasm = objects(rows, EVENT, names).filter(F.col("action").isin(*acts)).withColumn("amount", number("amount"))
     wasm = wasm.withColumn("lp_token_amount", F.coalesce(number("_s1"), number("_s2"))).withColumn("_assets", F.coalesce("_a1", "_a2"))
-    wasm = wasm.withColumn("token1_raw", F.split_part("_assets", F.lit(","), F.lit(1))).withColumn("token2_raw", F.substring(F.split_part("_assets", F.lit(","), F.lit(2)), 2, 9999))
+    wasm = wasm.withColumn("token1_raw", F.split_part("_assets", F.lit(","), F.lit(1))).withColumn("token2_raw", F.regexp_replace(F.split_part("_assets", F.lit(","), F.lit(2)), "(?s)^.", ""))
     shares = dedup_latest(wasm.filter(F.col("action").isin("mint", "burn")), [*GROUP, "amount"], ["msg_index"])
     shares = shares.select(*GROUP, F.col("amount").alias("lp_token_amount"), F.col("contract_address").alias("lp_token_address"))
     moves = wasm.filter(F.col("action").isin("provide_liquidity", "withdraw_liquidity")).join(shares, [*GROUP, "lp_token_amount"])

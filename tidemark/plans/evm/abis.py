@@ -17,7 +17,7 @@ from ...operators.windows import OPEN_END, dedup_latest, dedup_priority, lead_in
 from ..audit import keyed
 
 STAMP = "_inserted_timestamp"
-# tuples may nest this deep
+# tuples may nest this deep; a deeper one is an error, not a shorter signature
 NESTING = 6
 EARLY = "2000-01-01 00:00:00"
 ABI = ["contract_address", "data", STAMP, "abi_source", "discord_username", "abi_hash"]
@@ -32,7 +32,7 @@ def _type_text(p: Column, depth: int) -> Column:
     """Canonical type of a parameter; a tuple is spelled out by its components, keeping an array suffix."""
     t = p["type"]
     if not depth:
-        return F.when(~t.startswith("tuple"), t)
+        return F.when(~t.startswith("tuple"), t).otherwise(F.raise_error(F.lit(f"tuple nested deeper than {NESTING} levels")).cast("string"))
     parts = F.transform(p["components"], lambda c: _type_text(c, depth - 1))
     spelled = F.concat(F.lit("("), F.array_join(parts, ","), F.lit(")"), F.regexp_replace(t, "^tuple", ""))
     return F.when(t.startswith("tuple"), spelled).otherwise(t)
@@ -112,7 +112,7 @@ def verified_abis(responses: DataFrame, user: DataFrame) -> DataFrame:
 
 def bytecode_abis(created: DataFrame, verified: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Contracts without an interface whose bytecode maps to exactly one interface elsewhere."""
-    code = created.select(F.col("created_contract_address").alias("contract_address"), F.col("created_contract_input").alias("bytecode"))
+    code = created.select(F.col("created_contract_address").alias("contract_address"), F.sha2("created_contract_input", 256).alias("bytecode"))
     known = code.join(verified.select("contract_address", "data", "abi_hash"), "contract_address")
     one = known.groupBy("bytecode").agg(F.count_distinct("data").alias("_n"), F.min("data").alias("abi"), F.min("abi_hash").alias("abi_hash")).filter("_n = 1").drop("_n")
     open_ = code.join(known.select("contract_address"), "contract_address", "left_anti")

@@ -9,7 +9,7 @@ from ...functions.hexwords import decimal_adjust, hex_to_number, hex_to_text, he
 from ...operators import increments as inc
 from ...operators.aggregates import merge_totals
 from ...operators.joins import inside_flagged_payload
-from ...operators.rows import flatten, flatten_tree_any
+from ...operators.rows import flatten, flatten_tree
 from ...operators.sets import union_all
 from ...operators.windows import dedup_latest
 from ...session import staged
@@ -190,7 +190,7 @@ def traces(raw: DataFrame) -> DataFrame:
     rows = _variant(raw, "data").select("block_number", "partition_key", F.try_variant_get(F.try_parse_json("value"), "$.array_index", "bigint").alias("tx_position"),
                                         _text("txHash").alias("tx_hash"), _json("result").alias("_tree"), STAMP).filter(F.col("_tree").isNotNull())
     latest = staged(dedup_latest(rows, ["block_number", "tx_position", "tx_hash"], [newest(STAMP), newest("_tree")]), "traces")
-    nodes = flatten_tree_any(latest, "_tree", "calls", {}, node="trace_json").withColumnRenamed("parent_address", "parent_trace_address")
+    nodes = flatten_tree(latest, "_tree", "calls", {}, node="trace_json").withColumnRenamed("parent_address", "parent_trace_address")
     best = dedup_latest(nodes, ["block_number", "tx_hash", "trace_address"], [newest(STAMP), newest("tx_position")])
     out = best.withColumn("trace_address_array", F.split("trace_address", "_")).drop("tx_position")
     return keyed(out, "traces_id", "block_number", "tx_hash", "trace_address")

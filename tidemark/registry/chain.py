@@ -15,8 +15,8 @@ from ..operators import increments as inc
 from ..plans.cosmos import core, stats
 from .base import VIEWS, block_of, query
 
-# the newest blocks have not landed yet
-KNOWN = 700
+# for the query on late blocks: the first block that has not landed yet
+LANDED = 700
 NOW = datetime(2024, 2, 1)
 
 
@@ -64,7 +64,7 @@ def raw_transactions(t, kind=None, attrs=None) -> DataFrame:
 def raw_blocks(t) -> DataFrame:
     """One JSON payload per landed block."""
     txs = t.events.groupBy(F.expr("event_id div 10").alias("tx")).agg(F.min("ts").alias("ts"))
-    heads = txs.groupBy(block_of("ts").alias("h")).agg(F.min("ts").alias("time"), F.count(F.lit(1)).alias("n")).filter(F.col("h") < KNOWN)
+    heads = txs.groupBy(block_of("ts").alias("h")).agg(F.min("ts").alias("time"), F.count(F.lit(1)).alias("n"))
     heads = heads.withColumn("txs", F.transform(F.sequence(F.lit(1).cast("bigint"), F.col("n")), lambda i: i.cast("string")))
     header = F.struct(F.col("h").cast("string").alias("height"), F.lit("main-1").alias("chain_id"), F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("time"),
                       F.concat(F.lit("p"), F.col("h") % 7).alias("proposer_address"))
@@ -98,7 +98,7 @@ VIEWS.update({
     "c_ev": """select 'T' || (event_id // 10) as tx_id, event_id % 10 as msg_index, event_id, user_id, event_type, json_extract_string(props, '$.k') as k, ts,
         case event_type when 'click' then 'message' when 'view' then 'message' when 'purchase' then 'transfer' when 'signup' then 'tx' else 'signer' end as msg_type from events""",
     "c_tx": """select tx_id, cast(floor((epoch(min(ts)) - 1704067200) / 3600) as bigint) as block_id, count(*) filter (where event_type = 'error') < 4 as tx_succeeded, min(ts) as first_ts from c_ev group by 1""",
-    "c_blk": f"select block_id, min(first_ts) as block_timestamp, count(*) as tx_count from c_tx where block_id < {KNOWN} group by 1",
+    "c_blk": "select block_id, min(first_ts) as block_timestamp, count(*) as tx_count from c_tx group by 1",
     "c_grp": """select e.*, t.block_id, b.block_timestamp, t.tx_succeeded, nullif(sum(case when event_type = 'click' then 1 else 0 end) over (partition by e.tx_id order by msg_index rows unbounded preceding) - 1, -1) as msg_group,
         arg_max(msg_type, msg_index) over (partition by e.tx_id) as last_type from c_ev e join c_tx t on e.tx_id = t.tx_id join c_blk b on b.block_id = t.block_id""",
     "c_rank": """select *, case when event_type = 'view' and msg_group is not null then row_number() over (partition by tx_id, msg_group, event_type order by msg_index) - 1 end as r from c_grp""",
@@ -121,10 +121,12 @@ def q_blocks(t):
     return blocks(t).select("block_id", "block_timestamp", "chain_id", F.col("tx_count").cast("bigint").alias("tx_count"), "proposer_address", "blocks_id")
 
 
-@query("chain_transactions", """select t.tx_id, t.block_id, t.tx_succeeded, strftime(coalesce(b.block_timestamp, timestamp '2099-12-31'), '%Y-%m-%d %H:%M:%S') as block_timestamp, 10 as n_msgs, md5(t.tx_id) as transactions_id
-    from c_tx t left join c_blk b on t.block_id = b.block_id""")
+@query("chain_transactions", f"""select t.tx_id, t.block_id, t.tx_succeeded, strftime(coalesce(b.block_timestamp, timestamp '2099-12-31'), '%Y-%m-%d %H:%M:%S') as block_timestamp, 10 as n_msgs, md5(t.tx_id) as transactions_id
+    from c_tx t left join c_blk b on t.block_id = b.block_id and b.block_id < {LANDED}""")
 def q_transactions(t):
-    return transactions(t).select("tx_id", "block_id", "tx_succeeded", "block_timestamp", F.size("msgs").alias("n_msgs"), "transactions_id")
+    """The newest blocks have not landed: their transactions carry the sentinel time."""
+    late = core.transactions(raw_transactions(t), blocks(t).filter(F.col("block_id") < LANDED))
+    return late.select("tx_id", "block_id", "tx_succeeded", "block_timestamp", F.size("msgs").alias("n_msgs"), "transactions_id")
 
 
 @query("chain_transactions_final", f"select tx_id, block_id, {_TS}, tx_succeeded, tx_from, fee from c_fin")

@@ -66,16 +66,18 @@ def unique(t):
     return q.unique(t.lineitem, ["l_orderkey", "l_linenumber"])
 
 
-@query("dq_type", "select 'o_totalprice' as column_name")
+@query("dq_type", """select l_orderkey, l_linenumber, 'l_returnflag' as column_name from lineitem union all select l_orderkey, l_linenumber, 'l_tax' from lineitem where l_tax <> floor(l_tax)""")
 def types(t):
-    bad = q.column_types(t.orders, {"o_orderkey": ["bigint"], "o_totalprice": ["decimal(38,0)"], "o_orderstatus": ["string"]})
-    return t.region.limit(1).select(F.explode(F.array(*[F.lit(b) for b in bad])).alias("column_name"))
+    """Rows whose values, read as text, are no whole numbers."""
+    as_text = t.lineitem.select("l_orderkey", "l_linenumber", *[F.col(c).cast("string").alias(c) for c in ("l_partkey", "l_returnflag", "l_tax")])
+    return q.untyped(as_text, ["l_orderkey", "l_linenumber"], {"l_partkey": "bigint", "l_returnflag": "bigint", "l_tax": "decimal(20,6)"}, whole=["l_partkey", "l_returnflag", "l_tax"])
 
 
-@query("dq_column_exists", "select 'no_such_column' as column_name")
+@query("dq_column_exists", """select event_type, count(*) as n_records from events where event_type <> 'error' group by 1""")
 def column_exists(t):
-    bad = q.column_types(t.orders, {c: [dict(t.orders.dtypes).get(c, "any")] for c in ("o_orderkey", "no_such_column")})
-    return t.region.limit(1).select(F.explode(F.array(*[F.lit(b) for b in bad])).alias("column_name"))
+    """Records whose payload lacks a field."""
+    record = F.when(F.col("event_type") == "error", F.to_json(F.struct("event_id", "value"))).otherwise(F.to_json(F.struct("event_id")))
+    return q.without_fields(t.events.select("event_type", record.alias("data")), "data", ["value"]).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_records"))
 
 
 @query("dq_regex", "select c_custkey from customer where not regexp_matches(c_name, '^Customer#0+[0-9]{1,3}$')")

@@ -85,13 +85,18 @@ def dynamic_offset(t):
     return pairs.select("l_orderkey", F.col("idx").cast("bigint").alias("idx"), F.col("p")[0].alias("token"), F.col("p")[1].alias("amount"))
 
 
-@query("op_event_signature", """select p_type, p_type || '(' || string_agg(p_brand, ',' order by p_partkey) || ')' as signature from (select p_type, p_brand, p_partkey, row_number() over (partition by p_type order by p_partkey) as rn from part) where rn <= 8 group by 1""")
+@query("op_event_signature", """select l_orderkey, 'Order' || l_orderkey || '(' || string_agg(case when l_returnflag = 'R' then '(uint' || l_linenumber || ',address)[]' else 'bytes' || l_linenumber end, ',' order by l_linenumber, l_suppkey, l_returnflag = 'R') || ')' as signature
+    from lineitem group by 1""")
 def event_signature(t):
-    from ..operators.aggregates import ordered_arrays
-    from ..operators.windows import top_per_group
-    inputs = top_per_group(t.part, ["p_type"], ["p_partkey"], 8)
-    args = ordered_arrays(inputs, ["p_type"], ["p_partkey"], "p_brand", "types")
-    return args.select("p_type", F.concat("p_type", F.lit("("), F.array_join("types", ","), F.lit(")")).alias("signature"))
+    """Interface JSON of an event per order, an input per line, to its signature; tuples are written out."""
+    from ..plans.evm import abis
+    pair = F.array(F.struct(F.concat(F.lit("uint"), F.col("l_linenumber")).alias("type")), F.struct(F.lit("address").alias("type")))
+    back = F.col("l_returnflag") == "R"
+    typ = F.when(back, F.lit("tuple[]")).otherwise(F.concat(F.lit("bytes"), F.col("l_linenumber")))
+    part = F.struct(F.col("l_linenumber").alias("n"), F.col("l_suppkey").alias("s"), F.struct(typ.alias("type"), F.when(back, pair).alias("components")).alias("i"))
+    events = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    inputs = F.to_json(F.transform("parts", lambda p: p["i"]))
+    return events.select("l_orderkey", abis.text_signature(F.concat(F.lit("Order"), F.col("l_orderkey")), inputs).alias("signature"))
 
 
 @query("op_flatten_decoded", """with a as (select tx_id, case when msg_type = 'view' then 'anonymous_' || msg_index else msg_type end as name, max(attribute_value) as v from v_attrs group by 1, 2)

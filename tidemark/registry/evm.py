@@ -237,16 +237,14 @@ _SHIFT = "case when decimals is not null then qty * 1000.0 / power(10, decimals)
     round({_SHIFT} * p.price, 2) as amount_usd, symbol, name, coalesce(p.is_verified, false) as token_is_verified from e_log x left join e_contract c on c.address = x.contract_address and (decimals is not null or symbol is not null or name is not null)
     left join e_price p on p.l_partkey = x.l_partkey and p.hour = x.ts where event_index = 0 and l_returnflag <> 'R'""")
 def q_token_transfers(t):
-    rows = logs(t).filter(F.length("data") == 66)
-    return core.token_transfers(rows, contracts(t), prices(t)).select("tx_hash", "from_address", "to_address", "contract_address", "raw_amount_precise", "amount", "amount_usd", "symbol", "name", "token_is_verified")
+    return core.token_transfers(logs(t), contracts(t), prices(t)).select("tx_hash", "from_address", "to_address", "contract_address", "raw_amount_precise", "amount", "amount_usd", "symbol", "name", "token_is_verified")
 
 
 @query("evm_heal_token_transfers", f"""select x.tx_hash, round(qty * 1000.0 / power(10, decimals) * p.price, 2) as amount_usd from e_log x join e_contract c on c.address = x.contract_address join e_price p on p.l_partkey = x.l_partkey and p.hour = x.ts
     where event_index = 0 and l_returnflag <> 'R' and decimals is not null and symbol like 'Brand#1%'""")
 def q_heal_token_transfers(t):
     """Stored without any price; prices arrive for some brands' tokens."""
-    rows = logs(t).filter(F.length("data") == 66)
-    stored = core.token_transfers(rows, contracts(t), prices(t).filter(F.lit(False)))
+    stored = core.token_transfers(logs(t), contracts(t), prices(t).filter(F.lit(False)))
     brands = contracts(t).filter(F.col("symbol").like("Brand#1%")).select(F.col("address").alias("token_address"))
     arrived = prices(t).join(brands, "token_address", "left_semi")
     return core.heal_token_transfers(stored, contracts(t), arrived).select("tx_hash", "amount_usd")
@@ -286,9 +284,14 @@ def q_ez_decoded(t):
 # --- worklists over the same blocks -----------------------------------------------------------------
 
 
-@query("worklist_blocks", "select b as block_number, (b + 500) // 1000 * 1000 as partition_key from (select unnest(range(1, 3601)) as b) where b not in (select block_number from e_line)")
+def _head(t) -> int:
+    """The newest block that any payload names."""
+    return lines(t).agg(F.max("block_number")).first()[0] or 0
+
+
+@query("worklist_blocks", "select b as block_number, (b + 500) // 1000 * 1000 as partition_key from (select unnest(range(1, (select max(block_number) from e_line) + 1)) as b) where b not in (select block_number from e_line)")
 def q_blocks_to_fetch(t):
-    return wl.blocks_to_fetch(wl.expected_blocks(t.spark, 3600), wl.fetched(raw_blocks(t), "id"))
+    return wl.blocks_to_fetch(wl.expected_blocks(t.spark, _head(t)), wl.fetched(raw_blocks(t), "id"))
 
 
 @query("worklist_pages", """with c as (select l_orderkey as block_number, count(*) as n from lineitem group by 1) select block_number, (block_number + 500) // 1000 * 1000 as partition_key, cast(page_number as int) as page_number
@@ -324,12 +327,12 @@ def q_unconfirmed(t):
     return wl.unconfirmed_blocks(tx.select("block_number", "tx_hash"), tx.filter("not (l_returnflag = 'N' and disc = 7)"), 1500)
 
 
-@query("worklist_backlog", "select b as block_number, (b + 500) // 1000 * 1000 as partition_key from (select unnest(range(1000, 3601)) as b) where b not in (select block_number from e_line where l_returnflag = 'A') or b in (select block_number from e_line where tax = 8 and disc = 9)")
+@query("worklist_backlog", "select b as block_number, (b + 500) // 1000 * 1000 as partition_key from (select unnest(range(1000, (select max(block_number) from e_line) + 1)) as b) where b not in (select block_number from e_line where l_returnflag = 'A') or b in (select block_number from e_line where tax = 8 and disc = 9)")
 def q_backlog(t):
     """Expected blocks whose receipts are missing, and blocks to retry."""
     rows = lines(t)
     retry = rows.filter("tax = 8 and disc = 9").select("block_number").filter("block_number >= 1000")
-    return wl.evm_backlog(wl.expected_blocks(t.spark, 3600), rows.filter("l_returnflag = 'A'").select("block_number").distinct(), [retry], low=1000, cap=1_000_000)
+    return wl.evm_backlog(wl.expected_blocks(t.spark, _head(t)), rows.filter("l_returnflag = 'A'").select("block_number").distinct(), [retry], low=1000, cap=1_000_000)
 
 
 @query("worklist_range_calls", """with m as (select distinct l_orderkey as b, from lineitem where l_returnflag = 'R'), r as (select b, (row_number() over (order by b) - 1) // 20 as range_no from m)

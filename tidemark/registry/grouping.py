@@ -57,10 +57,10 @@ def kv_pivot_map(t):
     return agg.pivot_map(t.attrs, ["tx_id"], "attribute_key", "attribute_value")
 
 
-@query("op_array_agg", """select l_returnflag, l_shipdate, string_agg(cast(l_partkey as varchar), ',' order by l_partkey) as parts from (select l_returnflag, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as l_shipdate, l_partkey from lineitem) group by 1, 2""")
+@query("op_array_agg", """select l_returnflag, l_shipdate, part_no, string_agg(cast(l_partkey as varchar), ',' order by l_partkey) as parts from (select l_returnflag, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as l_shipdate, l_partkey,
+    (row_number() over (partition by l_returnflag, l_shipdate order by l_partkey, l_orderkey, l_linenumber, l_suppkey) - 1) // 10000 as part_no from lineitem) group by 1, 2, 3""")
 def array_agg(t):
-    rows = agg.ordered_arrays(t.lineitem, ["l_returnflag", "l_shipdate"], ["l_partkey", "l_orderkey", "l_linenumber", "l_suppkey"], "l_partkey", "parts", chunk=F.expr("l_partkey div 100000"))
-    return rows.drop("part_no")
+    return agg.ordered_arrays(t.lineitem, ["l_returnflag", "l_shipdate"], ["l_partkey", "l_orderkey", "l_linenumber", "l_suppkey"], "l_partkey", "parts", chunk=F.expr("l_partkey div 100000"))
 
 
 @query("op_array_agg_ordered", """with s as (select o_custkey, o_orderkey, (row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) - 1) // 5 as part_no from orders)
@@ -69,10 +69,10 @@ def array_agg_ordered(t):
     return agg.ordered_arrays(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderkey", "order_keys", size=5, chunk=F.year("o_orderdate"))
 
 
-@query("op_array_agg_distinct", """select l_suppkey, string_agg(cast(l_partkey as varchar), ',' order by l_partkey) as parts from (select distinct l_suppkey, l_partkey from lineitem where l_returnflag = 'R') group by 1""")
+@query("op_array_agg_distinct", """select l_suppkey, part_no, string_agg(cast(l_partkey as varchar), ',' order by l_partkey) as parts from (select *, (row_number() over (partition by l_suppkey order by l_partkey) - 1) // 10000 as part_no
+    from (select distinct l_suppkey, l_partkey from lineitem where l_returnflag = 'R')) group by 1, 2""")
 def array_agg_distinct(t):
-    rows = agg.distinct_arrays(t.lineitem.filter("l_returnflag = 'R'"), ["l_suppkey"], "l_partkey", "parts", chunk=F.expr("l_partkey div 100000"))
-    return rows.drop("part_no")
+    return agg.distinct_arrays(t.lineitem.filter("l_returnflag = 'R'"), ["l_suppkey"], "l_partkey", "parts", chunk=F.expr("l_partkey div 100000"))
 
 
 @query("op_array_union_agg", "select o_custkey, count(distinct l_partkey) as n_parts from lineitem join orders on l_orderkey = o_orderkey group by 1")

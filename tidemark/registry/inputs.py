@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -16,13 +16,15 @@ from .base import query
 CUT = datetime(2024, 1, 20)
 
 
-def _landed(t):
+def _landed(t, only=None, batch: str = "", path: str | None = None):
     """Events as a landing zone would deliver them: JSON files below a day folder."""
-    path = scratch_path(t.spark, "landed")
+    path = path or scratch_path(t.spark, "landed")
+    events = t.events if only is None else t.events.filter(only)
     payload = F.to_json(F.struct("event_id", "event_type", "value"))
     meta = F.to_json(F.struct(F.col("event_id").alias("id")))
     day = F.date_format("ts", "yyyyMMdd")
-    t.events.select(F.col("event_type").alias("value"), meta.alias("metadata"), payload.alias("data"), day.alias("key")).write.partitionBy("key").json(path)
+    out = f"{path}/{batch}" if batch else path
+    events.select(F.col("event_type").alias("value"), meta.alias("metadata"), payload.alias("data"), day.alias("key")).write.partitionBy("key").json(out)
     return path
 
 
@@ -39,10 +41,29 @@ def _typed(df):
     return rows.json_project(df.drop("value"), "data", fields, ["partition_key"])
 
 
-@query("op_scan_files", _SCAN_SQL + " where ts >= timestamp '2024-01-10'")
+@query("op_scan_files", _SCAN_SQL + " where ts >= timestamp '2024-01-20' and event_type <> 'view'")
 def scan_files(t):
-    path = _landed(t)
-    return _typed(files.scan_files(t.spark, path, _day_key(), datetime(2020, 1, 1), floor=20240110))
+    """Two landings: views, then, a moment later, the rest. Only files since the second count, from a floor on."""
+    import time
+
+    path = _landed(t, F.col("event_type") == "view", "first")
+    time.sleep(2)
+    since = datetime.now(timezone.utc).replace(tzinfo=None)
+    time.sleep(1)
+    _landed(t, F.col("event_type") != "view", "second", path)
+    key = F.regexp_extract("file_name", "key=([0-9]+)/", 1).cast("bigint")
+    return _typed(files.scan_files(t.spark, path, key, since, floor=20240120))
+
+
+@query("op_path_key", _SCAN_SQL)
+def scan_path_key(t):
+    """Landed as a/b/c/<key>_rest: the key comes from the path."""
+    path = scratch_path(t.spark, "keyed")
+    payload = F.to_json(F.struct("event_id", "event_type", "value"))
+    named = F.concat(F.date_format("ts", "yyyyMMdd"), F.lit("_part"))
+    t.events.select(F.lit("").alias("value"), F.lit("").alias("metadata"), payload.alias("data"), F.lit("b").alias("a"), F.lit("c").alias("b"), F.lit("d").alias("c"), named.alias("k")).write.partitionBy("a", "b", "c", "k").json(path)
+    name = F.regexp_replace("file_name", "[a-z]+=", "")
+    return _typed(files.scan_full_history(t.spark, path, files.path_key(4, name)))
 
 
 @query("op_scan_full_history", _SCAN_SQL)

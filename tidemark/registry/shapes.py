@@ -111,7 +111,8 @@ def flatten_recursive(t):
     last = F.struct(F.lit("last").alias("kind"), F.lit(None).cast("array<struct<kind:string>>").alias("calls"))
     tree = F.struct(F.col("l_returnflag").alias("kind"), F.array(first, last).alias("calls"))
     once = t.lineitem.select(*line, "l_returnflag", "l_linestatus", "l_shipdate").distinct()
-    return rows.flatten_tree(once.select(*line, F.to_json(tree).alias("payload")), "payload", "calls", 2, {"kind": "kind"})
+    stored = t.table("trees", lambda: once.select(*line, F.to_json(tree).alias("payload")))
+    return rows.flatten_tree(stored, "payload", "calls", {"kind": "kind"}, step=1)
 
 
 @query("op_split_rows", r"select doc_id, w as word, count(*) as n from (select doc_id, unnest(regexp_split_to_array(text, '[ \n\t]+')) as w from documents) group by 1, 2")

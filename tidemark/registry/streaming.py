@@ -30,16 +30,41 @@ def _stream(t, per_trigger: int = 1):
     return raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-@query("op_stream_upsert", """select event_id, event_type, value, strftime(ts, '%Y-%m-%d') as day from events""")
+def _resent(t):
+    """The landing events, then every seventh once more with another value: a fifth file set."""
+    path = _landing(t)
+    first = t.spark.read.schema(t.events.schema).parquet(path)
+    again = first.filter(F.col("event_id") % 7 == 0).withColumn("value", F.col("value") + 1)
+    both, _ = s.scratch(t.spark, "resent")
+    first.withColumn("version", F.lit(1)).write.parquet(both)
+    again.withColumn("version", F.lit(2)).write.mode("append").parquet(both)
+    schema = t.spark.read.parquet(both).schema
+    return s.read_files(t.spark, both, schema, per_trigger=1).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+_RESENT = "select event_id, event_type, user_id, ts, case when event_id % 7 = 0 then value + 1 else value end as value from events"
+
+
+@query("op_stream_upsert", f"""select event_id, event_type, value, strftime(ts, '%Y-%m-%d') as day from ({_RESENT})""")
 def upsert(t):
+    """Later files bring some keys again with another value."""
     table, check = s.scratch(t.spark, "upsert")
-    rows = _stream(t).withColumn("day", F.to_date("ts"))
-    s.stream_upsert(rows, table, ["event_id", "day"], [newest("ts")], "day", check)
+    rows = _resent(t).withColumn("day", F.to_date("ts"))
+    s.stream_upsert(rows, table, ["event_id", "day"], [newest("version")], "day", check)
     return t.spark.read.parquet(table).select("event_id", "event_type", "value", "day")
 
 
-@query("op_stream_dedup", "select distinct user_id, strftime(ts, '%Y-%m-%d %H') as hour from events")
+@query("op_stream_dedup", f"""select user_id, strftime(ts, '%Y-%m-%d %H') as hour, max(event_id) as event_id, arg_max(value, event_id) as value from ({_RESENT}) group by 1, 2""")
 def dedup(t):
+    """The newest row of a user's hour: the largest event, in its last version, whichever file brings it."""
+    table, check = s.scratch(t.spark, "dedup")
+    rows = _resent(t).withColumn("hour", F.date_format("ts", "yyyy-MM-dd HH")).withColumn("day", F.to_date("ts"))
+    s.stream_latest(rows, table, ["user_id", "hour", "day"], [newest("event_id"), newest("version")], "day", check)
+    return t.spark.read.parquet(table).select("user_id", "hour", "event_id", "value")
+
+
+@query("op_stream_dedup_watermark", "select distinct user_id, strftime(ts, '%Y-%m-%d %H') as hour from events")
+def dedup_watermark(t):
     table, check = s.scratch(t.spark, "dedup")
     rows = _stream(t, 100).withColumn("hour", F.date_format("ts", "yyyy-MM-dd HH"))
     s.append_to(s.stream_dedup(rows, ["user_id", "hour"], "ts", "2 hours").select("user_id", "hour"), table, check)

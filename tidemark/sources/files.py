@@ -19,10 +19,11 @@ PAYLOAD = T.StructType([
 ])
 
 
-def path_key(depth: int = 4) -> Column:
+def path_key(depth: int = 4, name: Column | None = None) -> Column:
     """Partition key from a file path: the leading number of its `depth`-th component, as in
     a/b/c/<key>_rest."""
-    return part(part(F.col("file_name"), "/", depth), "_", 1).try_cast("bigint")
+    path = F.col("file_name") if name is None else name
+    return part(part(path, "/", depth), "_", 1).try_cast("bigint")
 
 
 def _landed(spark: SparkSession, path: str, key: Column, schema: T.StructType, root: str | None, **options) -> DataFrame:

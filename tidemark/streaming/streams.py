@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.increments import late_parent, upsert_partitions, write_partitions
 from ..operators.windows import dedup_latest, running_sum
-from ..session import scratch_path
+from ..session import scratch_path, staged
 
 
 def read_files(spark: SparkSession, folder: str, schema, glob: str = "*.parquet", per_trigger: int = 100) -> DataFrame:
@@ -59,6 +59,22 @@ def stream_upsert(stream: DataFrame, path: str, keys: list[str], order, by: str,
     each_batch(stream, apply, checkpoint)
 
 
+def stream_latest(stream: DataFrame, path: str, keys: list[str], order, by: str, checkpoint: str) -> None:
+    """The newest row per key, whichever batch brings it; `by` follows from the key. A batch meets the stored
+    rows of the partitions it touches and replaces those."""
+
+    def apply(batch: DataFrame, _epoch: int) -> None:
+        spark = batch.sparkSession
+        rows = dedup_latest(batch, keys, order)
+        if _exists(spark, path):
+            touched = rows.select(by).distinct()
+            stored = spark.read.parquet(path).join(touched, by, "left_semi")
+            rows = dedup_latest(stored.unionByName(rows, allowMissingColumns=True), keys, order)
+        write_partitions(rows, path, by)
+
+    each_batch(stream, apply, checkpoint)
+
+
 def stream_dedup(stream: DataFrame, keys: list[str], time: str, delay: str) -> DataFrame:
     """First row per key within the watermark; state is dropped once the watermark passes."""
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
@@ -135,7 +151,7 @@ def batch_late_parent(stream: DataFrame, parents: Callable[[SparkSession, int],
         spark = batch.sparkSession
         before = f"{path}/pending/epoch={epoch - 1}"
         waiting = spark.read.parquet(before) if epoch and _exists(spark, before) else None
-        dated = late_parent(waiting, batch, parents(spark, epoch), on, keys, time)
+        dated = staged(late_parent(waiting, batch, parents(spark, epoch), on, keys, time), "late_parent")
         hold = F.col(time) == F.lit("2099-12-31 00:00:00").cast("timestamp_ntz")
         dated.filter(~hold).write.mode("overwrite").parquet(f"{path}/settled/epoch={epoch}")
         dated.filter(hold).write.mode("overwrite").parquet(f"{path}/pending/epoch={epoch}")
