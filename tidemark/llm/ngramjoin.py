@@ -106,20 +106,14 @@ def _each(docs: DataFrame, schema: str, make) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {schema}")
 
 
-def sizes(docs: DataFrame, s: Settings) -> DataFrame:
-    """doc_id, n_shingles for each row."""
-    n = s.n
-    return _each(docs, "n_shingles bigint", lambda raw, offsets: {"n_shingles": pa.array([len(x) for x in token_sets(raw, offsets, n)], pa.int64())})
-
-
 def prefixes(docs: DataFrame, s: Settings) -> DataFrame:
-    """doc_id, n, h: a row for each token of the extended prefix."""
+    """doc_id, n (size of the set), hs (the extended prefix in the order of the hash)."""
 
     def make(raw: np.ndarray, offsets: np.ndarray) -> dict[str, pa.Array]:
         sets = token_sets(raw, offsets, s.n)
         return {"n": pa.array([len(x) for x in sets], pa.int32()), "hs": _lists([x[: int(s.prefix(len(x)))] for x in sets])}
 
-    return _each(docs, "n int, hs array<bigint>", make).select("doc_id", "n", F.explode("hs").alias("h"))
+    return _each(docs, "n int, hs array<bigint>", make)
 
 
 def signatures(docs: DataFrame, s: Settings) -> DataFrame:
@@ -157,8 +151,9 @@ def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids, "doc_id", "left_semi")
 
 
-def with_company(tokens: DataFrame, s: Settings) -> DataFrame:
+def with_company(prefix: DataFrame, s: Settings) -> DataFrame:
     """doc_id: documents with m tokens in their prefix that another document's prefix holds."""
+    tokens = prefix.filter(F.col("doc_id").isNotNull()).select("doc_id", "n", F.explode("hs").alias("h"))
     met = tokens.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1").select("h")
     counts = tokens.join(met, "h").groupBy("doc_id", "n").agg(F.count("*").alias("met"))
     return counts.filter(F.col("met") >= s.common(F.col("n"))).select("doc_id").distinct()
@@ -243,7 +238,8 @@ def near_duplicates(df: DataFrame, s: Settings = Settings(), *, id_col: str = "d
     """
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     known = docs.filter(F.col("doc_id").isNotNull())
-    first = staged(with_company(prefixes(known, s), s), "with_company")
+    prefix = staged(prefixes(docs, s), "prefixes")
+    first = staged(with_company(prefix, s), "with_company")
 
     members = signatures(only(known, first), s)
     reps = members.groupBy("n", "one", "two").agg(F.min("doc_id").alias("node"))
@@ -263,5 +259,5 @@ def near_duplicates(df: DataFrame, s: Settings = Settings(), *, id_col: str = "d
     # Members of a class are linked with their node.
     links = links.union(members.filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
     reached = components(links)
-    out = sizes(docs, s).join(reached.withColumnRenamed("node", "_node"), F.col("doc_id") == F.col("_node"), "left")
+    out = prefix.select("doc_id", F.col("n").cast("bigint").alias("n_shingles")).join(reached.withColumnRenamed("node", "_node"), F.col("doc_id") == F.col("_node"), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
