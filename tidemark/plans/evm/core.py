@@ -167,8 +167,10 @@ def fact_event_logs(receipts: DataFrame, txs: DataFrame) -> DataFrame:
     logs = each.select(
         "block_number", "tx_hash", "origin_from_address", "origin_to_address", "tx_succeeded", F.col("_l.address").alias("contract_address"), F.col("_l.data").alias("data"),
         hex_long("_l.logIndex").alias("event_index"), F.col("_l.removed").alias("event_removed"), F.col("_l.topics").alias("topics"), *topics, hex_long("_l.transactionIndex").alias("_index"))
-    t = txs.select("block_number", "tx_hash", "block_timestamp", F.col("tx_position").alias("_pos"), "origin_function_signature")
-    rows = logs.join(t, ["block_number", "tx_hash"], "left").withColumn("tx_position", F.coalesce("_pos", "_index")).select(*LOG_COLUMNS)
+    t = txs.select(F.col("block_number").alias("_block"), F.col("tx_hash").alias("_hash"), "block_timestamp", F.col("tx_position").alias("_pos"), "origin_function_signature")
+    # the block is only tested, so that rows lie by hash, as the deduplication wants them
+    on = (F.col("tx_hash") == F.col("_hash")) & (F.col("block_number") - F.col("_block") == 0)
+    rows = logs.join(t, on, "left").withColumn("tx_position", F.coalesce("_pos", "_index")).select(*LOG_COLUMNS)
     best = dedup_latest(rows, ["tx_hash", "event_index"], [newest("block_number"), last_desc("block_timestamp"), last_desc("origin_function_signature")])
     return keyed(best, "fact_event_logs_id", "tx_hash", "event_index")
 

@@ -86,6 +86,13 @@ def other_attributes(t, types, attrs) -> DataFrame:
     return t.table("attributes", lambda: core.msg_attributes(core.messages(txs)))
 
 
+def final(t):
+    """Finished transactions, which read the transactions and their attributes several times: stored ones."""
+    txs = t.table("transactions", lambda: transactions(t))
+    attrs = t.table("transaction_attributes", lambda: core.msg_attributes(core.messages(txs)))
+    return t.table("final", lambda: core.transactions_final(txs, attrs))
+
+
 def messages(t):
     return core.messages(transactions(t))
 
@@ -131,8 +138,7 @@ def q_transactions(t):
 
 @query("chain_transactions_final", f"select tx_id, block_id, {_TS}, tx_succeeded, tx_from, fee from c_fin")
 def q_final(t):
-    txs = transactions(t)
-    return core.transactions_final(txs, core.msg_attributes(core.messages(txs))).select("tx_id", "block_id", "block_timestamp", "tx_succeeded", "tx_from", "fee")
+    return final(t).select("tx_id", "block_id", "block_timestamp", "tx_succeeded", "tx_from", "fee")
 
 
 _MSG = "select tx_id, block_id, msg_index, msg_type, cast(msg_group as varchar) as msg_group, cast(msg_sub_group as varchar) as msg_sub_group, md5(tx_id || '-' || msg_index) as msgs_id from c_msg"
@@ -179,9 +185,7 @@ def q_block_metrics(t):
 @query("chain_metrics_hourly", """select strftime(date_trunc('hour', block_timestamp), '%Y-%m-%d %H:%M:%S') as block_timestamp_hour, count(distinct tx_id) as transaction_count, count(distinct case when tx_succeeded then tx_id end) as transaction_count_success,
     count(distinct case when not tx_succeeded then tx_id end) as transaction_count_failed, count(distinct tx_from) as unique_from_count, sum(cast(regexp_extract(fee, '^([0-9]+)', 1) as bigint)) / 1000000.0 as total_fees from c_fin group by 1""")
 def q_metrics(t):
-    txs = transactions(t)
-    final = core.transactions_final(txs, core.msg_attributes(core.messages(txs)))
-    return stats.transaction_metrics(final, NOW).drop("_inserted_timestamp", "core_metrics_hourly_id")
+    return stats.transaction_metrics(final(t), NOW).drop("_inserted_timestamp", "core_metrics_hourly_id")
 
 
 @query("chain_ez_core_metrics", """with m as (select date_trunc('hour', block_timestamp) as h, sum(cast(regexp_extract(fee, '^([0-9]+)', 1) as bigint)) / 1000000.0 as fees from c_fin group by 1), p as (select hour, close * 1000000 as close from v_prices where token = 'click' and close > 15),
@@ -189,10 +193,8 @@ def q_metrics(t):
     select strftime(f.h, '%Y-%m-%d %H:%M:%S') as block_timestamp_hour, block_count, fees as total_fees_native, round(fees * price, 2) as total_fees_usd from f join b on f.h = b.h""")
 def q_ez_metrics(t):
     """Fees at the last known price; prices above 15 exist for some hours only."""
-    txs = transactions(t)
-    final = core.transactions_final(txs, core.msg_attributes(core.messages(txs)))
     prices = t.prices_hourly.filter("token = 'click' and close > 15").select(F.lit("usei").alias("token_address"), "hour", (F.col("close") * 1000000).alias("price"))
-    out = stats.ez_core_metrics(stats.block_metrics(blocks(t), NOW), stats.transaction_metrics(final, NOW), prices)
+    out = stats.ez_core_metrics(stats.block_metrics(blocks(t), NOW), stats.transaction_metrics(final(t), NOW), prices)
     return out.select("block_timestamp_hour", "block_count", "total_fees_native", F.col("total_fees_usd").alias("total_fees_usd"))
 
 

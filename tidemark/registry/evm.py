@@ -210,6 +210,43 @@ def q_created(t):
     return core.created_contracts(traces(t)).select("created_contract_address", "tx_hash", "creator_address")
 
 
+@query("evm_heal_traces", f"select tx_hash, cast(trace_index as bigint) as trace_index, {_TS}, l_returnflag <> 'R' as tx_succeeded from e_trace where block_number >= 2500")
+def q_heal_traces(t):
+    """Calls stored while the blocks from number 2500 on were missing."""
+    nodes = t.table("trace_nodes", lambda: core.traces(t.table("raw_traces", lambda: raw_traces(t))))
+    stored = core.fact_traces(nodes, early_transactions(t))
+    return core.heal_traces(stored, transactions(t)).select("tx_hash", F.col("trace_index").cast("bigint").alias("trace_index"), "block_timestamp", "tx_succeeded")
+
+
+@query("evm_heal_native_transfers", """select tx_hash, cast(trace_index as bigint) as trace_index, round(value * c.price, 2) as amount_usd from e_trace x join e_coin c on c.hour = x.ts
+    where value > 0 and trace_succeeded and l_returnflag <> 'R' and type <> 'DELEGATECALL'""")
+def q_heal_native(t):
+    """Moves stored before any price was known."""
+    stored = core.native_transfers(traces(t), prices(t).filter(F.lit(False)))
+    out = core.heal_native_transfers(stored, prices(t))
+    return out.select("tx_hash", F.col("trace_index").cast("bigint").alias("trace_index"), F.round("amount_usd", 2).alias("amount_usd"))
+
+
+def reads(t) -> DataFrame:
+    """Answers to the token calls for contracts that the first three lines of an order made."""
+    made = lines(t).filter("l_linenumber <= 3").select("l_orderkey", "l_linenumber", "ts").dropDuplicates(["l_orderkey", "l_linenumber"])
+
+    def text(c):
+        return F.concat(F.lit("0x" + "0" * 128), F.hex(c))
+
+    answers = [(V.READ_NAME, text(F.concat(F.lit("Token "), F.col("l_orderkey")))), (V.READ_SYMBOL, text(F.concat(F.lit("T"), F.col("l_orderkey")))), (V.READ_DECIMALS, topic("l_linenumber"))]
+    each = F.explode(F.array(*[F.struct(F.lit(sig).alias("sig"), out.alias("out")) for sig, out in answers]))
+    rows = made.select(address(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("contract_address"), "ts", each.alias("r"))
+    return rows.select("contract_address", F.col("r.sig").alias("function_sig"), F.col("r.out").alias("read_result"), F.col("ts").alias("_inserted_timestamp"))
+
+
+@query("evm_dim_contracts", """select to_address as address, case when l_linenumber <= 3 then 'T' || l_orderkey end as symbol, case when l_linenumber <= 3 then 'Token ' || l_orderkey end as name, case when l_linenumber <= 3 then cast(l_linenumber as int) end as decimals,
+    arg_max(tx_hash, (ts, block_number, tx_hash)) as created_tx_hash, arg_max(from_address, (ts, block_number, tx_hash)) as creator_address from e_trace where type = 'CREATE' and trace_succeeded group by to_address, l_orderkey, l_linenumber""")
+def q_dim_contracts(t):
+    out = core.dim_contracts(core.created_contracts(traces(t)), core.contract_reads(reads(t)))
+    return out.select("address", "symbol", "name", "decimals", "created_tx_hash", "creator_address")
+
+
 @query("evm_relevant_contracts", f"""with e as (select contract_address, count(*) as n, max(block_number) as b from e_log group by 1), c as (select to_address as contract_address, count(*) as n, max(block_number) as b from e_trace where trace_succeeded and type <> 'CALL' group by 1)
     select coalesce(e.contract_address, c.contract_address) as contract_address, coalesce(e.n, 0) as total_event_count, coalesce(c.n, 0) as total_call_count, coalesce(e.n, 0) + coalesce(c.n, 0) as total_interaction_count,
     coalesce(e.b, 0) as latest_event_block, coalesce(c.b, 0) as latest_call_block from e full join c on e.contract_address = c.contract_address""")
