@@ -316,3 +316,18 @@ def test_no_cartesian_products(spark, folder):
     for name in ("op_join_range", "op_join_or", "op_join_ilike_many", "op_join_theta_gap", "op_join_spine", "op_rolling_window_agg"):
         text = plan(QUERIES[name](spark, folder))
         assert "CartesianProduct" not in text and "NestedLoop" not in text, name
+
+
+def test_two_levels_of_carry(spark):
+    """One group with thousands of chunks, a third of the rows in a single chunk, gaps and a NULL chunk-free start."""
+    ids = sorted({i * 37 for i in range(3000)} | set(range(40_000, 41_500)))
+    df = spark.createDataFrame([("g", i) for i in ids], "g string, id long").repartition(5)
+    chunk = F.expr("id div 10")
+    gaps = w.lag_gap(df, ["g"], "id", chunk)
+    assert tuples(gaps, "id", "prev_id") == [(b, a) for a, b in zip([None, *ids], ids)]
+    ahead = w.neighbour(df, ["g"], ["id"], "id", "nxt", ahead=True, chunk=chunk, wide=True)
+    assert tuples(ahead, "id", "nxt") == [(a, b) for a, b in zip(ids, [*ids[1:], None])]
+    numbered = w.row_number_in_group(df, ["g"], ["id"], "n", chunk, wide=True)
+    assert tuples(numbered, "id", "n") == [(x, k + 1) for k, x in enumerate(ids)]
+    plan = gaps._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lag(") == 1

@@ -37,6 +37,42 @@ def _join_carry(df: DataFrame, carry: DataFrame, keys: list[str], new: list[str]
     return df.join(small, on, "left").drop(*[f"_c_{k}" for k in keys])
 
 
+def _span(chunks: DataFrame) -> Column:
+    """Neighbouring chunks under one number: a thousand for numbers, a year for dates."""
+    kind = chunks.schema[CHUNK].dataType.simpleString()
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.floor(F.col(CHUNK) / 1024)
+    return F.year(CHUNK) if kind in ("date", "timestamp", "timestamp_ntz") else F.lit(0)
+
+
+def _carry(chunks: DataFrame, part: list[str], value: str, out: str, kind: str, wide: bool = False) -> DataFrame:
+    """For each chunk of the group what the chunks before it leave (`sum`, `last`), or what the chunks after it
+    begin with (`first`); NULL values count for nothing. With `wide`, first among the chunks of a span, then
+    among spans."""
+    ahead = kind == "first"
+    frame = (1, Window.unboundedFollowing) if ahead else (UNBOUNDED, -1)
+
+    def over(col: str, w) -> Column:
+        if kind == "sum":
+            return F.sum(col).over(w)
+        return (F.first if ahead else F.last)(col, ignorenulls=True).over(w)
+
+    if not wide:
+        return chunks.withColumn(out, over(value, Window.partitionBy(*part).orderBy(CHUNK).rowsBetween(*frame)))
+    rows = chunks.withColumn("_span", _span(chunks))
+    rows = rows.withColumn("_near", over(value, Window.partitionBy(*part, "_span").orderBy(CHUNK).rowsBetween(*frame)))
+    at = F.when(F.col(value).isNotNull(), F.col(CHUNK))
+    whole = F.sum(value) if kind == "sum" else (F.min_by if ahead else F.max_by)(F.col(value), at)
+    spans = rows.groupBy(*part, "_span").agg(whole.alias("_whole"))
+    spans = spans.withColumn("_far", over("_whole", Window.partitionBy(*part).orderBy("_span").rowsBetween(*frame)))
+    joined = _join_carry(rows, spans, [*part, "_span"], ["_far"])
+    if kind == "sum":
+        state = F.when(F.col("_near").isNull(), F.col("_far")).otherwise(F.col("_near") + F.coalesce("_far", F.lit(0)))
+    else:
+        state = F.coalesce("_near", "_far")
+    return joined.withColumn(out, state).drop("_span", "_near", "_far")
+
+
 # --- first / latest of a group ---------------------------------------------------------------
 
 
@@ -79,8 +115,7 @@ def running_sum(df: DataFrame, part: list[str], order, value: Column, out: str,
     rows = base.withColumn("_in", F.sum("_v").over(inner))
     if chunk is None:
         return rows.withColumn(out, F.col("_in")).drop("_in", "_v", CHUNK)
-    outer = Window.partitionBy(*part).orderBy(CHUNK).rowsBetween(UNBOUNDED, -1)
-    carry = base.groupBy(*part, CHUNK).agg(F.sum("_v").alias("_t")).withColumn("_before", F.sum("_t").over(outer))
+    carry = _carry(base.groupBy(*part, CHUNK).agg(F.sum("_v").alias("_t")), part, "_t", "_before", "sum")
     total = F.when(F.col("_in").isNull(), F.col("_before")).otherwise(F.col("_in") + F.coalesce("_before", F.lit(0)))
     return _join_carry(rows, carry, [*part, CHUNK], ["_before"]).withColumn(out, total).drop("_in", "_before", "_v", CHUNK)
 
@@ -103,8 +138,7 @@ def ffill(df: DataFrame, part: list[str], order, value: Column, out: str, chunk:
     spine = base.select(*part, CHUNK).distinct()
     tails = last_of_chunk.select(*[F.col(k).alias(f"_k_{k}") for k in [*part, CHUNK]], F.col("_v").alias("_tail"))
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in [*part, CHUNK]])
-    outer = Window.partitionBy(*part).orderBy(CHUNK).rowsBetween(UNBOUNDED, -1)
-    carry = spine.join(tails, on, "left").withColumn("_before", F.last("_tail", ignorenulls=True).over(outer))
+    carry = _carry(spine.join(tails, on, "left").drop(*[f"_k_{k}" for k in [*part, CHUNK]]), part, "_tail", "_before", "last")
     joined = _join_carry(rows, carry, [*part, CHUNK], ["_before"])
     return joined.withColumn(out, F.coalesce("_in", "_before")).drop("_in", "_before", "_v", CHUNK)
 
@@ -128,8 +162,7 @@ def bfill(df: DataFrame, part: list[str], order, value: Column, out: str, chunk:
     spine = base.select(*part, CHUNK).distinct()
     heads = head_rows.select(*[F.col(k).alias(f"_k_{k}") for k in [*part, CHUNK]], F.col("_v").alias("_head"))
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in [*part, CHUNK]])
-    outer = Window.partitionBy(*part).orderBy(CHUNK).rowsBetween(1, Window.unboundedFollowing)
-    carry = spine.join(heads, on, "left").withColumn("_after", F.first("_head", ignorenulls=True).over(outer))
+    carry = _carry(spine.join(heads, on, "left").drop(*[f"_k_{k}" for k in [*part, CHUNK]]), part, "_head", "_after", "first")
     joined = _join_carry(rows, carry, [*part, CHUNK], ["_after"])
     return joined.withColumn(out, F.coalesce("_in", "_after")).drop("_in", "_after", "_v", CHUNK)
 
@@ -148,23 +181,22 @@ def rank_in_group(df: DataFrame, part: list[str], order: list[str], out: str = "
     return _add_offsets(base, rows, part, out, chunk)
 
 
-def row_number_in_group(df: DataFrame, part: list[str], order: list[str], out: str = "rn", chunk: Column | None = None) -> DataFrame:
+def row_number_in_group(df: DataFrame, part: list[str], order: list[str], out: str = "rn", chunk: Column | None = None, wide: bool = False) -> DataFrame:
     """ROW_NUMBER from 1 over a total order."""
     base = _with_chunk(df, chunk)
     inner = Window.partitionBy(*part, CHUNK).orderBy(*_order(order))
-    return _add_offsets(base, base.withColumn("_in", F.row_number().over(inner)), part, out, chunk)
+    return _add_offsets(base, base.withColumn("_in", F.row_number().over(inner)), part, out, chunk, wide)
 
 
-def _add_offsets(base: DataFrame, rows: DataFrame, part: list[str], out: str, chunk) -> DataFrame:
+def _add_offsets(base: DataFrame, rows: DataFrame, part: list[str], out: str, chunk, wide: bool = False) -> DataFrame:
     if chunk is None:
         return rows.withColumn(out, F.col("_in")).drop("_in", CHUNK)
-    outer = Window.partitionBy(*part).orderBy(CHUNK).rowsBetween(UNBOUNDED, -1)
-    carry = base.groupBy(*part, CHUNK).agg(F.count(F.lit(1)).alias("_t")).withColumn("_before", F.sum("_t").over(outer))
+    carry = _carry(base.groupBy(*part, CHUNK).agg(F.count(F.lit(1)).alias("_t")), part, "_t", "_before", "sum", wide)
     joined = _join_carry(rows, carry, [*part, CHUNK], ["_before"])
     return joined.withColumn(out, F.col("_in") + F.coalesce("_before", F.lit(0))).drop("_in", "_before", CHUNK)
 
 
-def neighbour(df: DataFrame, part: list[str], order: list[str], value: str, out: str, ahead: bool = False, chunk: Column | None = None) -> DataFrame:
+def neighbour(df: DataFrame, part: list[str], order: list[str], value: str, out: str, ahead: bool = False, chunk: Column | None = None, wide: bool = False) -> DataFrame:
     """Value of the previous (or next) row. The value must be one of the order columns or depend on them."""
     base = _with_chunk(df, chunk)
     inner = Window.partitionBy(*part, CHUNK).orderBy(*_order(order))
@@ -173,16 +205,14 @@ def neighbour(df: DataFrame, part: list[str], order: list[str], value: str, out:
     if chunk is None:
         return rows.withColumn(out, F.col("_in.v")).drop("_in", CHUNK)
     edge = (F.min_by if ahead else F.max_by)(F.struct(F.col(value).alias("v")), F.struct(*order))
-    outer = Window.partitionBy(*part).orderBy(CHUNK)
-    other = (F.lead if ahead else F.lag)("_edge").over(outer)
-    carry = base.groupBy(*part, CHUNK).agg(edge.alias("_edge")).withColumn("_beside", other)
+    carry = _carry(base.groupBy(*part, CHUNK).agg(edge.alias("_edge")), part, "_edge", "_beside", "first" if ahead else "last", wide)
     joined = _join_carry(rows, carry, [*part, CHUNK], ["_beside"])
     return joined.withColumn(out, F.coalesce("_in", "_beside")["v"]).drop("_in", "_beside", CHUNK)
 
 
 def lag_gap(df: DataFrame, part: list[str], col: str, chunk: Column | None = None) -> DataFrame:
     """Previous value and the distance to it."""
-    with_prev = neighbour(df, part, [col], col, f"prev_{col}", chunk=chunk)
+    with_prev = neighbour(df, part, [col], col, f"prev_{col}", chunk=chunk, wide=True)
     return with_prev.withColumn("gap", F.col(col) - F.col(f"prev_{col}"))
 
 
@@ -217,7 +247,7 @@ def mod_batches(df: DataFrame, order: str, per_range: int, per_call: int) -> Dat
 
     The position comes from row_number over id buckets, so no task sees the whole list.
     """
-    numbered = row_number_in_group(df.withColumn("_all", F.lit(0)), ["_all"], [order], "_pos", chunk=F.expr(f"`{order}` div 100000"))
+    numbered = row_number_in_group(df.withColumn("_all", F.lit(0)), ["_all"], [order], "_pos", chunk=F.expr(f"`{order}` div 100000"), wide=True)
     range_no = F.expr(f"cast((_pos - 1) div {per_range} as bigint)")
     return numbered.withColumn("range_no", range_no).withColumn("call_no", F.expr(f"range_no div {per_call}")).drop("_pos", "_all")
 
