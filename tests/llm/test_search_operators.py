@@ -1,5 +1,6 @@
 """Leaks, n-gram join, sanitisation, secrets, vectors and the pipeline against brute force on small rows."""
 
+import hashlib
 import itertools
 import random
 import re
@@ -158,6 +159,28 @@ def test_base_spans_are_the_patterns():
         assert disclosure.base_spans(t) == [(k, m.start(), m.end()) for k, (rx, ok) in enumerate(PLAIN) for m in rx.finditer(t) if ok(m[0])], t[:100]
 
 
+def test_counts_of_the_query_are_the_patterns(spark):
+    folder = "/root/testdata/sf0.01"
+    texts = dict(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect())
+    rows = QUERIES["op7_disclosure_sanitisation"](spark, folder).collect()
+    want = {i: [sum(ok(m[0]) for m in rx.finditer(t or "")) for rx, ok in PLAIN] for i, t in texts.items()}
+    assert {r.doc_id: [r.n_email, r.n_ip, r.n_card, r.n_phone] for r in rows} == want
+    assert all(sum(n[k] for n in want.values()) for k in range(4))
+    for r in rows:
+        spans = [f"{disclosure.KINDS[k]}:{a}:{b}" for k, a, b in disclosure.base_spans(texts[r.doc_id] or "")]
+        assert r.base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest()
+        assert r.spans.split(",")[: len(spans)] == spans if spans else not r.n_term or r.spans
+
+
+def test_counts_of_secrets_are_the_patterns(spark):
+    folder = "/root/testdata/sf0.01"
+    texts = dict(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect())
+    rows = QUERIES["op8_secret_scan"](spark, folder).collect()
+    want = {i: [sum(o == k for _, o, _ in brute_secrets(t)) for k in range(3)] for i, t in texts.items()}
+    assert {r.doc_id: [r.n_assign, r.n_access, r.n_hex] for r in rows} == want
+    assert sum(n[0] for n in want.values()) and sum(n[2] for n in want.values())  # this table has no access key
+
+
 def test_terms_that_disclose(spark, docs):
     filler = paragraphs(2, 40, 30)
     rows = [(i, f"{filler[i]} reach kestrelmark via kim@example.org for more {filler[39 - i]} common") for i in range(6)]

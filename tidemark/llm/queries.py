@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import chat, decontam, disclosure, langid, mixing, multiindex, ngramjoin, prefixcounts, secretscan, toxicity
 from .ship import ship
@@ -24,6 +24,11 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+#: Links l(a, b), both ways, to reached(node, component); only nodes of a link are listed.
+REACHED = """walk(node, other) as (select a, b from l union select walk.node, l.b from walk join l on walk.other = l.a),
+reached as (select node, least(node, min(other)) as component from walk group by node)"""
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -71,6 +76,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", F.coalesce(fold_of("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def _count(spans: str, field: str, number: int) -> Column:
+    """Spans of one kind. (A second argument of the lambda would be the element's place.)"""
+    return F.size(F.filter(spans, lambda s: s[field] == number)).cast("bigint")
+
+
 OP1_SQL = r"""
 with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
     union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
@@ -91,11 +101,28 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.conversations(chat.format_turns(rows)))
 
 
-@query("op8_secret_scan")
+def _op8_sql() -> str:
+    """Matches lie between the pieces that their regex cuts; their lengths give the places."""
+    found = []
+    for order, r in enumerate(secretscan.RULES):
+        rx = "'" + r.pattern.replace("'", "\'\'") + "'"
+        found.append(f"""select doc_id, {order} as o, '{r.kind}' as kind, i, pieces, hits, vals, {r.least} as least from (select doc_id, string_split_regex(t, {rx}) as pieces, regexp_extract_all(t, {rx}) as hits, regexp_extract_all(t, {rx}, {r.group}) as vals from d), unnest(range(1, len(hits) + 1)) as u(i)""")
+    size = "coalesce(list_sum(list_transform({}, lambda x: len(x))), 0)::bigint"
+    kinds = [r.kind for r in secretscan.BASE]
+    return f"""
+with d as (select doc_id, coalesce(text, '') as t from documents), f as ({" union all ".join(found)}),
+s as (select doc_id, o, kind, {size.format("pieces[1:i]")} + {size.format("hits[1:i - 1]")} as p0, len(hits[i]) as size from f where len(vals[i]) >= least),
+x as (select doc_id, o, kind, p0, kind || ':' || p0 || ':' || (p0 + size) as span from s),
+a as (select doc_id, {", ".join(f"count(*) filter (where kind = '{k}') as n_{k}" for k in kinds)}, string_agg(span, ',' order by p0, o) filter (where o < {len(kinds)}) as base, string_agg(span, ',' order by p0, o) as spans from x group by 1)
+select d.doc_id, {", ".join(f"coalesce(n_{k}, 0)::bigint as n_{k}" for k in kinds)}, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans from d left join a on a.doc_id = d.doc_id
+"""
+
+
+@query("op8_secret_scan", _op8_sql())
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     found = secretscan.scan(table(spark, folder, "documents").select("doc_id", "text"))
     base = F.filter("secret_spans", lambda s: s["order"] < len(secretscan.BASE))
-    counts = [F.size(F.filter("secret_spans", lambda s, i=i: s["order"] == i)).cast("bigint").alias(f"n_{r.kind}") for i, r in enumerate(secretscan.BASE)]
+    counts = [_count("secret_spans", "order", i).alias(f"n_{r.kind}") for i, r in enumerate(secretscan.BASE)]
     return found.select("doc_id", *counts, F.sha2(secretscan.digest(base).cast("binary"), 256).alias("base_sha256"), secretscan.digest(F.col("secret_spans")).alias("spans"))
 
 
@@ -104,12 +131,32 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-@query("op9_multiindex_near_duplicates")
+OP9_SQL = f"""
+with recursive v as (select vec_id, label, embedding::double[] as e from embeddings where label is not null and len(embedding) > 0 and list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+l as (select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.98),
+n as (select a, count(*) as n from l group by 1),
+{REACHED}
+select vec_id, coalesce(n, 0)::bigint as n_links, coalesce(component, vec_id) as component_id, coalesce(component, vec_id) = vec_id as kept from embeddings left join n on a = vec_id left join reached on node = vec_id
+"""
+
+
+@query("op9_multiindex_near_duplicates", OP9_SQL)
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return multiindex.near_duplicates(table(spark, folder, "embeddings"))
 
 
-@query("op5_ngram_jaccard")
+OP5_SQL = f"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as ws from documents),
+g as (select distinct doc_id, unnest(case when len(ws) >= 5 then list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i : i + 4], ' ')) when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as gram from w),
+n as (select doc_id, count(*) as n from g group by 1),
+p as (select x.doc_id as a, y.doc_id as b, count(*) as met from g x join g y on x.gram = y.gram and x.doc_id <> y.doc_id group by 1, 2),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * met >= 80 * (x.n + y.n - met)),
+{REACHED}
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(r.component, d.doc_id) as component_id from documents d left join n on n.doc_id = d.doc_id left join reached r on r.node = d.doc_id
+"""
+
+
+@query("op5_ngram_jaccard", OP5_SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return ngramjoin.near_duplicates(table(spark, folder, "documents"))
 
@@ -123,5 +170,5 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
     base = F.filter("spans", lambda s: s["kind"] < 4)
-    counts = [F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("bigint").alias(f"n_{k}") for i, k in enumerate(disclosure.KINDS)]
+    counts = [_count("spans", "kind", i).alias(f"n_{k}") for i, k in enumerate(disclosure.KINDS)]
     return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
