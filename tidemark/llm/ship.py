@@ -1,4 +1,5 @@
-"""Give executors this package, for sessions whose launcher did not (--py-files does the same)."""
+"""Prepare a session: executors get this package, for launchers that did not send it (--py-files does the same),
+and batches that cross to Python are kept small."""
 
 from __future__ import annotations
 
@@ -8,11 +9,17 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
+#: Rows of a batch between Spark and Python. Texts are long; this bounds the buffers on both sides.
+BATCH_ROWS = 1000
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _done: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Send the package's sources as a zip through Spark's file distribution, once per application."""
+    if not 0 < int(spark.conf.get(BATCH)) <= BATCH_ROWS:
+        spark.conf.set(BATCH, str(BATCH_ROWS))
     sc = spark.sparkContext
     if sc.applicationId in _done:
         return
