@@ -23,12 +23,13 @@ def _block_of(attrs: DataFrame, msg_type: str) -> DataFrame:
 
 
 def proposal_deposits(attrs: DataFrame) -> DataFrame:
-    ids = _single(attrs, "proposal_deposit", "proposal_id", "proposal_id")
+    """One row per coin of a deposit event; the proposal and the amount are those of the same event."""
+    ids = attrs.filter(has("proposal_deposit", "proposal_id")).select("tx_id", "msg_index", F.col("attribute_value").alias("proposal_id"))
     value = attrs.filter(has("proposal_deposit", "amount") & F.col("attribute_value").isNotNull())
-    value = with_coin(value.select(*BLOCK, "attribute_value", STAMP), "attribute_value").drop("attribute_value")
-    rows = value.join(ids, "tx_id").join(tx_sender(attrs, "depositor"), "tx_id")
-    out = rows.select(*BLOCK, "depositor", number("proposal_id").cast("bigint").alias("proposal_id"), F.col("amount").cast("double").alias("amount"), "currency", STAMP)
-    return keyed(out, "governance_proposal_deposits_id", "tx_id")
+    value = with_coin(value.select(*BLOCK, "msg_index", "attribute_value", STAMP), "attribute_value").drop("attribute_value")
+    rows = value.join(ids, ["tx_id", "msg_index"]).join(tx_sender(attrs, "depositor"), "tx_id")
+    out = rows.select(*BLOCK, "msg_index", "depositor", number("proposal_id").cast("bigint").alias("proposal_id"), F.col("amount").cast("double").alias("amount"), "currency", STAMP)
+    return keyed(out, "governance_proposal_deposits_id", "tx_id", "msg_index", "currency")
 
 
 def submitted_proposals(attrs: DataFrame) -> DataFrame:
@@ -178,7 +179,7 @@ def fact_votes(df: DataFrame) -> DataFrame:
 
 
 def fact_proposal_deposits(df: DataFrame) -> DataFrame:
-    return published(df, [*BLOCK, "depositor", "proposal_id", "amount", "currency"], "governance_proposal_deposits_id", "fact_governance_proposal_deposits_id", "tx_id")
+    return published(df, [*BLOCK, "depositor", "proposal_id", "amount", "currency"], "governance_proposal_deposits_id", "fact_governance_proposal_deposits_id", "tx_id", "msg_index", "currency")
 
 
 def fact_submitted_proposals(df: DataFrame) -> DataFrame:

@@ -123,7 +123,7 @@ def q_votes(t):
     return gov.votes(other_attributes(t, types, attrs)).select("tx_id", "msg_group", "msg_sub_group", "proposal_id", "voter", "vote_option", "vote_weight")
 
 
-@query("gov_proposal_deposits", """select a.tx_id, a.kk as proposal_id, s.signer as depositor, cast(v.kk as double) as amount, 'usei' as currency from m_ev a join m_ev v on a.tx_id = v.tx_id and a.event_type = 'purchase' and v.event_type = 'purchase' join m_signer s on s.tx_id = a.tx_id""")
+@query("gov_proposal_deposits", """select a.tx_id, a.kk as proposal_id, s.signer as depositor, cast(a.kk as double) as amount, 'usei' as currency from m_ev a join m_signer s on s.tx_id = a.tx_id where a.event_type = 'purchase'""")
 def q_deposits(t):
     types = {**SIGNED, "purchase": "proposal_deposit", "error": "other"}
     attrs = by_type(**head(), purchase=kv(("proposal_id", k()), ("amount", F.concat(k(), F.lit("usei")))), error=kv(("x", F.lit("y"))))
