@@ -129,6 +129,14 @@ def test_leaks(spark):
     assert found(spark, [mixed_up.replace("at 9 and", "at 4 and", 1)]) == {}
 
 
+def test_other_parameters_of_any_pattern_are_leaks(spark):
+    costs = "in the small shop near our school one pencil costs 1 dollar and a new ruler there costs 5 dollars so what do both of them cost"
+    counts = "we bought 12 pens and 12 books for the class on monday and gave half of them away so how many things are left over now"
+    trip = "on the first day we went to Boston by the early train and on the next day we left Boston again because it rained there all the time"
+    changed = [costs.replace("1 dollar ", "2 dollars "), counts.replace("12 pens and 12", "15 pens and 18"), costs.replace(" 5 ", " 1 "), trip.replace("left Boston", "left Denver")]
+    assert found(spark, changed, (costs, counts, trip)) == {(0, 0): True, (1, 1): True, (2, 0): True, (3, 2): True}
+
+
 def test_leak_edges(spark, docs):
     bench = spark.createDataFrame([(1, ITEM), (2, None), (3, ""), (4, "too short")], "item_id long, text string")
     assert decontam.leaks(docs, bench).count() == 0

@@ -2,7 +2,9 @@
 
 Numbers, names and units become typed placeholders, so a question with other parameters keeps its template. The
 hashes of all template windows of all texts meet those of the benchmark; what the placeholders stood for must then
-agree: along one alignment each value of the item has one value in the document, and no two share one.
+agree. Numbers are parameters, each by itself: equal ones may differ elsewhere and different ones become equal. Units
+(dollar and dollars are one) and names have, along one alignment, one value in the document, that of most mentions;
+windows that hold another mention drop out.
 """
 
 from __future__ import annotations
@@ -24,6 +26,14 @@ UNITS = (
     "mph kph watt watts volt volts joule joules newton newtons byte bytes kb mb gb"
 ).split()
 
+#: One form for the spellings of a unit; any other unit is its own.
+SAME_UNIT = {
+    "inches": "inch", "foot": "ft", "feet": "ft", "yards": "yard", "miles": "mile", "gram": "g", "grams": "g", "kilogram": "kg", "kilograms": "kg", "tons": "ton", "ounce": "oz",
+    "ounces": "oz", "lbs": "lb", "pound": "lb", "pounds": "lb", "liter": "l", "liters": "l", "litre": "l", "litres": "l", "gallons": "gallon", "seconds": "second", "sec": "second",
+    "minutes": "minute", "min": "minute", "hours": "hour", "days": "day", "weeks": "week", "months": "month", "years": "year", "dollars": "dollar", "euros": "euro", "cents": "cent",
+    "degrees": "degree", "watts": "watt", "volts": "volt", "joules": "joule", "newtons": "newton", "bytes": "byte",
+}
+
 #: Distinct window hashes (16 bytes each and the table around them) that every executor may hold a copy of.
 MOST_BROADCAST = 400_000
 
@@ -75,9 +85,42 @@ def slotted(df: DataFrame, *keep: str) -> DataFrame:
 
 
 def slots(words: Column, values: Column, pos: Column) -> Column:
-    """The (kind, value) of the placeholders in the window at `pos`, in order."""
+    """The (kind, value, offset) of the placeholders in the window at `pos`, in order; units in one form."""
+    one_form = F.create_map(*[F.lit(x) for pair in SAME_UNIT.items() for x in pair])
     both = F.arrays_zip(F.slice(words, pos + 1, WINDOW).alias("kind"), F.slice(values, pos + 1, WINDOW).alias("value"))
-    return F.filter(both, lambda x: x["kind"].isin(NUMBER, UNIT, NAME))
+
+    def one(x: Column, i: Column) -> Column:
+        value = F.when(x["kind"] == UNIT, F.coalesce(one_form[x["value"]], x["value"])).otherwise(x["value"])
+        return F.struct(x["kind"].alias("kind"), value.alias("value"), i.alias("offset"))
+
+    return F.filter(F.transform(both, one), lambda x: x["kind"].isin(NUMBER, UNIT, NAME))
+
+
+def _stray(bound: Column) -> Column:
+    """The places of units and names that do not have the value of most mentions (of as many: the item's own).
+
+    `bound` has (kind, place, want, have) for each place of an alignment. Two names of the item may not become one.
+    """
+    def same(b: Column, *fields: str) -> Column:
+        return F.filter(bound, lambda x: (x["kind"] == b["kind"]) & (x[fields[0]] == b[fields[0]]) & (x[fields[-1]] == b[fields[-1]]))
+
+    def most(b: Column, by: str, other: str) -> Column:
+        ways = F.transform(same(b, by), lambda x: F.struct(F.size(same(x, "want", "have")).alias("n"), (x["want"] == x["have"]).alias("kept"), x[other].alias("value")))
+        return F.array_max(ways)["value"]
+
+    def strays(b: Column) -> Column:
+        return (b["kind"] != NUMBER) & ((b["have"] != most(b, "want", "have")) | ((b["kind"] == NAME) & (b["want"] != most(b, "have", "want"))))
+
+    return F.transform(F.filter(bound, strays), lambda b: b["place"])
+
+
+def _unlike(bound: Column) -> Column:
+    """Names and numbers both lose their one value, and so do most of the values that recur: another text."""
+    values = F.array_distinct(F.transform(bound, lambda b: F.struct(b["kind"].alias("kind"), b["want"].alias("want"))))
+    places = F.transform(values, lambda v: F.struct(v["kind"].alias("kind"), F.transform(F.filter(bound, lambda b: (b["kind"] == v["kind"]) & (b["want"] == v["want"])), lambda b: b["have"]).alias("have")))
+    recur = F.filter(places, lambda p: F.size(p["have"]) > 1)
+    broken = F.filter(recur, lambda p: F.size(F.array_distinct(p["have"])) > 1)
+    return F.exists(broken, lambda p: p["kind"] == NAME) & F.exists(broken, lambda p: p["kind"] == NUMBER) & (F.size(broken) * 2 > F.size(recur))
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
@@ -96,8 +139,8 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
 def leaks(df: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """doc_id, item_id, n_windows, item_windows, reparameterised: a row for each item that a document holds.
 
-    A pair is reported when the document holds ENOUGH distinct windows of the item (all, if it has fewer) on
-    alignments whose placeholders are consistent. `reparameterised`: some value differs. Null and empty texts
+    A pair is reported when the document holds ENOUGH distinct windows of the item (all, if it has fewer) whose
+    placeholders are consistent along their alignment. `reparameterised`: some value differs. Null and empty texts
     hold nothing; rows with one id are one document; an empty table on either side gives no row.
     """
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -113,16 +156,16 @@ def leaks(df: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_c
         "doc_id", F.col("m")["pos"].alias("pos"), F.col("m")["h"].alias("_h"), F.xxhash64(F.slice("words", F.col("m")["pos"] + 1, WINDOW)).alias("own"), slots(F.col("words"), F.col("values"), F.col("m")["pos"]).alias("have"))
     hits = hits.filter(F.col("own") == F.col("_h"))  # another row of the same id may have been meant
     pairs = hits.join(marks, (F.col("_h") == F.col("h")) & (F.transform("have", lambda x: x["kind"]) == F.transform("want", lambda x: x["kind"])))
-    bound = F.transform(F.arrays_zip("want", "have"), lambda x: F.struct(x["want"]["kind"].alias("kind"), x["want"]["value"].alias("want"), x["have"]["value"].alias("have")))
+    bound = F.transform(F.arrays_zip("want", "have"), lambda x: F.struct(
+        x["want"]["kind"].alias("kind"), (F.col("at") + x["want"]["offset"]).alias("place"), x["want"]["value"].alias("want"), x["have"]["value"].alias("have")))
     # An alignment has as many windows and bindings as the item has words, at most.
     lines = pairs.groupBy("doc_id", "item_id", "n_item", (F.col("pos") - F.col("at")).alias("shift")).agg(
         F.collect_set("at").alias("ats"), F.array_distinct(F.flatten(F.collect_set(bound))).alias("bound"))
+    lines = lines.filter(~_unlike(F.col("bound"))).withColumn("stray", _stray(F.col("bound"))).withColumn("changed", F.exists("bound", lambda x: x["want"] != x["have"]))
 
-    def distinct_of(side: str) -> Column:
-        return F.size(F.array_distinct(F.transform("bound", lambda x: F.struct(x["kind"], x[side]))))
+    def inside(place: Column, at: Column) -> Column:
+        return (place >= at) & (place < at + WINDOW)
 
-    lines = lines.filter((distinct_of("want") == F.size("bound")) & (distinct_of("have") == F.size("bound")))
-    changed = F.exists("bound", lambda x: x["want"] != x["have"])
-    each = lines.select("doc_id", "item_id", "n_item", changed.alias("changed"), F.explode("ats").alias("at"))
+    each = lines.select("doc_id", "item_id", "n_item", "changed", "stray", F.explode("ats").alias("at")).filter(~F.exists("stray", lambda p: inside(p, F.col("at"))))
     found = each.groupBy("doc_id", "item_id", "n_item").agg(F.count_distinct("at").alias("n_windows"), F.max("changed").alias("reparameterised"))
     return found.filter(F.col("n_windows") >= F.least("n_item", F.lit(ENOUGH))).select("doc_id", "item_id", "n_windows", F.col("n_item").alias("item_windows"), "reparameterised")
