@@ -137,6 +137,12 @@ def test_other_parameters_of_any_pattern_are_leaks(spark):
     assert found(spark, changed, (costs, counts, trip)) == {(0, 0): True, (1, 1): True, (2, 0): True, (3, 2): True}
 
 
+def test_items_without_template_windows_are_found_as_they_are(spark):
+    items = ("What is 3/4 of 20 plus 15 percent of 60 minus 2 times 7?", "请问中国的首都是哪里", "Seven 7 plus 8", "12 + 15 - 3 x 4 - 8 / 2 + 1 + 9 + 10 + 11 =")
+    texts = [f"so: {items[0]} yes", f"我想{items[1]}呢", f"is {items[2].lower()}, or", items[3], items[0].replace("60", "70"), "中国的首都", "seven 7 plus 9", None]
+    assert set(found(spark, texts, (*items, ITEM))) == {(0, 0), (1, 1), (2, 2), (3, 3)}
+
+
 def test_leak_edges(spark, docs):
     bench = spark.createDataFrame([(1, ITEM), (2, None), (3, ""), (4, "too short")], "item_id long, text string")
     assert decontam.leaks(docs, bench).count() == 0

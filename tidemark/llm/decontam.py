@@ -5,6 +5,8 @@ hashes of all template windows of all texts meet those of the benchmark; what th
 agree. Numbers are parameters, each by itself: equal ones may differ elsewhere and different ones become equal. Units
 (dollar and dollars are one) and names have, along one alignment, one value in the document, that of most mentions;
 windows that hold another mention drop out.
+
+Items without a window of enough plain words are looked for word for word, by the hash of their first words.
 """
 
 from __future__ import annotations
@@ -14,9 +16,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 WINDOW = 8
 LITERALS = 5
 ENOUGH = 6
+#: Items that are looked for word for word meet the documents by the hash of so many first words: the most they have.
+EXACT = (8, 4, 2, 1)
 
-#: Words, numbers with their inner marks, and what ends a sentence.
-TOKEN = r"[0-9]+(?:[.,:/][0-9]+)*|\p{L}[\p{L}\p{M}\p{N}]*|[.!?:\n]"
+#: Letters of scripts written without blanks: Thai, Lao, Burmese, Khmer, kana, Han.
+SINGLE = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
+#: Words, single letters of those scripts, numbers with their inner marks, and what ends a sentence.
+TOKEN = rf"[0-9]+(?:[.,:/][0-9]+)*|[\p{{L}}&&[^{SINGLE}]][[\p{{L}}\p{{M}}\p{{N}}]&&[^{SINGLE}]]*|[\p{{L}}&&[{SINGLE}]]\p{{M}}*|[.!?:\n]"
 ENDS = (".", "!", "?", ":", "\n")
 NUMBER, UNIT, NAME = "#", "%", "@"
 
@@ -63,17 +69,28 @@ def template(found: Column) -> Column:
     return F.transform(found, one)
 
 
-def _hashes(words: Column) -> Column:
-    """xxhash64 of each window of WINDOW words; none for a text with fewer."""
-    last = F.size(words) - WINDOW + 1
-    return F.when(last > 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, WINDOW)))).otherwise(F.array().cast("array<bigint>"))
+def _hashes(words: Column, size: int = WINDOW) -> Column:
+    """xxhash64 of each window of `size` words; none for a text with fewer."""
+    last = F.size(words) - size + 1
+    return F.when(last > 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, size)))).otherwise(F.array().cast("array<bigint>"))
 
 
-def windows(df: DataFrame) -> DataFrame:
-    """doc_id, pos (from 0), h: every template window of `text`."""
+def windows(df: DataFrame, exact: tuple[int, ...] = ()) -> DataFrame:
+    """doc_id, size, pos (from 0), h: every template window of `text` (size 0), and each run of `exact` words as they are."""
     found = df.select("doc_id", tokens(F.col("text")).alias("found"))
-    words = found.select("doc_id", F.array_compact(template(F.col("found"))).alias("words"))
-    return words.select("doc_id", F.posexplode(_hashes(F.col("words"))).alias("pos", "h"))
+    words = found.select("doc_id", F.array_compact(template(F.col("found"))).alias("words"), *([_plain(F.col("found")).alias("values")] if exact else []))
+    if not exact:
+        return words.select("doc_id", F.lit(0).alias("size"), F.posexplode(_hashes(F.col("words"))).alias("pos", "h"))
+
+    def placed(hashes: Column, size: int) -> Column:
+        return F.transform(hashes, lambda h, i: F.struct(F.lit(size).alias("size"), i.alias("pos"), h.alias("h")))
+
+    each = [placed(_hashes(F.col("words")), 0), *[placed(_hashes(F.col("values"), n), n) for n in exact]]
+    return words.select("doc_id", F.explode(F.concat(*each)).alias("w")).select("doc_id", "w.size", "w.pos", "w.h")
+
+
+def _plain(found: Column) -> Column:
+    return F.transform(F.filter(found, lambda w: ~w.isin(*ENDS)), lambda w: F.lower(w))
 
 
 def slotted(df: DataFrame, *keep: str) -> DataFrame:
@@ -126,7 +143,7 @@ def _unlike(bound: Column) -> Column:
 def benchmark_windows(items: DataFrame) -> DataFrame:
     """item_id, at, h, want, n_item: the windows with LITERALS words or more that are no placeholder.
 
-    Items with fewer than WINDOW words, or without such a window, have none and are never reported.
+    Items with fewer than WINDOW words, or without such a window, have none: see exact_items.
     """
     words = slotted(items, "item_id")
     each = words.select("item_id", "words", "values", F.posexplode(_hashes(F.col("words"))).alias("at", "h"))
@@ -136,22 +153,37 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
     return each.join(total.withColumnRenamed("item_id", "_item"), F.col("item_id").eqNullSafe(F.col("_item"))).drop("_item")
 
 
+def exact_items(items: DataFrame, marks: DataFrame) -> DataFrame:
+    """item_id, exact (all its words), size, h: the items without a window in `marks`, their first `size` words hashed."""
+    has = marks.select(F.col("item_id").alias("_item")).distinct()
+    rest = items.join(has, F.col("item_id").eqNullSafe(F.col("_item")), "left_anti").select("item_id", _plain(tokens(F.col("text"))).alias("exact"))
+    sized = rest.withColumn("size", F.coalesce(*[F.when(F.size("exact") >= n, F.lit(n)) for n in EXACT])).filter("size is not null")
+    return sized.withColumn("h", F.xxhash64(F.slice("exact", F.lit(1), F.col("size"))))
+
+
 def leaks(df: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """doc_id, item_id, n_windows, item_windows, reparameterised: a row for each item that a document holds.
 
     A pair is reported when the document holds ENOUGH distinct windows of the item (all, if it has fewer) whose
     placeholders are consistent along their alignment. `reparameterised`: some value differs. Null and empty texts
-    hold nothing; rows with one id are one document; an empty table on either side gives no row.
+    hold nothing; rows with one id are one document; an empty table on either side gives no row. An item without
+    windows is reported where all its words stand as they are, as one window.
     """
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
     marks = benchmark_windows(items)
-    wanted = marks.select(F.col("h").alias("_h")).distinct()
+    exact = exact_items(items, marks)
+    sizes = tuple(sorted(r["size"] for r in exact.select("size").distinct().collect()))
+    wanted = marks.select(F.lit(0).alias("_size"), F.col("h").alias("_h")).unionByName(exact.select(F.col("size").alias("_size"), F.col("h").alias("_h"))).distinct()
     if wanted.count() <= MOST_BROADCAST:
         wanted = F.broadcast(wanted)
-    met = windows(docs).join(wanted, F.col("h") == F.col("_h")).select("doc_id", "pos", "h")
-    per_doc = met.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "h")).alias("met")).withColumnRenamed("doc_id", "_id")
-    again = slotted(docs.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id"))), "doc_id", "met")
+    met = windows(docs, sizes).join(wanted, (F.col("h") == F.col("_h")) & (F.col("size") == F.col("_size"))).select("doc_id", "size", "pos", "h")
+
+    def texts(at: DataFrame) -> DataFrame:
+        per_doc = at.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "h")).alias("met")).withColumnRenamed("doc_id", "_id")
+        return slotted(docs.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id"))), "doc_id", "met")
+
+    again = texts(met.filter("size = 0"))
     hits = again.select("doc_id", "words", "values", F.explode("met").alias("m")).select(
         "doc_id", F.col("m")["pos"].alias("pos"), F.col("m")["h"].alias("_h"), F.xxhash64(F.slice("words", F.col("m")["pos"] + 1, WINDOW)).alias("own"), slots(F.col("words"), F.col("values"), F.col("m")["pos"]).alias("have"))
     hits = hits.filter(F.col("own") == F.col("_h"))  # another row of the same id may have been meant
@@ -168,4 +200,10 @@ def leaks(df: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_c
 
     each = lines.select("doc_id", "item_id", "n_item", "changed", "stray", F.explode("ats").alias("at")).filter(~F.exists("stray", lambda p: inside(p, F.col("at"))))
     found = each.groupBy("doc_id", "item_id", "n_item").agg(F.count_distinct("at").alias("n_windows"), F.max("changed").alias("reparameterised"))
-    return found.filter(F.col("n_windows") >= F.least("n_item", F.lit(ENOUGH))).select("doc_id", "item_id", "n_windows", F.col("n_item").alias("item_windows"), "reparameterised")
+    found = found.filter(F.col("n_windows") >= F.least("n_item", F.lit(ENOUGH))).select("doc_id", "item_id", "n_windows", F.col("n_item").alias("item_windows"), "reparameterised")
+    if not sizes:
+        return found
+    starts = texts(met.filter("size > 0")).select("doc_id", "values", F.explode("met").alias("m")).select("doc_id", "values", F.col("m")["pos"].alias("pos"), F.col("m")["h"].alias("_h"))
+    whole = starts.join(exact, (F.col("_h") == F.col("h")) & (F.slice(F.col("values"), F.col("pos") + 1, F.size("exact")) == F.col("exact")))
+    one = F.lit(1).cast("bigint")
+    return found.unionByName(whole.select("doc_id", "item_id", one.alias("n_windows"), one.alias("item_windows"), F.lit(False).alias("reparameterised")).distinct())
