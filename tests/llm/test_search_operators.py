@@ -143,6 +143,14 @@ def test_items_without_template_windows_are_found_as_they_are(spark):
     assert set(found(spark, texts, (*items, ITEM))) == {(0, 0), (1, 1), (2, 2), (3, 3)}
 
 
+def test_items_inside_sentences_and_in_other_case(spark):
+    item = "What is the capital of the country that lies north of Spain"
+    john = "John has a basket with some red apples and gives half of them to Ann at noon"
+    texts = [f"My teacher asked me, {item}?", f"1) {item}", f"(a) {item}", f"i know what{item[4:]}", item.lower(), item.upper(), f"He asks. {item}.", john.replace("John", "Mary"), f"then {john.replace('John', 'Mary')}", john.lower()]
+    got = found(spark, texts, (item, john))
+    assert set(got) == {*((i, 0) for i in range(7)), *((i, 1) for i in range(7, 10))} and got[7, 1] and not got[9, 1]
+
+
 def test_leak_edges(spark, docs):
     bench = spark.createDataFrame([(1, ITEM), (2, None), (3, ""), (4, "too short")], "item_id long, text string")
     assert decontam.leaks(docs, bench).count() == 0

@@ -11,6 +11,8 @@ Items without a window of enough plain words are looked for word for word, by th
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 WINDOW = 8
@@ -48,22 +50,36 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
 
 
-def template(found: Column) -> Column:
+#: How an item may be read, since a copy may begin inside a sentence or be in small letters or capitals throughout:
+#: every capital makes a name (and so does the first word), the first word is none, no first word of a sentence is one,
+#: there are no names.
+READINGS = ("names", "first", "sentences", "none")
+
+
+def template(found: Column, reading: str | None = None) -> Column:
     """The placeholder or the lower-case word for each token; null for a sentence end.
 
-    A name is a word with a capital, then small letters, that does not begin a sentence. Words all in capitals
-    are literals, so a text in capitals has the same template.
+    A name is a word with a capital, then small letters, wherever it stands, or as `reading` says. Words all in
+    capitals are literals, so a text in capitals has the template of one in small letters.
     """
 
     def one(w: Column, i: Column) -> Column:
         head, rest = F.substring(w, 1, 1), F.substring(w, 2, 1 << 30)
         first = F.ascii(w)
-        begins = (i == 0) | F.element_at(found, F.greatest(i, F.lit(1))).isin(*ENDS)
+        name = (head != F.lower(head)) & (rest != F.upper(rest))
+        if reading == "names":
+            name = name | (i == 0)
+        elif reading == "first":
+            name = name & (i > 0)
+        elif reading == "sentences":
+            name = name & (i > 0) & ~F.element_at(found, F.greatest(i, F.lit(1))).isin(*ENDS)
+        elif reading == "none":
+            name = F.lit(False)
         return (
             F.when(w.isin(*ENDS), F.lit(None).cast("string"))
             .when((first >= 48) & (first <= 57), F.lit(NUMBER))
             .when(F.lower(w).isin(*UNITS), F.lit(UNIT))
-            .when((head != F.lower(head)) & (rest != F.upper(rest)) & ~begins, F.lit(NAME))
+            .when(name, F.lit(NAME))
             .otherwise(F.lower(w)))
 
     return F.transform(found, one)
@@ -93,10 +109,10 @@ def _plain(found: Column) -> Column:
     return F.transform(F.filter(found, lambda w: ~w.isin(*ENDS)), lambda w: F.lower(w))
 
 
-def slotted(df: DataFrame, *keep: str) -> DataFrame:
+def slotted(df: DataFrame, *keep: str, reading: str | None = None) -> DataFrame:
     """`keep`, words and values: the template and, beside it, the lower-case token that each place held."""
     found = df.select(*keep, tokens(F.col("text")).alias("found"))
-    typed = found.select(*keep, "found", template(F.col("found")).alias("typed"))
+    typed = found.select(*keep, "found", template(F.col("found"), reading).alias("typed"))
     held = F.filter(F.arrays_zip("typed", "found"), lambda x: x["typed"].isNotNull())
     return typed.select(*keep, held.alias("held")).select(*keep, F.transform("held", lambda x: x["typed"]).alias("words"), F.transform("held", lambda x: F.lower(x["found"])).alias("values"))
 
@@ -141,14 +157,20 @@ def _unlike(bound: Column) -> Column:
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
-    """item_id, at, h, want, n_item: the windows with LITERALS words or more that are no placeholder.
+    """item_id, at, h, want, n_item: the windows with LITERALS words or more that are no placeholder, in each reading.
+
+    A word that begins a sentence counts as a word there.
 
     Items with fewer than WINDOW words, or without such a window, have none: see exact_items.
     """
-    words = slotted(items, "item_id")
-    each = words.select("item_id", "words", "values", F.posexplode(_hashes(F.col("words"))).alias("at", "h"))
-    want = slots(F.col("words"), F.col("values"), F.col("at"))
-    each = each.select("item_id", "at", "h", want.alias("want")).filter(WINDOW - F.size("want") >= LITERALS)
+    def windows_as(reading: str) -> DataFrame:
+        words = slotted(items, "item_id", reading=reading)
+        each = words.select("item_id", "words", "values", F.posexplode(_hashes(F.col("words"))).alias("at", "h"))
+        return each.select("item_id", "at", "h", slots(F.col("words"), F.col("values"), F.col("at")).alias("want"))
+
+    usable = windows_as("sentences").filter(WINDOW - F.size("want") >= LITERALS).select(F.col("item_id").alias("_item"), F.col("at").alias("_at")).distinct()
+    each = functools.reduce(DataFrame.unionByName, map(windows_as, READINGS)).distinct()
+    each = each.join(usable, F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("at") == F.col("_at")), "left_semi")
     total = each.groupBy("item_id").agg(F.count_distinct("at").alias("n_item"))
     return each.join(total.withColumnRenamed("item_id", "_item"), F.col("item_id").eqNullSafe(F.col("_item"))).drop("_item")
 
