@@ -13,12 +13,12 @@ from tidemark.llm.ship import ship
 from tidemark.session import staged
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows whose id is not in `gone` (a column _gone). Few ids are joined as a copy, many by a shuffle."""
+def _without(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows whose `key` is not in `gone` (a column _gone). Few keys are joined as a copy, many by a shuffle."""
     gone = staged(gone.distinct(), "gone")
     if gone.count() <= ngramjoin.MOST_BROADCAST:
         gone = F.broadcast(gone)
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +44,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item, perhaps with other parameters, go."""
-    found = decontam.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, found.select(F.col("doc_id").alias("_gone")))
+    """Documents that hold a benchmark item, perhaps with other parameters, go. A row without an id is judged by its own text."""
+    own = F.when(F.col("doc_id").isNull(), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    keyed = docs.withColumn("_key", F.struct(F.col("doc_id").alias("id"), own.alias("text")))
+    found = decontam.leaks(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_key")
+    return _without(keyed, found.select(F.col("doc_id").alias("_gone")), "_key").drop("_key")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

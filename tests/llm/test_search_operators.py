@@ -328,6 +328,15 @@ def test_pipeline(spark, folder):
     assert sorted(map(key, corpus_pipeline.run(spark, folder).collect())) == sorted(map(key, mixed.collect()))
 
 
+def test_rows_without_an_id_are_judged_by_their_own_text(spark, tmp_path):
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    words = ITEM.split()
+    halves = [" ".join(words[:11]), " ".join(words[3:14])]  # four windows each
+    rows = [(None, ITEM), (None, "a clean text"), (None, None), (1, ITEM), (2, "clean"), *[(None, h) for h in halves]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(str, corpus_pipeline.drop_leaks(spark, docs, str(tmp_path)).collect())) == sorted(map(str, docs.filter(F.coalesce("text", F.lit("")) != ITEM).collect()))
+
+
 def test_stages_with_odd_rows(spark, folder):
     odd = spark.createDataFrame([(1, None, None, None, None), (2, "", "en", "a", 0), (2, "", "en", "a", 0), (None, "token=abcdefgh", "en", "a", 14), (None, None, "en", "a", 0), (5, LONG, "en", None, 1)], "doc_id long, text string, lang string, source string, n_chars long")
     for name, stage in corpus_pipeline.STAGES:
