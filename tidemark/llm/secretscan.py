@@ -29,18 +29,26 @@ class Rule:
     least: int = 0
 
 
+#: From BEGIN to END; where END is missing, to the end of the run: over blanks if it begins with a long word, else over
+#: line breaks. Only classes repeat, none of which holds a hyphen, so a text is read once for each way.
+KEY = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+    r"(?:[\\nr\x20\t\r\n]*Proc-Type:\x20*[0-9],ENCRYPTED[\\nr\x20\t\r\n]*DEK-Info:\x20*[A-Za-z0-9-]+,[0-9A-Fa-f]+)?"
+    r"(?:[A-Za-z0-9+/=\\\x20\t\r\n]*-----END [A-Z ]*PRIVATE KEY-----|[\x20\t\r\n]*[A-Za-z0-9+/=\\]{16,}[A-Za-z0-9+/=\\\x20\t\r\n]*|[A-Za-z0-9+/=\\\r\n]*)"
+)
+
 BASE = (
     Rule("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]{24,}"),  # the runs of [0-9a-f]+ that have 24 characters
 )
 ADDED = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", KEY),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_bot", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("signed_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
     Rule("map_key", r"AIza[A-Za-z0-9_-]{35}"),
-    Rule("address_login", r"://[^\s/:@]{1,256}:[^\s/:@]{1,256}@"),
+    Rule("address_login", r"://[^\s/:@]+:[^\s/:@]+@"),
 )
 RULES = BASE + ADDED
 
