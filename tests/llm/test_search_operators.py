@@ -221,6 +221,16 @@ def test_copies_are_one_surrounding(spark):
     assert {len(r.spans) for r in disclosure.sanitise(df).collect()} == {1}
 
 
+def test_an_entity_mentioned_twice_discloses_terms(spark):
+    filler = paragraphs(5, 4, 30)
+    rows = [(i, f"{filler[i]} kestrelmark kim@example.org {'1234 ' * 200} {filler[2 + i]}") for i in range(2)]
+    got = disclosure.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all([t[s.start : s.end] for s in r.spans if s.kind == 4] == ["kestrelmark"] for r in got for t in [rows[r.doc_id][1]])
+    t = f"{'x' * 500} alpha beta 10.0.0.1 {'- ' * 400} gamma delta"
+    words = [m.span() for m in disclosure.WORD.finditer(t)]
+    assert disclosure._near(t, words, t.index("10."), t.index("10.") + 8, 3) == (["x" * 500, "alpha", "beta"], ["gamma", "delta"])
+
+
 # secrets
 
 SECRET = re.compile(secretscan.BASE[0].pattern), re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]+")

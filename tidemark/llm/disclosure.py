@@ -2,13 +2,15 @@
 
 Patterns find the entities to protect. A term near an entity discloses it as far as seeing the term makes the
 entity likely: with counts over the corpus, P(entity | term) = 2 ** (PMI(entity, term) - information(entity)), the
-share of the term's occurrences that stand near the entity. Terms over one threshold are generalised, over a
-second removed, in every document that holds the entity.
+share of the term's occurrences that stand near the entity, copies of one surrounding counted once and the estimate
+smoothed for few occurrences. Terms over one threshold are generalised, over a second removed, in every document that
+holds the entity.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,7 +38,8 @@ MOST_BROADCAST = 200_000
 
 @dataclass(frozen=True)
 class Settings:
-    """A term counts with `support` or more different surroundings near an entity, up to `reach` words away."""
+    """Terms count up to `reach` words away. `support` is how many further occurrences, elsewhere, smoothing supposes:
+    one surrounding of a term that is nowhere else gives 1 / (1 + support), two give 2 / (2 + support)."""
 
     reach: int = 8
     support: int = 3
@@ -94,12 +97,11 @@ def _texts(raw: np.ndarray, offsets: np.ndarray) -> list[str]:
     return [data[a:b].decode("utf-8") for a, b in zip(offsets[:-1], offsets[1:])]
 
 
-def _near(text: str, start: int, end: int, reach: int) -> tuple[list[str], list[str]]:
-    """Up to `reach` words before and after a span, read in steps that grow only as far as needed."""
-    width = 40 * reach
-    before = [m[0].lower() for m in WORD.finditer(text, max(0, start - width), start)][-reach:]
-    after = [m[0].lower() for m in WORD.finditer(text, end, min(len(text), end + width))][:reach]
-    return before, after
+def _near(text: str, words: list[tuple[int, int]], start: int, end: int, reach: int) -> tuple[list[str], list[str]]:
+    """Up to `reach` whole words before and after a span, however far away. `words` are the places of all."""
+    first = bisect_right(words, start, key=lambda w: w[1])
+    then = bisect_left(words, end, key=lambda w: w[0])
+    return [text[a:b].lower() for a, b in words[max(0, first - reach) : first]], [text[a:b].lower() for a, b in words[then : then + reach]]
 
 
 def mentions(docs: DataFrame, s: Settings) -> DataFrame:
@@ -112,8 +114,9 @@ def mentions(docs: DataFrame, s: Settings) -> DataFrame:
             rows: dict[str, list] = {"row": [], "entity": [], "term": [], "place": []}
             for r, text in enumerate(_texts(raw, offsets)):
                 spans = base_spans(text)
+                words = [m.span() for m in WORD.finditer(text)] if spans else []
                 for kind, a, b in spans:
-                    before, after = _near(text, a, b, s.reach)
+                    before, after = _near(text, words, a, b, s.reach)
                     place = int.from_bytes(hashlib.blake2b(" ".join([*before, "|", *after]).encode(), digest_size=8).digest(), "big", signed=True)
                     for term in {*before, *after} or {""}:
                         rows["row"].append(r)
@@ -137,11 +140,13 @@ def occurrences(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 def disclosing(docs: DataFrame, found: DataFrame, s: Settings) -> DataFrame:
     """entity, term, likely, removed: the terms that disclose each entity. `found` are the mentions."""
-    pairs = found.filter("term <> ''").groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.count_distinct("place").alias("places")).filter(F.col("places") >= s.support)
-    pairs = staged(pairs, "entity_terms")
-    likely = F.least(F.col("n_both") / F.col("n_term"), F.lit(1.0))
+    pairs = found.filter("term <> ''").groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.count_distinct("place").alias("places"))
+    most = F.col("places") / (F.col("places") + s.support)  # without occurrences elsewhere
+    pairs = staged(pairs.filter(most > s.generalise), "entity_terms")
+    elsewhere = F.greatest(F.col("n_term") - F.col("n_both"), F.lit(0))
+    likely = F.col("places") / (F.col("places") + elsewhere + s.support)
     out = pairs.join(occurrences(docs, pairs.select("term").distinct()), "term").withColumn("likely", likely)
-    return out.filter(F.col("likely") >= s.generalise).select("entity", "term", "likely", (F.col("likely") >= s.remove).alias("removed"))
+    return out.filter(F.col("likely") > s.generalise).select("entity", "term", "likely", (F.col("likely") > s.remove).alias("removed"))
 
 
 def sanitise(df: DataFrame, s: Settings = Settings(), *, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
