@@ -8,6 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders of staged tables that this driver made.
+_ours: set[str] = set()
+
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the jobs assume; cluster settings given by the launcher win.
@@ -45,9 +48,22 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) of the store that holds the path, as Spark's own readers see it."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
+    """A fresh, never reused path below the shared folder. The application's folder goes when its driver ends."""
+    app = f"{shared_dir(spark).rstrip('/')}/tidemark/{spark.sparkContext.applicationId}"
+    if app not in _ours:
+        fs, at = _file_system(spark, app)
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+        _ours.add(app)
+    return f"{app}/{label}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -61,6 +77,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the staged tables that `df` reads, once nothing will read them again. Other inputs stay."""
+    spark = df.sparkSession
+    ours = {a for a in _ours if a.endswith("/" + spark.sparkContext.applicationId)}
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for folder in folders:
+        if any(a.split(":", 1)[-1].lstrip("/") + "/" in folder for a in ours):
+            fs, at = _file_system(spark, folder)
+            fs.delete(at, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for costly row work on an input of few splits; an input with enough of them is left
     alone, without a shuffle."""
