@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import chat, decontam, disclosure, langid, mixing, multiindex, ngramjoin, prefixcounts, secretscan, toxicity
+from . import bytebpe, chat, decontam, disclosure, langid, mixing, multiindex, ngramjoin, prefixcounts, secretscan, toxicity, vectorcodes, whitening
 from .ship import ship
 from .text import fold_of
 
@@ -172,3 +172,41 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"] < 4)
     counts = [_count("spans", "kind", i).alias(f"n_{k}") for i, k in enumerate(disclosure.KINDS)]
     return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def _op11_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Plain Lloyd, every part against every entry in every round. A distance and an entry's index make one number,
+    so that the least of them is the nearest entry of lowest index."""
+    steps = [f"""
+v as materialized (select row_number() over (order by vec_id) as r, vec_id, label, [floor(4096 * x::double)::bigint for x in embedding] as x
+    from embeddings where embedding is not null and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+x as materialized (select r, p, x[p * len(x) // {parts} + 1 : (p + 1) * len(x) // {parts}] as x from v, range({parts}) as t(p)),
+b0 as materialized (select p, r - 1 as e, x from x where r <= {entries})"""]
+    for k in range(rounds + 1):
+        steps.append(f"""
+a{k} as materialized (select r, x.p, min(list_sum(list_transform(list_zip(x.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::hugeint * {entries} + b.e) as near from x join b{k} b on b.p = x.p group by 1, 2)""")
+        if k < rounds:
+            steps.append(f"""
+m{k} as materialized (select x.p, near % {entries} as e, i, sum(x.x[i]) as s, count(*) as n from a{k} a join x on x.r = a.r and x.p = a.p, unnest(range(1, len(x.x) + 1)) as u(i) group by all),
+b{k + 1} as materialized (select b.p, b.e, coalesce(list((case when s >= 0 then s // n else -((-s + n - 1) // n) end)::bigint order by i) filter (s is not null), any_value(b.x)) as x from b{k} b left join m{k} m on m.p = b.p and m.e = b.e group by 1, 2)""")
+    return f"""
+with {",".join(steps)},
+h as (select sha256(string_agg(array_to_string(x, ','), ',' order by p, e)) as codebooks_sha256 from b{rounds}),
+c as (select r, string_agg(printf('%02x', (near % {entries})::int), '' order by p) as code, sum(near // {entries})::bigint as error from a{rounds} group by r)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256 from v join c on c.r = v.r, h
+"""
+
+
+@query("op11_vector_codes", _op11_sql())
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return vectorcodes.compress(table(spark, folder, "embeddings"))
+
+
+@query("op12_byte_bpe")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return bytebpe.round_trip(table(spark, folder, "documents"))
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
