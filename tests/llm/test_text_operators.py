@@ -1,8 +1,12 @@
 """Formatting, language, token counts, mixing and toxicity on hand-made rows."""
 
 import hashlib
+import itertools
+import math
 import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -29,6 +33,42 @@ def test_matches_oracle(spark, folder, name):
     assert rowset(got.columns, [tuple(r) for r in got.collect()]) == rowset([d[0] for d in cur.description], cur.fetchall())
 
 
+# language
+
+def test_languages_are_those_of_the_definition(spark):
+    """Prototypes, cosines and answers, letter by letter and trigram by trigram."""
+    rnd = random.Random(11)
+    syllables = {"aa": ["ka", "lo", "mi"], "bb": ["ent", "ung", "sch"], "cc": ["ção", "lh", "ei"]}
+    rows = [(i, "".join(rnd.choice(syllables[lang]) + rnd.choice(["", "", " ", ", "]) for _ in range(12)), lang) for i, lang in enumerate(["aa", "bb", "cc"] * 10)]
+    rows += [(100, None, "aa"), (101, "12 !", "aa"), (102, "kalomi", None)]
+    size = 256
+    held = {c: langid.letter_vectors(np.array([c]), size)[0].astype(float) for c in {*map(ord, "".join(t or "" for _, t, _ in rows).lower()), 0}}
+
+    def vector(text):
+        points = [0] + [ord(c) if c.isalpha() else 0 for c in (text or "").lower()] + [0]
+        points = [p for k, p in enumerate(points) if p or not k or points[k - 1]]
+        points += [0] if points[-1] else []
+        out = np.zeros(size)
+        for a, b, c in zip(points, points[1:], points[2:]):
+            if b:
+                out += np.roll(held[a], 2) * np.roll(held[b], 1) * held[c]
+        return out
+
+    def unit(v):
+        return v / np.linalg.norm(v) if v.any() else v
+
+    prototypes = {lang: unit(sum(unit(vector(t)) for _, t, x in rows if x == lang)) for lang in syllables}
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in langid.predict(df, langid.learn(df, size=size)).collect()}
+    for i, t, _ in rows:
+        cosines = {lang: float(unit(vector(t)) @ p) for lang, p in prototypes.items()}
+        best = max(sorted(cosines), key=cosines.get)
+        if not vector(t).any():
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+        else:
+            assert got[i].lang_pred == best and got[i].score == pytest.approx(max(cosines[best], 0), abs=1e-4)
+
+
 # chat
 
 def read(turns):
@@ -120,7 +160,10 @@ def test_counts_are_the_librarys(spark):
 def test_every_prefix_is_exact():
     c = prefixcounts.PrefixCounter()
     rnd = random.Random(4)
-    texts = [x for x in TEXTS if "<|" not in x] + ["".join(rnd.choice("ab  '\nlls1.é") for _ in range(40)) for _ in range(60)]
+    texts = [*TEXTS, "x <|endoftext|> y", "ab <|endoftext|>", "  <|endoftext|>", "!!<|endoftext|><|endoftext|>!", "a'<|endoftext|>ll", "<|endoftext|>  \n <|endoftext|> <|endof"]
+    texts += ["".join(rnd.choice("ab  '\nlls1.é") for _ in range(40)) for _ in range(60)]
+    texts += ["".join(rnd.choice(["<|endoftext|>", " ", "\n", "x", "'re", "!", "<|", "tion", "漢", "\u00a0", "12"]) for _ in range(14)) for _ in range(60)]
+    texts += ["".join(rnd.choice("aabceilnorst") for _ in range(60)) for _ in range(40)] + ["-" * 90, " " * 70 + "x", "a" * 50, "=-" * 30, "\U0001f600\u200d" * 6]
     for text, (ends, counts) in zip(texts, c.tables(texts)):
         exact = [c.encode(text[:p]) for p in range(len(text) + 1)]
         assert [c.at(text, ends, counts, p) for p in range(len(text) + 1)] == exact, text
@@ -131,10 +174,24 @@ def test_every_prefix_is_exact():
 def test_truncation(spark):
     df = spark.createDataFrame([(1, LONG), (2, None), (3, "a b")], "doc_id long, text string")
     got = {r.doc_id: r for r in prefixcounts.truncated(prefixcounts.prefix_table(df, keep_text=True), 3).collect()}
-    assert (got[1].text, got[1].n_tokens) == ("alpha beta", 2) or got[1].n_tokens <= 3
+    c = prefixcounts.PrefixCounter()
+    best = max(p for p in range(60) if c.encode(LONG[:p]) <= 3)
+    assert (got[1].text, got[1].n_tokens) == (LONG[:best], c.encode(LONG[:best]))
     assert LONG.startswith(got[1].text) and (got[2].text, got[2].n_tokens, got[3].text) == ("", 0, "a b")
 
 
+def test_a_word_of_a_million_letters():
+    c = prefixcounts.PrefixCounter()
+    rnd = random.Random(7)
+    for word in ("".join(rnd.choice("etaoinshrdlucmfw") for _ in range(1_000_000)), "ab" * 500_000):
+        ((ends, counts),) = c.tables([word])
+        c.profile("x")  # reads the merges
+        start = time.time()
+        stop = c.longest(word, ends, counts, 1000)
+        assert time.time() - start < 4
+        assert c.encode(word[:stop]) == c.at(word, ends, counts, stop) <= 1000 and all(c.encode(word[: stop + n]) > 1000 for n in range(1, 30))
+
+
 # mixing
 
 def brute_mix(rows, weights=(3, 1, 2), share=1.5, most=2):
@@ -173,6 +230,25 @@ def test_mix_meets_targets(spark):
     assert sorted(map(key, mixing.mix(df.repartition(7)).collect())) == sorted(map(key, got))
 
 
+def test_the_mix_is_its_entries_in_order(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROWS", 50)
+    rnd = random.Random(8)
+    rows = [(i if i % 7 else None, "hot" if i % 3 else rnd.choice(["a", None]), f"v{i} " + "w " * rnd.randrange(0, 9), i) for i in range(700)] + [(5, "a", None, 1), (5, "a", "", 2)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, finish long")
+    got = mixing.mixed(df).orderBy("word_end", "lap").collect()
+    assert set(df.columns) <= set(mixing.mixed(df).columns)
+    ends = list(itertools.accumulate(r.taken for r in got))
+    assert [r.word_end for r in got] == ends and ends[-1] <= 1.5 * sum(len((t or "").split()) for _, _, t, _ in rows)
+    assert [r.finish for r in got] == sorted(r.finish for r in got) and all(r.size == len(r.text.split()) for r in got)
+    digest = {}
+    for r in mixing.mix(df).collect():
+        digest[r.doc_id, r.source, r.size] = digest.get((r.doc_id, r.source, r.size), 0) + r.taken
+    told = dict.fromkeys(digest, 0)
+    for r in got:
+        told[r.doc_id, r.source, r.size] += r.taken
+    assert told == digest and {r.lap for r in got} == {0, 1}
+
+
 def test_mix_edges(spark, docs):
     got = mixing.mix(docs).collect()
     assert len(got) == docs.count() and {r.taken for r in got if r.size == 0} == {0}
@@ -182,6 +258,34 @@ def test_mix_edges(spark, docs):
 
 # toxicity
 
+def test_ftrl_is_the_plain_loop():
+    """One coordinate after the other, in dictionaries, by the published update."""
+    s = toxicity.Settings(bits=8, l1=0.7, passes=2)
+    r = np.random.default_rng(3)
+    rows = [(np.unique(r.integers(0, 256, 12)), int(r.random() < 0.3)) for _ in range(300)]
+    z, n = {}, {}
+
+    def weight(i):
+        pull = 0.0 if i == 256 else s.l1
+        if abs(z.get(i, 0.0)) <= pull:
+            return 0.0
+        return -(z[i] - math.copysign(pull, z[i])) / ((s.beta + math.sqrt(n.get(i, 0.0))) / s.alpha + s.l2)
+
+    for _ in range(s.passes):
+        for feats, label in rows:
+            own = [*feats.tolist(), 256]
+            w = {i: weight(i) for i in own}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - label
+            for i in own:
+                sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / s.alpha
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    bias, kept, weights = toxicity.ftrl(rows, s)
+    assert bias == pytest.approx(weight(256), abs=1e-9)
+    assert dict(zip(kept.tolist(), weights.tolist())) == pytest.approx({i: weight(i) for i in range(256) if weight(i)}, abs=1e-9)
+    assert 0 < len(kept) < 256
+
+
 def test_toxicity_learns_words_and_pairs(spark):
     rnd = random.Random(6)
     words = [f"w{i}" for i in range(200)]

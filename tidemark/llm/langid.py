@@ -19,12 +19,11 @@ from .text import mix, slices
 
 SCALE = 1 << 20
 BLOCK = 4096
-MOST_LANGUAGES = 10_000
 
 
 @dataclass(frozen=True)
 class Profiles:
-    """Unit prototypes, a row for each language; MOST_LANGUAGES rows of `size` 32-bit numbers at most."""
+    """Unit prototypes, a row of `size` 32-bit numbers (4 KB) for each language, whatever the number of rows."""
 
     size: int
     languages: list[str]
@@ -71,7 +70,7 @@ def document_vectors(raw: np.ndarray, offsets: np.ndarray, size: int) -> np.ndar
     k = len(known)
     code = (own[mid - 1] * k + own[mid]) * k + own[mid + 1]
     row = row[mid]
-    if k <= 300:
+    if k <= 100:
         seen = np.zeros(k**3, dtype=bool)
         seen[code] = True
         distinct = np.flatnonzero(seen)
@@ -117,9 +116,7 @@ def learn(df: DataFrame, *, text_col: str = "text", lang_col: str = "lang", wher
     parts = rows.mapInArrow(bundle, "lang string, total array<bigint>")
     each = parts.select("lang", F.posexplode("total").alias("at", "v")).groupBy("lang", "at").agg(F.sum("v").alias("v"))
     whole = each.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("at", "v"))).alias("vs")).select("lang", F.transform("vs", lambda x: x["v"]).alias("v"))
-    got = whole.orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
-    if len(got) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    got = whole.orderBy("lang").collect()
     vectors = np.array([r["v"] for r in got], dtype=np.float64).reshape(len(got), size)
     return Profiles(size, [r["lang"] for r in got], unit(vectors).astype(np.float32))
 

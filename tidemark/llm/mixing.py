@@ -10,8 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..session import staged
+
 WORD = r"[^\x20\x09-\x0D]+"
-FINE = 2048
+#: Rows of a bucket or slot, on average: one window task holds them.
+ROWS = 2000
+WEIGHTS = (3, 1, 2)
 
 
 def word_count(text: Column) -> Column:
@@ -38,37 +42,70 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, most: int)
     return t.select("source", "source_size", "place", "weight", target.alias("target"))
 
 
-def mix(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2) -> DataFrame:
-    """One row for each input row: doc_id, source, size, source_size, target, taken (words, repeats counted).
+def _sequence(df: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], share: float, most: int, whole: bool) -> tuple[DataFrame, Column]:
+    """All entries, `most` for each row, with `upto_here` (words of all entries up to and with it), and whether an
+    entry is taken. `whole` carries the rows along; entries behind the budget's slot are left out then.
 
-    An entry is taken whole or not at all, a document `most` times at most, empty ones never (taken 0). Rows that
-    repeat are documents of their own. The order is that of md5(id), then size and the text's hash; so reruns
-    agree. An empty table gives no row; a null id is shuffled like an empty one.
+    Rows are read and counted once. Buckets cut a source's shuffled order, slots the global order; both grow in
+    number with the rows, and neither changes the order.
     """
+    text, source = F.col(f"`{text_col}`"), F.col(f"`{source_col}`")
+    key = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.concat(F.lit("no id: "), F.coalesce(text, F.lit(""))))
     docs = df.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-        F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("turn"), F.xxhash64(text_col).alias("same"))
-    docs = docs.withColumn("bucket", F.substring("turn", 1, 3))
+        *([F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if whole else []), F.col(f"`{id_col}`").alias("doc_id"), source.alias("source"),
+        word_count(text).alias("size"), F.md5(key.cast("binary")).alias("turn"), F.xxhash64(text).alias("same"))
+    docs = staged(docs, "mix_rows")
+    parts = max(1, -(-docs.count() // ROWS))
+    docs = docs.withColumn("bucket", F.floor(F.conv(F.substring("turn", 1, 8), 16, 10).cast("bigint") * parts / 2**32))
     per_bucket = docs.groupBy("source", "bucket").agg(F.sum("size").alias("here"))
     per_bucket = per_bucket.withColumn("before", F.sum("here").over(W.partitionBy("source").orderBy("bucket")) - F.col("here"))
     goal = targets(per_bucket.groupBy("source").agg(F.sum("here").alias("source_size")), weights, share, most)
     lane = per_bucket.join(goal.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "here")
-    lane = lane.select(F.col("source").alias("_source"), F.col("bucket").alias("_bucket"), "before", "source_size", "place", "target")
+    lane = staged(lane.select(F.col("source").alias("_source"), F.col("bucket").alias("_bucket"), "before", "source_size", "place", "target"), "mix_lanes")
     rows = docs.join(lane, F.col("source").eqNullSafe(F.col("_source")) & (F.col("bucket") == F.col("_bucket"))).drop("_source", "_bucket")
     order = W.partitionBy("place", "bucket").orderBy("turn", "size", "same")
     rows = rows.withColumn("at", F.row_number().over(order)).withColumn("upto", F.col("before") + F.sum("size").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
 
-    entries = rows.withColumn("lap", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
-    finish = (F.col("upto") + F.col("lap") * F.col("source_size")) / F.when(F.col("target") > 0, F.col("target"))
-    entries = entries.withColumn("finish", F.coalesce(finish, F.lit(0.0)))
-    slot = F.when(F.col("finish") < 2, F.floor(F.col("finish") * FINE)).otherwise(2 * FINE + F.floor(F.log2(F.col("finish") / 2) * 64))
-    entries = entries.withColumn("slot", slot.cast("bigint"))
-    per_slot = entries.groupBy("slot").agg(F.sum("size").alias("here"))
+    def dealt(rows: DataFrame) -> DataFrame:
+        entries = rows.withColumn("lap", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
+        finish = (F.col("upto") + F.col("lap") * F.col("source_size")) / F.when(F.col("target") > 0, F.col("target"))
+        entries = entries.withColumn("finish", F.coalesce(finish, F.lit(0.0)))
+        fine = parts * most
+        slot = F.when(F.col("finish") < 2, F.floor(F.col("finish") * fine)).otherwise(2 * fine + F.floor(F.log2(F.col("finish") / 2) * 64))
+        return entries.withColumn("slot", slot.cast("bigint"))
+
+    per_slot = dealt(rows.drop("row")).groupBy("slot").agg(F.sum("size").alias("here"))
     per_slot = per_slot.select(F.col("slot").alias("_slot"), (F.sum("here").over(W.orderBy("slot")) - F.col("here")).alias("earlier"), (F.sum("here").over(W.partitionBy()) / most * share).alias("budget"))
     line = W.partitionBy("slot").orderBy("finish", "place", "lap", "turn", "size", "same", "at").rowsBetween(W.unboundedPreceding, W.currentRow)
-    entries = entries.join(per_slot, F.col("slot") == F.col("_slot"))
-    taken = F.when(F.col("earlier") + F.sum("size").over(line) <= F.col("budget"), F.col("size")).otherwise(0)
-    entries = entries.withColumn("taken", taken)
+    entries = dealt(rows).join(per_slot, F.col("slot") == F.col("_slot"))
+    if whole:
+        entries = entries.filter(F.col("earlier") <= F.col("budget"))
+    entries = entries.withColumn("upto_here", F.col("earlier") + F.sum("size").over(line))
+    return entries, F.col("upto_here") <= F.col("budget")
+
+
+def mixed(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: int = 2) -> DataFrame:
+    """The mix itself: a row for each entry taken, repeats included, to be read in the order of `word_end`, then `lap`.
+
+    All columns of `df`, then lap (0 for the first time), size, source_size, target, taken (the entry's words),
+    finish (its virtual finish time) and word_end (words of the mix up to and with it). An input column with one of
+    these names is left out. Empty documents are entries without words and not taken.
+    """
+    entries, taken = _sequence(df, id_col, text_col, source_col, weights, share, most, True)
+    ours = [F.col("lap").cast("int").alias("lap"), "size", "source_size", "target", F.col("size").alias("taken"), "finish", F.col("upto_here").cast("bigint").alias("word_end")]
+    names = {"lap", "size", "source_size", "target", "taken", "finish", "word_end"}
+    return entries.filter(taken & (F.col("size") > 0)).select(*[F.col("row")[c].alias(c) for c in df.columns if c not in names], *ours)
+
+
+def mix(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: int = 2) -> DataFrame:
+    """One row for each input row: doc_id, source, size, source_size, target, taken (words, repeats counted).
+
+    An entry is taken whole or not at all, a document `most` times at most, empty ones never (taken 0). Rows that
+    repeat are documents of their own. The order is that of md5(id), then size and the text's hash; so reruns
+    agree. An empty table gives no row; a row without an id is shuffled by its text.
+    """
+    entries, taken = _sequence(df, id_col, text_col, source_col, weights, share, most, False)
     key = ["place", "bucket", "at"]
     return entries.groupBy(*key).agg(
-        *[F.first(c).alias(c) for c in ("doc_id", "source", "size", "source_size", "target")], F.sum("taken").cast("bigint").alias("taken")).drop(*key)
+        *[F.first(c).alias(c) for c in ("doc_id", "source", "size", "source_size", "target")],
+        F.sum(F.when(taken, F.col("size")).otherwise(0)).cast("bigint").alias("taken")).drop(*key)

@@ -24,7 +24,8 @@ NEVER = -35.0
 @dataclass(frozen=True)
 class Settings:
     """alpha and beta set the rate alpha / (beta + sqrt(sum of squared gradients)) of each coordinate; l1 is the
-    pull to zero. At most about `sample_rows` labelled rows are learned from: those of the smallest crc32."""
+    pull to zero. At most about `sample_rows` labelled rows are learned from: those of the smallest crc32. They end
+    where they hold `sample_features` features together (4 bytes each), which long texts may reach earlier."""
 
     bits: int = 20
     alpha: float = 2.0
@@ -33,6 +34,7 @@ class Settings:
     l2: float = 0.1
     passes: int = 2
     sample_rows: int = 16_000
+    sample_features: int = 60_000_000
 
 
 @dataclass(frozen=True)
@@ -108,9 +110,12 @@ def fit(df: DataFrame, labels: DataFrame, s: Settings = Settings(), *, id_col: s
     chosen = narrow(df, id_col, text_col).join(F.broadcast(marks), "doc_id").select("doc_id", "text", "label", "turn")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
+        rows, held = [], 0
         for part, raw, offsets in slices(batches):
-            rows += zip(features(raw, offsets, s.bits), part.column("label").to_pylist())
+            for f, label in zip(features(raw, offsets, s.bits), part.column("label").to_pylist()):
+                held += len(f)
+                if held <= s.sample_features:
+                    rows.append((f.astype(np.int32), label))
         bias, kept, weights = ftrl(rows, s)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(kept, -1)), pa.array(np.append(weights, bias))], names=["feature", "weight"])
 
