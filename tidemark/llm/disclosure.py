@@ -34,6 +34,8 @@ WORD = re.compile(r"[^\W\d_]{3,}")
 
 #: Rows (id, terms) that every executor may hold a copy of; more are joined by a shuffle.
 MOST_BROADCAST = 200_000
+#: Rows of mentions that a task holds before it hands them on, however many one text has.
+HELD_ROWS = 4096
 
 
 @dataclass(frozen=True)
@@ -77,7 +79,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) by kind, then start; code points, end exclusive. Failing matches are dropped."""
     out = [(0, a, b) for a, b in emails(text)]
     if "." in text:
-        out += [(1, m.start(), m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.groups())]
+        out += [(1, m.start(), m.end()) for m in IP.finditer(text) if all(len(p := part.lstrip("0")) <= 3 and int(p or "0") <= 255 for part in m.groups())]
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 13 and 13 <= len(d := digits_of(m[0])) <= 19 and luhn(d):
             out.append((2, m.start(), m.end()))
@@ -111,7 +113,15 @@ def mentions(docs: DataFrame, s: Settings) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, raw, offsets in slices(batches):
-            rows: dict[str, list] = {"row": [], "entity": [], "term": [], "place": []}
+            rows: dict[str, list] = {n: [] for n in ("row", "entity", "term", "place")}
+
+            def out() -> pa.RecordBatch:
+                ids = part.column("doc_id").take(pa.array(rows["row"], pa.int64()))
+                columns = [pa.array(rows["entity"], pa.string()), pa.array(rows["term"], pa.string()), pa.array(rows["place"], pa.int64())]
+                for kept in rows.values():
+                    kept.clear()
+                return pa.RecordBatch.from_arrays([ids, *columns], names=["doc_id", "entity", "term", "place"])
+
             for r, text in enumerate(_texts(raw, offsets)):
                 spans = base_spans(text)
                 words = [m.span() for m in WORD.finditer(text)] if spans else []
@@ -123,8 +133,9 @@ def mentions(docs: DataFrame, s: Settings) -> DataFrame:
                         rows["entity"].append(entity(text, kind, a, b))
                         rows["term"].append(term)
                         rows["place"].append(place)
-            ids = part.column("doc_id").take(pa.array(rows["row"], pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(rows["entity"], pa.string()), pa.array(rows["term"], pa.string()), pa.array(rows["place"], pa.int64())], names=["doc_id", "entity", "term", "place"])
+                    if len(rows["row"]) >= HELD_ROWS:
+                        yield out()
+            yield out()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"doc_id {kind}, entity string, term string, place bigint")
