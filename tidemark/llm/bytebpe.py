@@ -21,7 +21,8 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 from .text import slices
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-#: Characters of words whose ids a Python worker keeps; longer words than KEPT are never kept.
+#: Characters of words (and 16 for each) whose ids a Python worker keeps in each of two generations; longer words than
+#: KEPT are never kept.
 CACHED_CHARS = 8_000_000
 KEPT = 256
 #: Words of a text that are held at a time.
@@ -31,24 +32,6 @@ _NONE = 1 << 62
 _PLACE = (1 << 32) - 1
 
 
-class _Words(dict):
-    """Ids of words; a missing word is encoded. All are forgotten once they pass CACHED_CHARS."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode, self.held = encode, 0
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = tuple(self.encode(word.encode("utf-8", "replace")))
-        if len(word) <= KEPT:
-            if self.held > CACHED_CHARS:
-                self.clear()
-                self.held = 0
-            self[word] = ids
-            self.held += len(word) + 8
-        return ids
-
-
 class Codec:
     """The vocabulary of one ranks file, found by `public_tokenizers.path` on whichever machine runs this."""
 
@@ -60,7 +43,9 @@ class Codec:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.pattern = regex.compile(pattern or public_tokenizers.PATTERN)
         self.parts: dict[int, bytes] = {i: b for b, i in self.ranks.items()}
-        self.words = _Words(self.encode_word)
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.held = 0
 
     def encode_word(self, word: bytes) -> list[int]:
         """Ids of one match of the pattern. A match that is an entry itself is that entry."""
@@ -117,15 +102,28 @@ class Codec:
             i = end[i]
         return ids
 
+    def ids_of(self, words: list[str]) -> list[int]:
+        """Ids of words. Those met since CACHED_CHARS before last are remembered, so frequent words stay known."""
+        if self.held > CACHED_CHARS:
+            self.older, self.known, self.held = self.known, {}, 0
+        got = list(map(self.known.get, words))
+        if None in got:
+            for k in [k for k, ids in enumerate(got) if ids is None]:
+                w = words[k]
+                got[k] = ids = self.known.get(w) or self.older.get(w) or tuple(self.encode_word(w.encode("utf-8", "replace")))
+                if len(w) <= KEPT and w not in self.known:
+                    self.known[w] = ids
+                    self.held += len(w) + 16
+        return list(chain.from_iterable(got))
+
     def chunks(self, text: str) -> Iterator[list[int]]:
         """Ids of a text, some words at a time."""
-        get = self.words.__getitem__
         if len(text) <= PIECES:
-            yield list(chain.from_iterable(map(get, self.pattern.findall(text))))
+            yield self.ids_of(self.pattern.findall(text))
             return
         found = self.pattern.finditer(text)
         while some := [m.group() for m in islice(found, PIECES)]:
-            yield list(chain.from_iterable(map(get, some)))
+            yield self.ids_of(some)
 
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(self.chunks(text)))
