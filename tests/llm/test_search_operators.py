@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import decontam, disclosure, graph, multiindex, ngramjoin, secretscan
+from tidemark.llm import decontam, disclosure, graph, mixing, multiindex, ngramjoin, secretscan
 from tidemark.llm.queries import QUERIES
 
 LONG = "alpha beta gamma " * 40_000
@@ -143,6 +143,32 @@ def test_items_without_template_windows_are_found_as_they_are(spark):
     assert set(found(spark, texts, (*items, ITEM))) == {(0, 0), (1, 1), (2, 2), (3, 3)}
 
 
+def test_short_items_are_lines_of_their_own(spark):
+    texts = ["well yes of course", "Yes.", "so\n yes!\nno", "yes no", "is it true yes", "no"]
+    assert set(found(spark, texts, ("Yes", "true yes"))) == {(1, 0), (2, 0)}
+
+
+def test_many_names_in_one_item(spark):
+    """Bindings are grouped once: the work grows with their square at most."""
+    words = paragraphs(8, 1, 1200)[0].split()
+    names = ["".join(chr(97 + k // n % 26) for n in (1, 26, 676)) for k in range(400)]
+    item = " ".join(w + (f" Name{names[k // 3]}" if k % 3 == 0 else "") for k, w in enumerate(words))
+    other = item.replace("Name", "Peer")
+    assert found(spark, [f"see {item}", other, other.replace("Peerkaa", "Oddone")], (item,)) == {(0, 0): False, (1, 0): True, (2, 0): True}
+
+
+def test_texts_without_an_id_are_documents_of_their_own(spark):
+    words = ITEM.split()
+    docs = spark.createDataFrame([(None, " ".join(words[:11])), (None, " ".join(words[3:14])), (None, ITEM), (None, ITEM)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontam.leaks(docs, bench).collect()] == [(None, 1)]
+
+
+def test_leaks_read_their_inputs_a_few_times(spark, folder):
+    plan = QUERIES["op3_benchmark_leaks"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 8 and len(plan) < 120_000
+
+
 def test_items_inside_sentences_and_in_other_case(spark):
     item = "What is the capital of the country that lies north of Spain"
     john = "John has a basket with some red apples and gives half of them to Ann at noon"
@@ -169,13 +195,13 @@ def test_leaks_of_the_table_are_the_items_found_by_search(spark, folder):
 
 # personal data
 
-PLAIN = [(re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), lambda m: True), (re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), lambda m: all(int(x) <= 255 for x in m.split("."))),
+PLAIN = [(re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), lambda m: True), (re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), lambda m: all(int(x.lstrip("0")[:9] or "0") <= 255 for x in m.split("."))),
          (re.compile(r"[0-9]([\x20-]?[0-9])+"), lambda m: 13 <= len(d := disclosure.digits_of(m)) <= 19 and disclosure.luhn(d)), (re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"), lambda m: 9 <= len(disclosure.digits_of(m)) <= 15)]
 
 
 def test_base_spans_are_the_patterns():
     rnd = random.Random(9)
-    texts = ["a@b.c_x@d.e", "1.2.3.4.5.6.7.8", "a@b.c@d.e", "x+y@é.de", "4111 1111 1111 1111", "4111-1111-1111-11111111111111", "+1 (234) 567-8901 ", "+1 22 +33 4455 66778", "256.1.1.1 0255.1.1.001", "1" * 5000 + ".2", LONG + "x@y.z"]
+    texts = ["a@b.c_x@d.e", "1.2.3.4.5.6.7.8", "a@b.c@d.e", "x+y@é.de", "4111 1111 1111 1111", "4111-1111-1111-11111111111111", "+1 (234) 567-8901 ", "+1 22 +33 4455 66778", "256.1.1.1 0255.1.1.001", "1" * 5000 + ".2", "ip " + "0" * 5000 + ".1.2.3", "0" * 4400 + "256.1.1.1", LONG + "x@y.z"]
     texts += ["".join(rnd.choice("ab1234567890.+-@ ()_é") for _ in range(120)) for _ in range(400)]
     for t in texts:
         assert disclosure.base_spans(t) == [(k, m.start(), m.end()) for k, (rx, ok) in enumerate(PLAIN) for m in rx.finditer(t) if ok(m[0])], t[:100]
@@ -346,9 +372,15 @@ def test_pipeline(spark, folder):
             assert before.count() == previous.count() and all(not brute_secrets(r.text.replace("<secret>", " ")) for r in before.collect())
         previous = before
     mixed = corpus_pipeline.STAGES[-1][1](spark, before, folder)
-    assert mixed.count() == before.count()
-    key = lambda r: (r.doc_id, r.taken)
-    assert sorted(map(key, corpus_pipeline.run(spark, folder).collect())) == sorted(map(key, mixed.collect()))
+    key = lambda r: (r.word_end, r.lap, r.doc_id, r.text)
+    got = sorted(map(key, mixed.collect()))
+    assert got == sorted(map(key, corpus_pipeline.run(spark, folder).collect()))
+    texts = {r.doc_id: r.text for r in before.collect()}
+    assert got and all(t == texts[i] for _, _, i, t in got)
+    words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    assert [e for e, *_ in got] == list(itertools.accumulate(words(t) for *_, t in got))
+    taken = {r.doc_id: r.taken for r in mixing.mix(before).collect()}
+    assert {i: n for i, n in taken.items() if n} == {i: sum(words(t) for _, _, j, t in got if j == i) for i in {j for _, _, j, _ in got}}
 
 
 def test_rows_without_an_id_are_judged_by_their_own_text(spark, tmp_path):
@@ -363,6 +395,26 @@ def test_rows_without_an_id_are_judged_by_their_own_text(spark, tmp_path):
 def test_stages_with_odd_rows(spark, folder):
     odd = spark.createDataFrame([(1, None, None, None, None), (2, "", "en", "a", 0), (2, "", "en", "a", 0), (None, "token=abcdefgh", "en", "a", 14), (None, None, "en", "a", 0), (5, LONG, "en", None, 1)], "doc_id long, text string, lang string, source string, n_chars long")
     for name, stage in corpus_pipeline.STAGES:
-        want = {"ngram_jaccard_join": 5}.get(name, 6)
+        want = {"ngram_jaccard_join": 5, "source_mixing": 3}.get(name, 6)
         assert stage(spark, odd, folder).count() == want, name
         assert stage(spark, odd.filter("false"), folder).count() == 0, name
+
+
+def test_stages_keep_any_column(spark, folder):
+    names = ["_gone", "_score", "_toxic", "_key", "_at", "row", "key", "node", "gone", "secret_spans", "size", "a.b"]
+    docs = spark.createDataFrame([(i, f"a clean text number {i} token=abcdefgh{i}", "en", "s", 9, *names) for i in range(4)], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, folder)
+        assert got.columns == docs.columns and got.count() == 4, name
+        assert {tuple(r[-len(names) :]) for r in got.collect()} == {tuple(names)}, name
+    mixed = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
+    assert set(docs.columns) <= set(mixed.columns) and len(mixed.columns) == len(set(mixed.columns)) and mixed.count()
+
+
+def test_texts_that_share_an_id_are_documents_of_their_own(spark, folder):
+    a, b = paragraphs(12, 2, 40)
+    rows = [(7, a), (7, b), (7, b), (8, b), (9, a + " more"), (None, a), (None, a)]
+    got = corpus_pipeline.one_of_each_group(spark, spark.createDataFrame(rows, "doc_id long, text string"), folder).collect()
+    first, second = sorted([a, b])
+    want = [(7, first), (9, a + " more") if first != a else (8, b), (None, a), (None, a)]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got))) == sorted(map(str, want))

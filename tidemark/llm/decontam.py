@@ -11,15 +11,19 @@ Items without a window of enough plain words are looked for word for word, by th
 
 from __future__ import annotations
 
-import functools
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import staged
+
 WINDOW = 8
 LITERALS = 5
 ENOUGH = 6
 #: Items that are looked for word for word meet the documents by the hash of so many first words: the most they have.
 EXACT = (8, 4, 2, 1)
+#: An item of fewer words is anybody's words: it must be the whole text, or a line of its own.
+SHORT = 4
 
 #: Letters of scripts written without blanks: Thai, Lao, Burmese, Khmer, kana, Han.
 SINGLE = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
@@ -129,22 +133,41 @@ def slots(words: Column, values: Column, pos: Column) -> Column:
     return F.filter(F.transform(both, one), lambda x: x["kind"].isin(NUMBER, UNIT, NAME))
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value) with the value worked out once, however often `then` names it."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def _stray(bound: Column) -> Column:
     """The places of units and names that do not have the value of most mentions (of as many: the item's own).
 
     `bound` has (kind, place, want, have) for each place of an alignment. Two names of the item may not become one.
+    Mentions are counted once for each (kind, want, have), and the most frequent found once for each value.
     """
-    def same(b: Column, *fields: str) -> Column:
-        return F.filter(bound, lambda x: (x["kind"] == b["kind"]) & (x[fields[0]] == b[fields[0]]) & (x[fields[-1]] == b[fields[-1]]))
+    def counted(rows: Column) -> Column:
+        ways = F.array_distinct(F.transform(rows, lambda b: F.struct(b["kind"].alias("kind"), b["want"].alias("want"), b["have"].alias("have"))))
+        return F.transform(ways, lambda w: F.struct(
+            w["kind"].alias("kind"), w["want"].alias("want"), w["have"].alias("have"),
+            F.size(F.filter(rows, lambda x: (x["kind"] == w["kind"]) & (x["want"] == w["want"]) & (x["have"] == w["have"]))).alias("n")))
+
+    def most(ways: Column, by: str, other: str) -> Column:
+        """(kind, by, top) for each value of `by`: the value of `other` that it has most often."""
+        values = F.array_distinct(F.transform(ways, lambda w: F.struct(w["kind"].alias("kind"), w[by].alias("by"))))
+        return F.transform(values, lambda v: F.struct(v["kind"].alias("kind"), v["by"].alias("by"), F.array_max(F.transform(
+            F.filter(ways, lambda w: (w["kind"] == v["kind"]) & (w[by] == v["by"])),
+            lambda w: F.struct(w["n"].alias("n"), (w["want"] == w["have"]).alias("kept"), w[other].alias("value"))))["value"].alias("top")))
 
-    def most(b: Column, by: str, other: str) -> Column:
-        ways = F.transform(same(b, by), lambda x: F.struct(F.size(same(x, "want", "have")).alias("n"), (x["want"] == x["have"]).alias("kept"), x[other].alias("value")))
-        return F.array_max(ways)["value"]
+    def strays(rows: Column, tops: Column) -> Column:
+        def breaks(b: Column, side: str, by: str, other: str) -> Column:
+            return F.exists(tops[side], lambda t: (t["kind"] == b["kind"]) & (t["by"] == b[by]) & (t["top"] != b[other]))
 
-    def strays(b: Column) -> Column:
-        return (b["kind"] != NUMBER) & ((b["have"] != most(b, "want", "have")) | ((b["kind"] == NAME) & (b["want"] != most(b, "have", "want"))))
+        wrong = F.filter(rows, lambda b: (b["kind"] != NUMBER) & (breaks(b, "of_want", "want", "have") | ((b["kind"] == NAME) & breaks(b, "of_have", "have", "want"))))
+        return F.transform(wrong, lambda b: b["place"])
 
-    return F.transform(F.filter(bound, strays), lambda b: b["place"])
+    def tops(ways: Column) -> Column:
+        return F.struct(most(ways, "want", "have").alias("of_want"), most(ways, "have", "want").alias("of_have"))
+
+    return _let(bound, lambda rows: _let(counted(rows), lambda ways: _let(tops(ways), lambda t: strays(rows, t))))
 
 
 def _unlike(bound: Column) -> Column:
@@ -159,20 +182,26 @@ def _unlike(bound: Column) -> Column:
 def benchmark_windows(items: DataFrame) -> DataFrame:
     """item_id, at, h, want, n_item: the windows with LITERALS words or more that are no placeholder, in each reading.
 
-    A word that begins a sentence counts as a word there.
+    A word that begins a sentence counts as a word there. The tokens of an item are read once; all readings have
+    their windows at the same places.
 
     Items with fewer than WINDOW words, or without such a window, have none: see exact_items.
     """
-    def windows_as(reading: str) -> DataFrame:
-        words = slotted(items, "item_id", reading=reading)
-        each = words.select("item_id", "words", "values", F.posexplode(_hashes(F.col("words"))).alias("at", "h"))
-        return each.select("item_id", "at", "h", slots(F.col("words"), F.col("values"), F.col("at")).alias("want"))
+    found = items.select("item_id", tokens(F.col("text")).alias("found"))
+    typed = found.select("item_id", "found", F.struct(*[template(F.col("found"), r).alias(r) for r in READINGS]).alias("as"))
+    places = F.filter(F.sequence(F.lit(0), F.size("found") - 1), lambda i: F.get(F.col("as.none"), i).isNotNull())
+    kept = typed.filter(F.size("found") > 0).select("item_id", "as", "found", places.alias("places"))
+
+    def held(what: Column) -> Column:
+        return F.transform("places", lambda i: F.get(what, i))
 
-    usable = windows_as("sentences").filter(WINDOW - F.size("want") >= LITERALS).select(F.col("item_id").alias("_item"), F.col("at").alias("_at")).distinct()
-    each = functools.reduce(DataFrame.unionByName, map(windows_as, READINGS)).distinct()
-    each = each.join(usable, F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("at") == F.col("_at")), "left_semi")
-    total = each.groupBy("item_id").agg(F.count_distinct("at").alias("n_item"))
-    return each.join(total.withColumnRenamed("item_id", "_item"), F.col("item_id").eqNullSafe(F.col("_item"))).drop("_item")
+    each = kept.select("item_id", F.transform(held(F.col("found")), lambda w: F.lower(w)).alias("values"), held(F.col("as.sentences")).alias("plain"), F.explode(F.array(*[held(F.col(f"as.{r}")) for r in READINGS])).alias("words"))
+    placed = each.select("item_id", "values", "plain", "words", F.posexplode(_hashes(F.col("words"))).alias("at", "h"))
+    literal = F.size(F.filter(F.slice("plain", F.col("at") + 1, WINDOW), lambda w: ~w.isin(NUMBER, UNIT, NAME)))
+    marks = placed.filter(literal >= LITERALS).select("item_id", "at", "h", slots(F.col("words"), F.col("values"), F.col("at")).alias("want"))
+    marks = staged(marks.distinct(), "benchmark_windows")
+    total = marks.groupBy(F.col("item_id").alias("_item")).agg(F.count_distinct("at").alias("n_item"))
+    return marks.join(total, F.col("item_id").eqNullSafe(F.col("_item"))).drop("_item")
 
 
 def exact_items(items: DataFrame, marks: DataFrame) -> DataFrame:
@@ -188,25 +217,27 @@ def leaks(df: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_c
 
     A pair is reported when the document holds ENOUGH distinct windows of the item (all, if it has fewer) whose
     placeholders are consistent along their alignment. `reparameterised`: some value differs. Null and empty texts
-    hold nothing; rows with one id are one document; an empty table on either side gives no row. An item without
-    windows is reported where all its words stand as they are, as one window.
+    hold nothing; rows with one id are one document, and rows without an id are one for each different text; an empty
+    table on either side gives no row. An item without windows is reported where all its words stand as they are, as
+    one window; with fewer than SHORT words only as a whole text or line.
+
+    What several branches read is written once: the items' windows and first words, and where documents meet them.
     """
-    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    own = F.when(F.col(id_col).isNull(), F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
+    docs = df.select(F.struct(F.col(id_col).alias("id"), own.alias("text")).alias("doc_id"), F.col(text_col).alias("text"))
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
-    marks = benchmark_windows(items)
-    exact = exact_items(items, marks)
+    marks = staged(benchmark_windows(items), "benchmark_marks")
+    exact = staged(exact_items(items, marks), "benchmark_exact")
     sizes = tuple(sorted(r["size"] for r in exact.select("size").distinct().collect()))
     wanted = marks.select(F.lit(0).alias("_size"), F.col("h").alias("_h")).unionByName(exact.select(F.col("size").alias("_size"), F.col("h").alias("_h"))).distinct()
+    wanted = staged(wanted, "benchmark_wanted")
     if wanted.count() <= MOST_BROADCAST:
         wanted = F.broadcast(wanted)
-    met = windows(docs, sizes).join(wanted, (F.col("h") == F.col("_h")) & (F.col("size") == F.col("_size"))).select("doc_id", "size", "pos", "h")
-
-    def texts(at: DataFrame) -> DataFrame:
-        per_doc = at.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "h")).alias("met")).withColumnRenamed("doc_id", "_id")
-        return slotted(docs.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id"))), "doc_id", "met")
+    met = staged(windows(docs, sizes).join(wanted, (F.col("h") == F.col("_h")) & (F.col("size") == F.col("_size"))).select("doc_id", "size", "pos", "h"), "benchmark_met")
+    per_doc = met.groupBy("doc_id").agg(F.collect_set(F.struct("size", "pos", "h")).alias("met")).withColumnRenamed("doc_id", "_id")
+    again = docs.join(per_doc, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "met")
 
-    again = texts(met.filter("size = 0"))
-    hits = again.select("doc_id", "words", "values", F.explode("met").alias("m")).select(
+    hits = slotted(again, "doc_id", "met").select("doc_id", "words", "values", F.explode(F.filter("met", lambda m: m["size"] == 0)).alias("m")).select(
         "doc_id", F.col("m")["pos"].alias("pos"), F.col("m")["h"].alias("_h"), F.xxhash64(F.slice("words", F.col("m")["pos"] + 1, WINDOW)).alias("own"), slots(F.col("words"), F.col("values"), F.col("m")["pos"]).alias("have"))
     hits = hits.filter(F.col("own") == F.col("_h"))  # another row of the same id may have been meant
     pairs = hits.join(marks, (F.col("_h") == F.col("h")) & (F.transform("have", lambda x: x["kind"]) == F.transform("want", lambda x: x["kind"])))
@@ -223,9 +254,13 @@ def leaks(df: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_c
     each = lines.select("doc_id", "item_id", "n_item", "changed", "stray", F.explode("ats").alias("at")).filter(~F.exists("stray", lambda p: inside(p, F.col("at"))))
     found = each.groupBy("doc_id", "item_id", "n_item").agg(F.count_distinct("at").alias("n_windows"), F.max("changed").alias("reparameterised"))
     found = found.filter(F.col("n_windows") >= F.least("n_item", F.lit(ENOUGH))).select("doc_id", "item_id", "n_windows", F.col("n_item").alias("item_windows"), "reparameterised")
-    if not sizes:
-        return found
-    starts = texts(met.filter("size > 0")).select("doc_id", "values", F.explode("met").alias("m")).select("doc_id", "values", F.col("m")["pos"].alias("pos"), F.col("m")["h"].alias("_h"))
-    whole = starts.join(exact, (F.col("_h") == F.col("h")) & (F.slice(F.col("values"), F.col("pos") + 1, F.size("exact")) == F.col("exact")))
-    one = F.lit(1).cast("bigint")
-    return found.unionByName(whole.select("doc_id", "item_id", one.alias("n_windows"), one.alias("item_windows"), F.lit(False).alias("reparameterised")).distinct())
+    if sizes:
+        rows = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: _plain(tokens(x)))
+        starts = again.select("doc_id", _plain(tokens(F.col("text"))).alias("values"), rows.alias("rows"), F.explode(F.filter("met", lambda m: m["size"] > 0)).alias("m"))
+        starts = starts.select("doc_id", "values", "rows", F.col("m")["pos"].alias("pos"), F.col("m")["h"].alias("_h"))
+        here = F.slice(F.col("values"), F.col("pos") + 1, F.size("exact")) == F.col("exact")
+        alone = (F.size("exact") >= SHORT) | (F.col("values") == F.col("exact")) | F.exists("rows", lambda r: r == F.col("exact"))
+        whole = starts.join(exact, (F.col("_h") == F.col("h")) & here & alone)
+        one = F.lit(1).cast("bigint")
+        found = found.unionByName(whole.select("doc_id", "item_id", one.alias("n_windows"), one.alias("item_windows"), F.lit(False).alias("reparameterised")).distinct())
+    return found.withColumn("doc_id", F.col("doc_id.id"))
