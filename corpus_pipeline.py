@@ -6,66 +6,80 @@ next stage's documents. All but the last return the columns of `documents`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm import decontam, mixing, ngramjoin, secretscan, toxicity
 from tidemark.llm.ship import ship
 from tidemark.session import staged
 
 
-def _without(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows whose `key` is not in `gone` (a column _gone). Few keys are joined as a copy, many by a shuffle."""
+def _row(docs: DataFrame) -> Column:
+    """A whole row in one column, so that no column of the documents meets one of a stage."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
+def _without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """Rows whose `key` is not in `gone` (a column gone). Few keys are joined as a copy, many by a shuffle."""
     gone = staged(gone.distinct(), "gone")
     if gone.count() <= ngramjoin.MOST_BROADCAST:
         gone = F.broadcast(gone)
-    return docs.join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+    return rows.join(gone, F.col(key).eqNullSafe(F.col("gone")), "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go. The model learns from the labels of the documents at hand."""
     ship(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score(docs, model, keep=tuple(docs.columns), score_col="_score", predicted_col="_toxic")
-    return scored.filter("_toxic = 0").select(*docs.columns)
+    scored = toxicity.score(docs.select(_row(docs), "text"), model, keep=("row",), score_col="score", predicted_col="toxic")
+    return scored.filter("toxic = 0").select("row.*")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of the n-gram Jaccard join connect, the one with the smallest id stays.
 
-    Of rows that share an id, all of one group, the first by text stays. Rows without an id stay.
+    Rows that share id and text are one document, and one of them stays. Different texts of one id are documents of
+    their own; in a group, all but the first text of an id come after every id. Rows without an id stay.
     """
     ship(spark)
-    classes = ngramjoin.near_duplicates(docs)
-    repeated = staged(docs.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("_gone")), "repeated_ids")
-    again = docs.join(repeated, F.col("doc_id") == F.col("_gone"), "left_semi")
-    first = again.withColumn("_at", F.row_number().over(W.partitionBy("doc_id").orderBy("text"))).filter("_at = 1").drop("_at")
-    whole = _without(docs, repeated).unionByName(first)
-    return _without(whole, classes.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_gone")))
+    rows = docs.select(_row(docs), F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    ids = rows.filter("id is not null").groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("id").alias("gone"))
+    ids = staged(ids, "repeated_ids")
+    again = rows.join(ids, F.col("id") == F.col("gone"), "left_semi")
+    again = again.groupBy("id", "text").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    first = again.groupBy(F.col("id").alias("_id")).agg(F.min("text").alias("first"))
+    further = F.lit(2**62) + F.abs(F.xxhash64("id", "text") % 2**61)
+    again = again.join(first, F.col("id") == F.col("_id")).select("row", F.when(F.col("text") == F.col("first"), F.col("id")).otherwise(further).alias("node"), "text")
+    nodes = _without(rows, ids, "id").select("row", F.col("id").alias("node"), "text").unionByName(again)
+    nodes = staged(nodes, "own_ids")
+    classes = ngramjoin.near_duplicates(nodes, id_col="node")
+    return _without(nodes, classes.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("gone")), "node").select("row.*")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item, perhaps with other parameters, go. A row without an id is judged by its own text."""
-    own = F.when(F.col("doc_id").isNull(), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-    keyed = docs.withColumn("_key", F.struct(F.col("doc_id").alias("id"), own.alias("text")))
-    found = decontam.leaks(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_key")
-    return _without(keyed, found.select(F.col("doc_id").alias("_gone")), "_key").drop("_key")
+    """Documents that hold a benchmark item, perhaps with other parameters, go. Each row is judged by its own text."""
+    own = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    keyed = docs.select(_row(docs), F.struct(F.col("doc_id").alias("id"), own.alias("text")).alias("key"), "text")
+    found = decontam.leaks(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="key")
+    return _without(keyed, found.select(F.col("doc_id").alias("gone")), "key").select("row.*")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in texts become a mark; n_chars follows. Every document stays."""
-    found = secretscan.scan(docs).withColumn("text", secretscan.redacted(F.col("text"), F.col("secret_spans")))
-    if "n_chars" in docs.columns:
-        changed = F.size("secret_spans") > 0
-        found = found.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return found.select(*docs.columns)
+    found = secretscan.scan(docs.select(_row(docs), "doc_id", "text"))
+    found = found.select("row", F.size("secret_spans") > 0, secretscan.redacted(F.col("text"), F.col("secret_spans"))).toDF("row", "changed", "text")
+    held = {c: F.col("row")[c] for c in docs.columns}
+    held["text"] = F.col("text")
+    if "n_chars" in held:
+        held["n_chars"] = F.when(F.col("changed"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(held["n_chars"])
+    return found.select(*[held[c].alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words the mix takes of each document: doc_id, source, size, source_size, target, taken.
+    """The mix: the documents taken, with their texts, once for each time they are taken.
 
-    0 is for documents that the mix leaves out, twice the size for those that it repeats.
+    In the order of `word_end`, then `lap`; see mixing.mixed for the columns that come with those of the documents.
     """
-    return mixing.mix(docs)
+    return mixing.mixed(docs)
 
 
 STAGES = [
