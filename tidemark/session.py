@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Folders of staged tables that this driver made.
 _ours: set[str] = set()
+#: Their paths, in the order of writing.
+_written: list[str] = []
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf) -> SparkSession:
@@ -63,7 +65,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         fs.mkdirs(at)
         fs.deleteOnExit(at)
         _ours.add(app)
-    return f"{app}/{label}-{uuid.uuid4().hex}"
+    path = f"{app}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -77,15 +81,33 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Remove the staged tables that `df` reads, once nothing will read them again. Other inputs stay."""
-    spark = df.sparkSession
-    ours = {a for a in _ours if a.endswith("/" + spark.sparkContext.applicationId)}
-    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    for folder in folders:
-        if any(a.split(":", 1)[-1].lstrip("/") + "/" in folder for a in ours):
-            fs, at = _file_system(spark, folder)
-            fs.delete(at, True)
+def discard(*paths_or_frames: DataFrame | str) -> None:
+    """Remove staged tables, or those a frame reads, once nothing will read them again. Other inputs stay."""
+    for x in paths_or_frames:
+        spark = SparkSession.active() if isinstance(x, str) else x.sparkSession
+        for path in [x] if isinstance(x, str) else _read_by(x):
+            if path in _written:
+                fs, at = _file_system(spark, path)
+                fs.delete(at, True)
+                _written.remove(path)
+
+
+def _read_by(df: DataFrame) -> list[str]:
+    """The staged tables that a frame reads; their names are never used twice."""
+    folders = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for f in df.inputFiles()}
+    return [p for p in _written if p.rsplit("/", 1)[-1] in folders]
+
+
+class Scratch:
+    """Staged tables written from here on, for a job that ends with a written result."""
+
+    def __init__(self):
+        self.before = set(_written)
+
+    def clear(self, keep: DataFrame) -> None:
+        """Remove all of them but those that `keep` reads."""
+        kept = {*_read_by(keep), *self.before}
+        discard(*[p for p in _written if p not in kept])
 
 
 def spread(df: DataFrame) -> DataFrame:
