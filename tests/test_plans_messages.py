@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import prices, worklists as wl
-from tidemark.plans.cosmos import core, defi, gov, nft, stats
+from tidemark.plans.cosmos import core, packets, defi, gov, nft, stats
 
 T0 = datetime(2024, 1, 1, 5, 30)
 STAMP = "_inserted_timestamp"
@@ -97,18 +97,45 @@ def test_transfers(attrs):
     assert rows(core.transfers(a), "sender", "receiver", "amount", "currency") == [("alice", "bob", 12, "usei"), ("carol", "dan", 3, "ibc/9")]
 
 
+PACKET_1 = {"packet_sequence": "1", "packet_src_channel": "c0", "packet_dst_channel": "c1"}
+
+
+def _send(tx, seq, group=0):
+    return [(tx, None, None, 0, "tx", {"acc_seq": "a/1"}), (tx, group, 0, 1, "transfer", {"sender": "a", "recipient": "escrow", "amount": "5usei"}), (tx, group, 0, 2, "ibc_transfer", {"sender": "a", "receiver": "far"}),
+            (tx, group, 0, 3, "send_packet", {**PACKET_1, "packet_sequence": seq})]
+
+
 def test_ibc_transfers_need_an_acknowledgement(attrs):
-    def send(tx, seq):
-        return [(tx, None, None, 0, "tx", {"acc_seq": "a/1"}), (tx, 0, 0, 1, "transfer", {"sender": "a", "recipient": "escrow", "amount": "5usei"}), (tx, 0, 0, 2, "ibc_transfer", {"sender": "a", "receiver": "far"}),
-                (tx, 0, 0, 3, "send_packet", {"packet_sequence": seq, "packet_src_channel": "c0", "packet_dst_channel": "c1"})]
-    ack = ("t9", 0, 0, 1, "acknowledge_packet", {"packet_sequence": "1", "packet_src_channel": "c0", "packet_dst_channel": "c1"})
+    ack = ("t9", 0, 0, 1, "acknowledge_packet", PACKET_1)
     came = [("t3", None, None, 0, "signer", {"sei_addr": "relay"}), ("t3", 0, 0, 1, "transfer", {"sender": "esc", "recipient": "me", "amount": "8ibc/Z"}), ("t3", 0, 0, 2, "write_acknowledgement", {"packet_data": json.dumps({"receiver": "me", "sender": "afar"})})]
-    a = attrs(*send("t1", "1"), *send("t2", "2"), ack, *came)
-    out = core.ibc_transfers(a, core.ibc_packets(a))
+    a = attrs(*_send("t1", "1"), *_send("t2", "2"), ack, *came)
+    out = packets.transfers(packets.run(a))
     assert rows(out, "tx_id", "transfer_type", "sender", "receiver", "amount") == [("t1", "IBC_TRANSFER_OUT", "a", "far", 5), ("t3", "IBC_TRANSFER_IN", "afar", "me", 8)]
     assert core.fact_transfers(core.transfers(a), out).count() == 5
 
 
+def test_packets_end_in_any_run_and_any_order(attrs):
+    """Every split of the events into two runs, either half first, gives what one run gives."""
+    acks = [("t6", 0, 0, 1, "acknowledge_packet", PACKET_1), ("t7", 0, 0, 1, "timeout_packet", PACKET_1), ("t7", 0, 0, 2, "acknowledge_packet", {**PACKET_1, "packet_sequence": "2"}),
+            ("t5", 0, 0, 1, "timeout_packet", {**PACKET_1, "packet_sequence": "2"}), ("t8", 0, 0, 1, "acknowledge_packet", {**PACKET_1, "packet_sequence": "3"}), ("t8", 0, 0, 2, "acknowledge_packet", {**PACKET_1, "packet_src_channel": "c9"})]
+    parts = [*([r] for r in acks), _send("t1", "1"), _send("t2", "2"), _send("t3", "3"), _send("t4", "4"), [("t4", 1, 0, 4, "send_packet", PACKET_1), ("t4", 1, 0, 5, "transfer", {"sender": "a", "recipient": "x", "amount": "1usei"})]]
+    got = lambda run: rows(packets.transfers(run), "tx_id", "msg_index", "transfer_type", "receiver")
+    flat = lambda ps: attrs(*[r for p in ps for r in p])
+    whole = packets.run(flat(parts))
+    assert got(whole) == [("t2", 1, "IBC_TRANSFER_OUT", "far"), ("t3", 1, "IBC_TRANSFER_OUT", "far")]
+    for cut in (1, 5, 7, 9):
+        for first, second in ((parts[:cut], parts[cut:]), (parts[cut:], parts[:cut]), (parts, parts[cut:])):
+            assert got(packets.run(flat(second), packets.run(flat(first)))) == got(whole), cut
+
+
+def test_a_later_timeout_takes_a_transfer_back(attrs):
+    one = packets.run(attrs(*_send("t1", "1"), *_send("t2", "2"), ("t3", 0, 0, 1, "acknowledge_packet", PACKET_1), ("t3", 0, 0, 2, "acknowledge_packet", {**PACKET_1, "packet_sequence": "2"})))
+    assert rows(packets.transfers(one), "tx_id") == [("t1",), ("t2",)]
+    two = packets.run(attrs(("t9", 0, 0, 1, "timeout_packet", PACKET_1)), one)
+    assert rows(packets.transfers(two), "tx_id") == [("t2",)]
+    assert rows(packets.transfers(packets.run(attrs(("t9", 0, 0, 1, "timeout_packet", PACKET_1)), two)), "tx_id") == [("t2",)]
+
+
 def test_addresses(attrs, spark):
     a = attrs(("t1", 0, 0, 1, "address_associated", {"sei_addr": "n1", "evm_addr": "0xAB"}), ("t2", 0, 0, 5, "address_associated", {"sei_addr": "n1", "evm_addr": "0xCD"}))
     on = core.address_mapping_onchain(a)

@@ -221,33 +221,6 @@ def transfers(attrs: DataFrame) -> DataFrame:
     return keyed(out, "transfers_id", "tx_id", "msg_index")
 
 
-def ibc_packets(attrs: DataFrame) -> DataFrame:
-    names = ["packet_sequence", "packet_src_channel", "packet_dst_channel"]
-    rel = of_type(attrs, "send_packet", "acknowledge_packet", "timeout_packet").filter(F.col("attribute_key").isin(*names))
-    return keyed(objects(rel, [*EVENT, "msg_type"], names), "transfers_ibc_packets_id", "tx_id", "msg_index")
-
-
-def ibc_transfers(attrs: DataFrame, packets: DataFrame) -> DataFrame:
-    """Transfers that left with an acknowledged packet or came in with a packet."""
-    packet = ["packet_sequence", "packet_src_channel", "packet_dst_channel"]
-    acked = packets.filter("msg_type = 'acknowledge_packet'").select(*packet).distinct()
-    sends = packets.filter("msg_type = 'send_packet'").join(acked, packet, "left_semi").select("tx_id", "msg_group").distinct()
-    rel = of_type(attrs, "tx", "signer", "transfer", "ibc_transfer", "write_acknowledgement")
-    moves = objects(of_type(rel, "transfer"), EVENT, {"sender": "_from", "recipient": "_to", "amount": "_raw"})
-    out = objects(of_type(rel, "ibc_transfer").join(sends, ["tx_id", "msg_group"], "left_semi"), [*GROUP, "msg_index"], {"sender": "_from", "receiver": "ibc_out_receiver"})
-    out = out.select("tx_id", "msg_group", "_from", "ibc_out_receiver", F.lit(True).alias("_is_out"))
-    packet_json = F.try_parse_json("attribute_value")
-    came = of_type(rel, "write_acknowledgement").filter(has(None, "packet_data")).select(
-        *GROUP, F.try_variant_get(packet_json, "$.receiver", "string").alias("_to"), F.try_variant_get(packet_json, "$.sender", "string").alias("ibc_in_sender"), F.lit(True).alias("_is_in"))
-    joined = moves.join(out, ["tx_id", "msg_group", "_from"], "left").join(came, [*GROUP, "_to"], "left")
-    hit = joined.filter(F.col("_is_out") | F.col("_is_in")).join(tx_sender(rel, "_signer"), "tx_id").filter(F.col("_raw").isNotNull())
-    kind = F.when(F.col("ibc_out_receiver").isNotNull(), F.lit("IBC_TRANSFER_OUT")).when(F.col("ibc_in_sender").isNotNull(), F.lit("IBC_TRANSFER_IN"))
-    rows = hit.select(
-        *BLOCK, kind.alias("transfer_type"), "msg_index", F.coalesce("ibc_in_sender", "_from", "_signer").alias("sender"),
-        F.coalesce("ibc_out_receiver", "_to").alias("receiver"), coin_amount("_raw").alias("amount"), coin_denom("_raw").alias("currency"), STAMP)
-    return keyed(rows, "transfers_ibc_id", "tx_id", "msg_index", "transfer_type")
-
-
 # --- oracle votes ---------------------------------------------------------------------------------
 
 
