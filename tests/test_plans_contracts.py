@@ -173,6 +173,34 @@ def test_abi_precedence(spark):
     assert rows(best, "contract_address", "abi_source", "bytecode") == [("0x1", "etherscan", "code"), ("0x3", "bytecode_matched", "code")]
 
 
+def nested(depth):
+    """A parameter list whose first tuple nests `depth` deep, with an array suffix here and there."""
+    part = {"type": "uint8", "name": "x"}
+    text = "uint8"
+    for k in range(depth):
+        suffix = "[]" if k % 3 == 0 else "[2]" if k % 5 == 0 else ""
+        part = {"type": "tuple" + suffix, "name": "t", "components": [part, {"type": "address", "name": "a"}]}
+        text = f"({text},address){suffix}"
+    return json.dumps([part, {"type": "bytes", "name": "b"}]), f"{text},bytes"
+
+
+def test_tuples_of_any_depth(spark):
+    cases = [nested(d) for d in (0, 1, 2, 7, 20)] + [("[]", ""), (json.dumps([{"type": "tuple", "components": []}, {"type": "tuple[]", "components": [{"type": "bool"}]}]), "(),(bool)[]"), ("not json", "")]
+    df = spark.createDataFrame([(f"f{i}", inputs) for i, (inputs, _) in enumerate(cases * 2)] + [("none", None)], "name string, inputs string")
+    got = {r.name: r.s for r in abis.with_signature(df, "s").collect()}
+    assert got == {**{f"f{i}": f"f{i}({text})" for i, (_, text) in enumerate(cases * 2)}, "none": "none()"}
+
+
+def test_submissions_are_counted_by_signature(spark, calls, logs):
+    abi = json.dumps([{"type": "event", "name": n, "inputs": [{"type": "uint256", "name": "x"}]} for n in ("A", "B", "C")] + [{"type": "function", "name": "f", "inputs": [], "outputs": []}])
+    words = spark.createDataFrame([("A(uint256)", "0xa"), ("B(uint256)", "0xb"), ("C(uint256)", "0xc"), ("f()", "0x12345678aa")], "signature string, topic string")
+    sent = spark.createDataFrame([(c, abi) for c in ("0xme", "0ximpl", "0xidle")], f"contract_address string, data string").withColumn(STAMP, F.lit(T0))
+    px = spark.createDataFrame([("0xp1", "0ximpl"), ("0xp2", "0ximpl"), ("0xme", "0xother")], "contract_address string, proxy_address string")
+    seen = logs(("t", 0, "0xme", ["0xa"], "0x"), ("t", 1, "0xme", ["0xa"], "0x"), ("t", 2, "0xp1", ["0xb"], "0x"), ("t", 3, "0xp2", ["0xc"], "0x"), ("t", 4, "0ximpl", ["0xa"], "0x"), ("t", 5, "0xidle", ["0xz"], "0x"))
+    called = calls(dict(type="DELEGATECALL", from_address="0xp2", to_address="0ximpl", input="0x12345678ffff"), dict(to_address="0xidle", input="0x12"), dict(to_address="0xp1", input="0xffffffff"))
+    assert rows(abis.submission_matches(sent, words, px, called, seen), "contract_address", "n_signatures", "n_seen") == [("0xidle", 4, 0), ("0ximpl", 4, 3), ("0xme", 4, 1)]
+
+
 def test_intervals_and_user_abis(spark, calls, logs):
     created = spark.createDataFrame([("0xp", "c", 5), ("0xi1", "c", 1), ("0xi2", "c", 2)], "created_contract_address string, created_contract_input string, block_number long")
     delegate = dict(type="DELEGATECALL", from_address="0xp")

@@ -14,34 +14,53 @@ from ...functions.common import newest
 from ...operators.rows import flatten
 from ...operators.sets import union_all
 from ...operators.windows import OPEN_END, dedup_latest, dedup_priority, lead_interval
+from ...session import staged
 from ..audit import keyed
 
 STAMP = "_inserted_timestamp"
-# tuples may nest this deep; a deeper one is an error, not a shorter signature
-NESTING = 6
 EARLY = "2000-01-01 00:00:00"
 ABI = ["contract_address", "data", STAMP, "abi_source", "discord_username", "abi_hash"]
 
 
-def _input_schema(depth: int) -> str:
-    inner = f",components:array<{_input_schema(depth - 1)}>" if depth else ""
-    return f"struct<name:string,type:string{inner}>"
+def type_texts(inputs: DataFrame) -> DataFrame:
+    """inputs → inputs, types: the canonical type of each parameter, a row for each different text.
 
-
-def _type_text(p: Column, depth: int) -> Column:
-    """Canonical type of a parameter; a tuple is spelled out by its components, keeping an array suffix."""
-    t = p["type"]
-    if not depth:
-        return F.when(~t.startswith("tuple"), t).otherwise(F.raise_error(F.lit(f"tuple nested deeper than {NESTING} levels")).cast("string"))
-    parts = F.transform(p["components"], lambda c: _type_text(c, depth - 1))
-    spelled = F.concat(F.lit("("), F.array_join(parts, ","), F.lit(")"), F.regexp_replace(t, "^tuple", ""))
-    return F.when(t.startswith("tuple"), spelled).otherwise(t)
-
-
-def text_signature(name: Column, inputs: Column) -> Column:
-    """name(type,type,…)"""
-    typed = F.transform(F.from_json(inputs, f"array<{_input_schema(NESTING)}>"), lambda p: _type_text(p, NESTING))
-    return F.concat(name, F.lit("("), F.array_join(typed, ","), F.lit(")"))
+    A tuple is spelled out by its components, keeping an array suffix. Levels are opened one after the other, each
+    from the tuples of the one above, and folded from the deepest up, so tuples nest as deep as they like; below the
+    first level there is next to nothing to do.
+    """
+    def opened(rows: DataFrame, items: str, path: Column) -> DataFrame:
+        each = flatten(rows, items, "_i", "_p")
+        get = lambda p, t: F.try_variant_get("_p", p, t)
+        return each.select("inputs", F.concat(path, F.array(F.col("_i").cast("int"))).alias("path"), get("$.type", "string").alias("type"), get("$.components", "array<variant>").alias("components"))
+
+    texts = inputs.select("inputs").filter(F.col("inputs").isNotNull()).distinct()
+    top = texts.withColumn("_l", F.try_variant_get(F.try_parse_json("inputs"), "$", "array<variant>"))
+    levels = [opened(top, "_l", F.array().cast("array<int>"))]
+    while not (tuples := levels[-1].filter(F.col("type").startswith("tuple"))).isEmpty():
+        levels.append(staged(opened(tuples, "components", F.col("path")), "tuple_components"))
+    typed = levels.pop().drop("components")
+    while levels:
+        parts = _joined(typed, F.slice("path", 1, F.size("path") - 1), "_path").withColumn("_parts", F.array_join("types", ",")).drop("types")
+        above = levels.pop()
+        spelled = F.concat(F.lit("("), F.coalesce("_parts", F.lit("")), F.lit(")"), F.regexp_replace("type", "^tuple", ""))
+        above = above.join(parts.withColumnRenamed("inputs", "_inputs"), (F.col("inputs") == F.col("_inputs")) & (F.col("path") == F.col("_path")), "left")
+        typed = above.select("inputs", "path", F.when(F.col("type").startswith("tuple"), spelled).otherwise(F.col("type")).alias("type"))
+    return _joined(typed, F.lit(0), "_top").select("inputs", "types")
+
+
+def _joined(rows: DataFrame, parent: Column, name: str) -> DataFrame:
+    """The types below each parent, in order. A parameter without a type adds nothing."""
+    grouped = rows.groupBy("inputs", parent.alias(name)).agg(F.array_sort(F.collect_list(F.struct("path", "type"))).alias("_t"))
+    return grouped.select("inputs", name, F.array_compact(F.transform("_t", lambda x: x["type"])).alias("types"))
+
+
+def with_signature(rows: DataFrame, name: str) -> DataFrame:
+    """Rows (name, inputs) with a column: name(type,type,…)."""
+    rows = staged(rows, "interface_items")
+    texts = type_texts(rows).withColumnRenamed("inputs", "_inputs")
+    out = rows.join(texts, F.col("inputs") == F.col("_inputs"), "left")
+    return out.withColumn(name, F.concat("name", F.lit("("), F.coalesce(F.array_join("types", ","), F.lit("")), F.lit(")"))).drop("_inputs", "types")
 
 
 def input_types(inputs: Column) -> Column:
@@ -68,7 +87,7 @@ def flat_event_abis(abis: DataFrame, topics: DataFrame) -> DataFrame:
     once = dedup_latest(events, ["contract_address", "name", "inputs"], [newest(STAMP)])
     rows = once.withColumn("event_type", input_types(F.col("inputs"))).filter(F.size("event_type") > 0)
     abi = F.to_json(F.struct("anonymous", F.try_parse_json("inputs").alias("inputs"), "name", F.lit("event").alias("type")))
-    rows = rows.withColumn("simple_event_name", text_signature(F.col("name"), F.col("inputs"))).withColumn("abi", abi)
+    rows = with_signature(rows, "simple_event_name").withColumn("abi", abi)
     dictionary = topics.select(F.col("signature").alias("simple_event_name"), F.col("topic").alias("event_signature"))
     out = rows.join(dictionary, "simple_event_name", "left")
     return out.select("contract_address", F.col("name").alias("event_name"), "abi", "simple_event_name", "event_signature", "name", "inputs", "event_type", STAMP)
@@ -77,7 +96,7 @@ def flat_event_abis(abis: DataFrame, topics: DataFrame) -> DataFrame:
 def flat_function_abis(abis: DataFrame, topics: DataFrame) -> DataFrame:
     """One row per function with its text signature and hash, newest per (contract, hash); unnamed
     parameters are called input_<n> and output_<n>."""
-    rows = _items(abis, "function", "outputs").withColumn("simple_function_name", text_signature(F.col("name"), F.col("inputs")))
+    rows = with_signature(_items(abis, "function", "outputs"), "simple_function_name")
     dictionary = topics.select(F.col("signature").alias("simple_function_name"), F.col("topic").alias("function_signature"))
     rows = rows.join(dictionary, "simple_function_name", "left").withColumn("_key", F.coalesce("function_signature", "simple_function_name"))
     best = dedup_latest(rows, ["contract_address", "_key"], [newest(STAMP), newest("outputs")])
@@ -185,34 +204,44 @@ def complete_event_abis(flat: DataFrame, proxy_rows: DataFrame) -> DataFrame:
 # --- user interfaces ------------------------------------------------------------------------------
 
 
-def user_verified_abis(submitted: DataFrame, topics: DataFrame, proxy_rows: DataFrame, trace_facts: DataFrame, logs: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    """Submitted interfaces accepted only if some event or call of the contract matches them.
+def submission_matches(submitted: DataFrame, topics: DataFrame, proxy_rows: DataFrame, trace_facts: DataFrame, logs: DataFrame) -> DataFrame:
+    """contract_address, n_signatures, n_seen: how much of a submitted interface occurs on chain.
+
+    Two families of sets meet: the signatures of each submission, and the topics and selectors seen at each address.
+    Their index is inverted: every (address, signature) that some submission asks for, with the submissions behind
+    it. Logs and calls pass by it once and keep what it holds, so nothing is built from all that was ever seen, and
+    no submission is held against an address as a whole.
 
-    An interface of an implementation is tested against the contracts that delegate to it. The tests are
-    semi joins on (contract, signature); the published job samples matches, which changes nothing as only
-    their existence counts.
+    An address that delegates, or that no proxy names, is asked itself; an implementation at its proxies.
     """
-    base = submitted.filter(~F.coalesce("duplicate_abi", F.lit(False))).withColumn("data", F.to_json(F.try_parse_json("abi"))).withColumn("abi_hash", F.sha2("data", 256))
-    if stored is not None:
-        base = base.join(stored.select("contract_address"), "contract_address", "left_anti")
-    address = base.select("contract_address").distinct()
-    is_proxy_user = proxy_rows.select("contract_address").distinct()
-    # an address that delegates, or that no proxy names, is tested itself; an implementation at its parents
+    address = submitted.select("contract_address").distinct()
     named = address.join(proxy_rows.select(F.col("proxy_address").alias("contract_address"), F.col("contract_address").alias("_parent")).distinct(), "contract_address", "left")
-    named = named.join(is_proxy_user.withColumn("_delegates", F.lit(True)), "contract_address", "left")
-    tested = F.when(F.col("_delegates") | F.col("_parent").isNull(), F.col("contract_address")).otherwise(F.col("_parent"))
-    tested_at = named.select(F.col("contract_address").alias("base_address"), tested.alias("contract_address")).distinct()
+    named = named.join(proxy_rows.select("contract_address").distinct().withColumn("_delegates", F.lit(True)), "contract_address", "left")
+    asked = F.when(F.col("_delegates") | F.col("_parent").isNull(), F.col("contract_address")).otherwise(F.col("_parent"))
+    asked_at = named.select("contract_address", asked.alias("address")).distinct()
+    events = flat_event_abis(submitted, topics).select("contract_address", F.lit("log").alias("kind"), F.col("event_signature").alias("signature"))
+    functions = flat_function_abis(submitted, topics).select("contract_address", F.lit("call").alias("kind"), F.left("function_signature", F.lit(10)).alias("signature"))
+    wanted = staged(events.unionByName(functions).filter(F.col("signature").isNotNull()).distinct(), "submitted_signatures")
+    index = staged(wanted.join(asked_at, "contract_address"), "signature_index")
+    keys = index.select("address", "kind", "signature").distinct()
+    target = F.when(F.col("type") == "DELEGATECALL", F.col("from_address")).otherwise(F.col("to_address"))
+    calls = trace_facts.select(target.alias("address"), F.lit("call").alias("kind"), F.left("input", F.lit(10)).alias("signature"))
+    seen = logs.select(F.col("contract_address").alias("address"), F.lit("log").alias("kind"), F.col("topic_0").alias("signature")).unionByName(calls)
+    met = seen.join(keys, ["address", "kind", "signature"]).distinct()
+    found = index.join(met, ["address", "kind", "signature"]).select("contract_address", "kind", "signature").distinct().groupBy("contract_address").agg(F.count("*").alias("n_seen"))
+    total = wanted.groupBy("contract_address").agg(F.count("*").alias("n_signatures"))
+    return total.join(found, "contract_address", "left").select("contract_address", "n_signatures", F.coalesce("n_seen", F.lit(0)).alias("n_seen"))
 
-    events = flat_event_abis(base, topics).select(F.col("contract_address").alias("base_address"), "event_signature").filter(F.col("event_signature").isNotNull())
-    seen_events = logs.select("contract_address", F.col("topic_0").alias("event_signature")).distinct()
-    by_event = events.join(tested_at, "base_address").join(seen_events, ["contract_address", "event_signature"], "left_semi").select("base_address")
 
-    functions = flat_function_abis(base, topics).select(F.col("contract_address").alias("base_address"), F.left("function_signature", F.lit(10)).alias("sig")).filter(F.col("sig").isNotNull())
-    target = F.when(F.col("type") == "DELEGATECALL", F.col("from_address")).otherwise(F.col("to_address"))
-    seen_calls = trace_facts.select(target.alias("contract_address"), F.left("input", F.lit(10)).alias("sig")).distinct()
-    by_call = functions.join(tested_at, "base_address").join(seen_calls, ["contract_address", "sig"], "left_semi").select("base_address")
+def user_verified_abis(submitted: DataFrame, topics: DataFrame, proxy_rows: DataFrame, trace_facts: DataFrame, logs: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Submitted interfaces of contracts of which some event or call matches one, newest per contract.
 
-    valid = reduce(DataFrame.unionByName, [by_event, by_call]).distinct().withColumnRenamed("base_address", "contract_address")
-    rows = base.join(valid, "contract_address", "left_semi")
+    The published job samples matches, which changes nothing as only their existence counts.
+    """
+    base = submitted.filter(~F.coalesce("duplicate_abi", F.lit(False))).withColumn("data", F.to_json(F.try_parse_json("abi"))).withColumn("abi_hash", F.sha2("data", 256))
+    if stored is not None:
+        base = base.join(stored.select("contract_address"), "contract_address", "left_anti")
+    matches = submission_matches(base, topics, proxy_rows, trace_facts, logs)
+    rows = base.join(matches.filter("n_seen > 0"), "contract_address")
     best = dedup_latest(rows, ["contract_address"], [newest(STAMP), "abi_hash"])
-    return best.select("contract_address", "abi", "discord_username", STAMP, "abi_hash", F.concat("contract_address", F.lit("-"), "abi_hash").alias("id"))
+    return best.select("contract_address", "abi", "discord_username", STAMP, "abi_hash", F.concat("contract_address", F.lit("-"), "abi_hash").alias("id"), "n_signatures", "n_seen")

@@ -96,7 +96,8 @@ def event_signature(t):
     part = F.struct(F.col("l_linenumber").alias("n"), F.col("l_suppkey").alias("s"), F.struct(typ.alias("type"), F.when(back, pair).alias("components")).alias("i"))
     events = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(part)).alias("parts"))
     inputs = F.to_json(F.transform("parts", lambda p: p["i"]))
-    return events.select("l_orderkey", abis.text_signature(F.concat(F.lit("Order"), F.col("l_orderkey")), inputs).alias("signature"))
+    named = events.select("l_orderkey", F.concat(F.lit("Order"), F.col("l_orderkey")).alias("name"), inputs.alias("inputs"))
+    return abis.with_signature(named, "signature").select("l_orderkey", "signature")
 
 
 @query("op_flatten_decoded", """with a as (select tx_id, case when msg_type = 'view' then 'anonymous_' || msg_index else msg_type end as name, max(attribute_value) as v from v_attrs group by 1, 2)
