@@ -331,3 +331,23 @@ def test_two_levels_of_carry(spark):
     assert tuples(numbered, "id", "n") == [(x, k + 1) for k, x in enumerate(ids)]
     plan = gaps._jdf.queryExecution().executedPlan().toString()
     assert plan.count("lag(") == 1
+
+
+def test_stabbing_is_brute_force(spark):
+    import random
+
+    rnd = random.Random(4)
+    ranges = [(k, rnd.choice([rnd.randrange(-600, 600), rnd.randrange(-10**12, 10**12)]), rnd.choice([0, 1, 2, 7, 8, 9, 63, 64, 65, rnd.randrange(2000), 10**rnd.randrange(6, 12)])) for k in ("a", "b") for _ in range(120)]
+    ranges += [("a", 5, None), ("b", None, 4), ("a", 5, -3), ("c", 0, 100_000), ("a", -8, 16), ("a", -8, 16)]
+    xs = {x for _, lo, n in ranges if lo is not None and n for x in (lo - 1, lo, lo + n - 1, lo + n, lo + n // 2)} | set(range(-70, 70))
+    points = [(k, x) for k in ("a", "b", "c") for x in xs] + [("a", None), (None, 3), ("a", 3)]
+    got = joins.stabbing(spark.createDataFrame(points, "k string, x long"), spark.createDataFrame([(i, *r) for i, r in enumerate(ranges)], "i long, k string, lo long, n long"), ["k"], "x", "lo", "n")
+    want = sorted((k, x, i) for k, x in points for i, (rk, lo, n) in enumerate(ranges) if k == rk and x is not None and lo is not None and n and lo <= x < lo + n)
+    assert sorted((r.k, r.x, r.i) for r in got.collect()) == want
+    assert joins.stabbing(spark.createDataFrame(points, "k string, x long"), spark.createDataFrame([], "i long, k string, lo long, n long"), ["k"], "x", "lo", "n").count() == 0
+
+
+def test_long_ranges_become_few_blocks(spark):
+    df = spark.createDataFrame([(3, 100_000), (1, 10**15)], "lo long, n long")
+    sizes = [r[0] for r in df.select(F.size(joins._blocks(F.col("lo"), F.col("n")))).collect()]
+    assert max(sizes) <= 14 * 18 and sizes[0] <= 14 * 6

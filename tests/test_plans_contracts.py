@@ -300,6 +300,10 @@ def test_messenger(spark, logs):
     assert rows(riders, "oft_sent_index", "bus_rode_index", "ticket_id", "amount_sent", "asset_name", "dst_receiver_address") == [(11, 9, 42, 600, "USDC", addr(0xEE)), (5, 3, 41, 500, "USDC", addr(0xEE))]
     driven = bridge.buses_driven(ev, riders, packets)
     assert rows(driven, "tx_hash", "ticket_id", "amount_sent") == [("t3", 41, 500), ("t3", 42, 600)]
+    crowd = spark.createDataFrame([(20, 41 + 7 * k, "0xad", 1, "USDC", "0xusdc", "0xf", "0xe", 1) for k in range(2000)] + [(20, 100_041, "0xad", 1, "USDC", "0xusdc", "0xf", "0xe", 1), (21, 50, "0xad", 1, "USDC", "0xusdc", "0xf", "0xe", 1)],
+                                  "dst_id long, ticket_id long, stargate_adapter_address string, asset_id long, asset_name string, asset_address string, from_address string, dst_receiver_address string, amount_sent int")
+    big = bridge.buses_driven(logs(("t3", 2, B.MESSENGERS[0][0], [B.BUS_DRIVEN], "0x" + w(20) + w(41) + w(100_000) + "c" * 64)), crowd, packets)
+    assert big.count() == 2000 and "sequence(start_ticket_id" not in big._jdf.queryExecution().optimizedPlan().toString()
     both = bridge.messenger_sends(driven, direct, asset)
     assert rows(both, "_log_id", "token_address", "token_symbol", "destination_chain") == [("t1-5", "0xusdc", "USDC", "far"), ("t3-2-41", "0xusdc", "USDC", "far"), ("t3-2-42", "0xusdc", "USDC", "far")]
     broken = both.withColumn("token_address", F.lit(None).cast("string"))

@@ -47,6 +47,52 @@ def in_interval(facts: DataFrame, intervals: DataFrame, keys: dict[str, str], x:
     return rows.join(cut, on & (F.col("_xb") == F.col("_b")) & F.col(x).between(F.col(lo), F.col(hi))).drop("_b", "_xb")
 
 
+#: Blocks of one level that make a block of the next, as a power of two.
+FAN = 3
+
+
+def _blocks(lo: Column, count: Column) -> Column:
+    """(level, block) pairs that cover lo … lo+count-1 exactly, at most 2 * (2**FAN - 1) a level.
+
+    A block of level k holds 2**(FAN * k) numbers. Of each level a range takes what is left over on both sides of the
+    whole blocks of the next.
+    """
+    end = lo + count
+
+    def level(k: Column) -> Column:
+        up = lambda x, k: -F.call_function("shiftright", -x, (k * FAN).cast("int"))
+        down = lambda x, k: F.call_function("shiftright", x, (k * FAN).cast("int"))
+        first, last = up(lo, k), down(end, k)
+        inner = F.least(up(lo, k + 1) * 2**FAN, last)
+        outer = F.greatest(down(end, k + 1) * 2**FAN, inner)
+
+        def numbers(a: Column, b: Column) -> Column:
+            each = F.transform(F.sequence(a, F.greatest(a, b - 1)), lambda n: F.struct(k.cast("int").alias("level"), n.alias("block")))
+            return F.when(a < b, each).otherwise(F.array().cast("array<struct<level:int,block:bigint>>"))
+
+        return F.when(first < last, F.concat(numbers(first, inner), numbers(outer, last))).otherwise(F.array().cast("array<struct<level:int,block:bigint>>"))
+
+    levels = F.sequence(F.lit(0), F.floor(F.log2(F.greatest(count, F.lit(1)).cast("double")) / FAN).cast("int") + 1)
+    return F.flatten(F.transform(levels, level))
+
+
+def stabbing(points: DataFrame, ranges: DataFrame, keys: list[str], x: str, lo: str, count: str) -> DataFrame:
+    """Points whose whole number x lies in lo … lo+count-1 of the same keys, once for each such range.
+
+    A range becomes the few aligned blocks that cover it, some ten a level however long it is, and a point the one
+    block of each level in use that holds it: an equi join, exact without a check, for ranges of any length that may
+    overlap. Ranges without a length, and nulls, hold nothing.
+    """
+    some = ranges.filter((F.col(count) > 0) & F.col(lo).isNotNull())
+    cut = some.withColumn("_b", F.explode(_blocks(F.col(lo).cast("bigint"), F.col(count).cast("bigint")))).withColumns({"_level": F.col("_b.level"), "_block": F.col("_b.block")}).drop("_b")
+    used = sorted(r[0] for r in cut.select("_level").distinct().collect())  # 21 levels reach every bigint
+    if not used:
+        used = [0]
+    each = points.withColumn("_level", F.explode(F.array(*[F.lit(k) for k in used])))
+    each = each.withColumn("_block", F.call_function("shiftright", F.col(x).cast("bigint"), F.col("_level") * FAN))
+    return each.join(cut, [*keys, "_level", "_block"]).drop("_level", "_block")
+
+
 def nearest_preceding(events: DataFrame, part: list[str], order: list[str], is_mark: Column, is_probe: Column, cols: list[str], prefix: str = "prev_", chunk: Column | None = None) -> DataFrame:
     """Each probe row with the columns of the nearest mark before it; probes without one are dropped.
 
