@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import worklists as wl
-from tidemark.plans.evm import abis, bridge, bridge_values as B, core, dex, dex_values as D, scores, scores_values as S, values as V
+from tidemark.plans.evm import abis, bridge, bridge_values as B, core, dex, dex_values as D, replaced, scores, scores_values as S, values as V
 
 T0 = datetime(2024, 1, 1, 5)
 STAMP = "_inserted_timestamp"
@@ -218,6 +218,37 @@ def test_intervals_and_user_abis(spark, calls, logs):
     assert rows(wl.logs_to_decode(busy, out, done, width=7), "_log_id") == [("t-0",)]
 
 
+def test_replaced_blocks_rewrite_their_ranges_only(spark, tmp_path):
+    """After a replacement every table is that of a full rebuild; other ranges keep their files."""
+    import glob
+    import os
+
+    def table(blocks):
+        return spark.createDataFrame([(b, f"{h}-{i}") for b, h, n in blocks for i in range(n)], "block_number long, id string")
+
+    before = [(b, f"h{b}", 3) for b in range(0, 60)] + [(75, "h75", 2), (95, "h95", 1)]
+    after = [(b, f"h{b}", 3) if b not in (12, 17, 41, 75) else (b, f"new{b}", {12: 5, 17: 0, 41: 1, 75: 0}[b]) for b, _, _ in before[:-1]] + [(95, "h95", 1)]
+    heads = lambda blocks: spark.createDataFrame([(b, h) for b, h, _ in blocks], "block_number long, block_hash string")
+    paths = {n: f"{tmp_path}/{n}" for n in ("logs", "blocks")}
+    replaced.store(table(before), paths["logs"], 10)
+    replaced.store(heads(before), paths["blocks"], 10)
+    files = lambda: {p: os.path.getmtime(p) for p in glob.glob(f"{tmp_path}/*/*/*.parquet")}
+    old = files()
+    told = heads(after).unionByName(heads([(999, "x", 0)]))
+    changed = replaced.replaced_blocks(replaced.stored(spark, paths["blocks"]), told)
+    assert rows(changed, "block_number") == [(12,), (17,), (41,), (75,)]
+    replaced.replace(spark, paths, changed, {"logs": table(after), "blocks": heads(after)}, 10)
+    assert rows(replaced.stored(spark, paths["logs"]), "block_number", "id") == rows(table(after), "block_number", "id")
+    assert rows(replaced.stored(spark, paths["blocks"]), "block_number", "block_hash") == rows(heads(after), "block_number", "block_hash")
+    kept = {p for p, at in files().items() if old.get(p) == at}
+    assert {p.split("block_range=")[1].split("/")[0] for p in kept if "/logs/" in p} == {"0", "2", "3", "5", "9"}
+    assert not os.path.exists(f"{paths['logs']}/block_range=7")
+    assert replaced.replaced_blocks(replaced.stored(spark, paths["blocks"]), told).count() == 0
+    again = files()
+    replaced.replace(spark, paths, replaced.replaced_blocks(replaced.stored(spark, paths["blocks"]), told), {"logs": table(after), "blocks": heads(after)}, 10)
+    assert files() == again
+
+
 # --- exchanges ------------------------------------------------------------------------------------
 
 

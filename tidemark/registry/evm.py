@@ -12,10 +12,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-
+from ..operators.sets import union_all
 from ..plans import worklists as wl
-from ..plans.evm import core, values as V
-from .base import VIEWS, day_no, query
+from ..plans.evm import core, replaced, values as V
+from ..session import scratch_path, staged
+from .base import VIEWS, Tables, day_no, query
 
 NOW = datetime(2002, 1, 1)
 
@@ -179,6 +180,35 @@ def q_heal_transactions(t):
     return core.heal_transactions(early_transactions(t), blocks(t), receipts(t)).select("tx_hash", "block_timestamp", "tx_succeeded")
 
 
+def _with_lines(t, rows: DataFrame) -> Tables:
+    """The same folder, its chain made of other line items."""
+    other = Tables(t.spark, t.folder)
+    other._tables["lines"] = rows
+    return other
+
+
+def _old_lines(t) -> DataFrame:
+    """Every tenth block as it was stored at first: some transactions missing, some that the chain dropped later."""
+    rows = lines(t)
+    late = F.col("block_number") % 10 == 0
+    dropped = rows.filter(late & (F.col("disc") == 4)).withColumn("tx_hash", F.concat(F.lit("0x"), F.sha2(F.concat(F.lit("old"), "tx_hash"), 256)))
+    return rows.filter(~late | (F.col("disc") != 3)).unionByName(dropped)
+
+
+def replaced_tables(t) -> dict[str, DataFrame]:
+    old = _with_lines(t, staged(_old_lines(t), "old_lines"))
+    first = F.when(F.col("block_number") % 10 == 0, F.concat(F.lit("0xold"), F.col("block_number"))).otherwise(F.col("block_hash"))
+    tables = {"transactions": transactions(old), "logs": logs(old), "traces": traces(old), "blocks": blocks(old).withColumn("block_hash", first)}
+    paths = {name: scratch_path(t.spark, f"stored_{name}") for name in tables}
+    for name, df in tables.items():
+        replaced.store(df, paths[name], 100)
+    now = t.table("raw_blocks", lambda: raw_blocks(t)).select("block_number", F.get_json_object("data", "$.result.hash").alias("block_hash"))
+    changed = staged(replaced.replaced_blocks(replaced.stored(t.spark, paths["blocks"]), now), "replaced")
+    new = _with_lines(t, staged(lines(t).join(changed, "block_number", "left_semi"), "new_lines"))
+    replaced.replace(t.spark, paths, changed, {"transactions": transactions(new), "logs": logs(new), "traces": traces(new), "blocks": blocks(new)}, 100)
+    return {name: replaced.stored(t.spark, path) for name, path in paths.items()}
+
+
 VIEWS["e_log"] = f"""select *, 0 as event_index, {addr('l_partkey')} as contract_address from e_line union all select *, 1, case when l_linestatus = 'O' then {addr('l_suppkey')} else {addr('l_orderkey')} end from e_line"""
 
 
@@ -205,6 +235,15 @@ def q_traces(t):
     return out.withColumn("trace_index", F.col("trace_index").cast("bigint")).withColumn("sub_traces", F.col("sub_traces").cast("bigint"))
 
 
+@query("evm_replaced_blocks", """select 'transactions' as kind, block_number, count(*) as n, min(tx_hash) as first, max(tx_hash) as last from e_line group by 2 union all select 'logs', block_number, count(*), min(tx_hash || event_index), max(tx_hash || event_index) from e_log group by 2
+    union all select 'traces', block_number, count(*), min(tx_hash || trace_index), max(tx_hash || trace_index) from e_trace group by 2 union all select 'blocks', block_number, 1, '0xb' || block_number, '0xb' || block_number from (select distinct block_number from e_line)""")
+def q_replaced(t):
+    """Tables stored before a tenth of the blocks was replaced, after the replacement."""
+    ids = {"transactions": F.col("tx_hash"), "logs": F.concat("tx_hash", F.col("event_index").cast("string")), "traces": F.concat("tx_hash", F.col("trace_index").cast("string")), "blocks": F.col("block_hash")}
+    parts = [df.groupBy(F.lit(name).alias("kind"), "block_number").agg(F.count(F.lit(1)).alias("n"), F.min(ids[name]).alias("first"), F.max(ids[name]).alias("last")) for name, df in replaced_tables(t).items()]
+    return union_all(parts)
+
+
 @query("evm_created_contracts", """select to_address as created_contract_address, arg_max(tx_hash, (ts, block_number, tx_hash)) as tx_hash, arg_max(from_address, (ts, block_number, tx_hash)) as creator_address from e_trace where type = 'CREATE' and trace_succeeded group by 1""")
 def q_created(t):
     return core.created_contracts(traces(t)).select("created_contract_address", "tx_hash", "creator_address")

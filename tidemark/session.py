@@ -92,6 +92,12 @@ def discard(*paths_or_frames: DataFrame | str) -> None:
                 _written.remove(path)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder from whichever store holds it."""
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+
+
 def _read_by(df: DataFrame) -> list[str]:
     """The staged tables that a frame reads; their names are never used twice."""
     folders = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for f in df.inputFiles()}
