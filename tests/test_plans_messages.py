@@ -2,13 +2,15 @@
 
 import base64
 import json
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import prices, worklists as wl
-from tidemark.plans.cosmos import core, packets, defi, gov, nft, stats
+from tidemark.plans.cosmos import core, packets, defi, gov, nft, reports, stats
+from tidemark.session import staged
 
 T0 = datetime(2024, 1, 1, 5, 30)
 STAMP = "_inserted_timestamp"
@@ -323,3 +325,45 @@ def test_worklists(spark):
     answers = spark.createDataFrame([("c1", T0), ("c2", datetime(2023, 1, 1))], f"contract_address string, {STAMP} timestamp_ntz")
     all_c = spark.createDataFrame([("c1",), ("c2",), ("c3",)], "contract_address string")
     assert [r[0] for r in wl.contracts_to_refresh(all_c, answers, datetime(2024, 1, 3), by_age=True).collect()] == ["c3", "c2"]
+
+
+def _blocks(spark, ids, path=None):
+    df = spark.createDataFrame([(i, datetime(2024, 1, 1) + timedelta(hours=i)) for i in ids], "block_id long, block_timestamp timestamp_ntz")
+    return df
+
+
+def _kept(report):
+    return reports.Report(*[staged(x, "kept") for x in (report.row, report.lost, report.tested)])
+
+
+def test_a_report_reads_its_own_past(spark):
+    """The second report, which sees blocks of its scope only, has the row of a test of everything."""
+    rnd = random.Random(3)
+    for lost, later in (({}, {}), ({7, 8, 9, 31}, {31}), (set(range(40, 60)), {45, 46}), (set(rnd.sample(range(1, 200), 40)), set())):
+        first_ids, all_ids = [i for i in range(300) if i not in lost], [i for i in range(500) if i not in set(lost) - set(later) and i not in (310, 311, 400)]
+        first = _kept(reports.blocks_report(_blocks(spark, first_ids), datetime(2024, 1, 1) + timedelta(hours=300), bucket=10))
+        now = datetime(2024, 1, 1) + timedelta(hours=500)
+        start = reports.scope_start(_blocks(spark, all_ids), first, 10)
+        assert start == min([x - 1 for x in lost if x < 276] + [275 - 96]) // 10 * 10
+        whole = reports.blocks_report(_blocks(spark, all_ids), now, bucket=10)
+        again = reports.blocks_report(_blocks(spark, [i for i in all_ids if i >= start]), now, first, 10)
+        assert rows(again.row, *whole.row.columns) == rows(whole.row, *whole.row.columns) and rows(again.lost, "lost_from", "lost_to") == rows(whole.lost, "lost_from", "lost_to")
+        missing = [i for i in range(476) if i not in all_ids]
+        assert [r[0] for r in rows(reports.lost_ids(whole.lost), "missing_id")] == sorted(missing, key=str)
+        third = reports.blocks_report(_blocks(spark, [i for i in all_ids if i >= start]), now, _kept(again), 10)
+        assert rows(third.row, *whole.row.columns) == rows(whole.row, *whole.row.columns)
+
+
+def test_transactions_reports_carry_over(spark):
+    metas = _blocks(spark, range(120)).withColumn("num_txs", F.lit(2).cast("bigint"))
+    txs = lambda bad: spark.createDataFrame([(i, f"t{i}-{k}") for i in range(120) for k in range(bad.get(i, 2))], "block_id long, tx_id string")
+    first = _kept(reports.transactions_report(txs({20: 1, 21: 0, 30: 3}), metas, datetime(2024, 1, 1) + timedelta(hours=60), bucket=5))
+    assert rows(first.row, "blocks_tested", "blocks_impacted_count", "transactions_impacted_count", "lost_ranges") == [(48, 3, 4, 2)]
+    now = datetime(2024, 1, 1) + timedelta(hours=120)
+    bad = {21: 0, 22: 1, 90: 0}
+    scope = F.col("block_id") >= 15
+    again = reports.transactions_report(txs(bad).filter(scope), metas.filter(scope), now, first, 5)
+    whole = reports.transactions_report(txs(bad), metas, now, bucket=5)
+    assert rows(again.row, *whole.row.columns) == rows(whole.row, *whole.row.columns) and rows(again.lost, "lost_from", "lost_to", "transactions") == [(21, 22, 3), (90, 90, 2)]
+    empty = reports.transactions_report(txs({}).limit(0), metas.limit(0), now)
+    assert rows(empty.row, "blocks_impacted_count") == [(0,)] and reports.scope_start(metas, _kept(empty)) is None

@@ -12,7 +12,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import increments as inc
-from ..plans.cosmos import core, stats
+from ..plans.cosmos import core, reports, stats
+from ..session import staged
 from .base import VIEWS, block_of, query
 
 # for the query on late blocks: the first block that has not landed yet
@@ -223,3 +224,36 @@ def q_tx_completeness(t):
     metas = b.select("block_id", "block_timestamp", F.col("tx_count").cast("bigint").alias("num_txs"))
     gaps = stats.transaction_gaps(transactions(t).filter("tx_succeeded"), b, metas, datetime(2024, 2, 10))
     return stats.transactions_completeness(gaps).select("test_name", "blocks_tested", "blocks_impacted_count", "transactions_impacted_count")
+
+
+def _stored(report: reports.Report) -> reports.Report:
+    return reports.Report(staged(report.row, "report"), staged(report.lost, "report_lost"), staged(report.tested, "report_tested"))
+
+
+_REPORT_TS = "strftime(min(block_timestamp), '%Y-%m-%d %H:%M:%S') as min_block_timestamp, strftime(max(block_timestamp), '%Y-%m-%d %H:%M:%S') as max_block_timestamp"
+
+
+@query("chain_blocks_report", f"""with b as (select * from c_blk where block_id not between 100 and 120 and block_id not between 500 and 510 and block_timestamp < timestamp '2024-01-29'), g as (select block_id, lag(block_id) over (order by block_id) as p from b)
+    select 'blocks' as test_name, min(block_id) as min_block, max(block_id) as max_block, {_REPORT_TS}, max(block_id) - min(block_id) + 1 as blocks_tested, max(block_id) - min(block_id) + 1 - count(*) as blocks_impacted_count, (select count(*) from g where block_id - p > 1) as lost_ranges from b""")
+def q_blocks_report(t):
+    """Two reports; the second reads from the oldest loss of the first. Blocks 200 to 205 came in between."""
+    b = t.table("blocks_tested", lambda: blocks(t)).filter("block_id not between 100 and 120")
+    first = _stored(reports.blocks_report(b.filter("block_id not between 200 and 205"), datetime(2024, 1, 16), bucket=50))
+    second = reports.blocks_report(b.filter("block_id not between 500 and 510"), datetime(2024, 1, 30), first, bucket=50)
+    return second.row.drop("test_timestamp")
+
+
+@query("chain_lost_ranges", """with b as (select block_id, lag(block_id) over (order by block_id) as p from c_blk where block_id not between 100 and 120 and block_timestamp < timestamp '2024-01-29') select p + 1 as lost_from, block_id - 1 as lost_to, block_id - p - 1 as n from b where block_id - p > 1""")
+def q_lost(t):
+    return reports.blocks_report(t.table("blocks_tested", lambda: blocks(t)).filter("block_id not between 100 and 120"), datetime(2024, 1, 30)).lost
+
+
+@query("chain_transactions_report", f"""with told as (select * from c_blk where block_timestamp < timestamp '2024-01-29 12:00:00'), have as (select block_id, count(*) as n from c_tx where tx_succeeded group by 1), d as (select t.block_id, t.block_timestamp, coalesce(n, 0) - tx_count as diff from told t left join have h on t.block_id = h.block_id),
+    l as (select block_id, lag(block_id) over (order by block_id) as p from d where diff <> 0) select 'transactions' as test_name, min(block_id) as min_block, max(block_id) as max_block, {_REPORT_TS}, count(*) as blocks_tested, count(*) filter (where diff <> 0) as blocks_impacted_count,
+    cast(sum(abs(diff)) as bigint) as transactions_impacted_count, (select count(*) from l where p is null or block_id - p > 1) as lost_ranges from d""")
+def q_transactions_report(t):
+    """Failed transactions went missing; two reports, of which the second takes up the first."""
+    metas = t.table("blocks_tested", lambda: blocks(t)).select("block_id", "block_timestamp", F.col("tx_count").cast("bigint").alias("num_txs"))
+    txs = t.table("tested_transactions", lambda: transactions(t).select("block_id", "tx_id", "tx_succeeded")).filter("tx_succeeded")
+    first = _stored(reports.transactions_report(txs, metas, datetime(2024, 1, 16), bucket=50))
+    return reports.transactions_report(txs, metas, datetime(2024, 1, 30), first, bucket=50).row.drop("test_timestamp")
