@@ -351,3 +351,34 @@ def test_long_ranges_become_few_blocks(spark):
     df = spark.createDataFrame([(3, 100_000), (1, 10**15)], "lo long, n long")
     sizes = [r[0] for r in df.select(F.size(joins._blocks(F.col("lo"), F.col("n")))).collect()]
     assert max(sizes) <= 14 * 18 and sizes[0] <= 14 * 6
+
+
+def _leaves(v, path=""):
+    if isinstance(v, dict) and v:
+        for k, x in v.items():
+            yield from _leaves(x, f"{path}['{k}']" if not k.replace("_", "").isalnum() else f"{path}.{k}" if path else k)
+    elif isinstance(v, list) and v:
+        for i, x in enumerate(v):
+            yield from _leaves(x, f"{path}[{i}]")
+    else:
+        yield path, v
+
+
+def test_json_leaves_at_any_depth(spark):
+    import json
+
+    deep = 1
+    for k in range(25):
+        deep = {f"k{k}": deep} if k % 2 else [deep, k]
+    texts = [{"a": 1, "b": [True, None, "x\"y", [], {}], "c.d": {"e": 2.5}}, {"deep": deep}, [1, [2, [3]]], {}, []]
+    df = spark.createDataFrame([(i, json.dumps(t)) for i, t in enumerate(texts)] + [(9, "no json"), (10, None), (11, "5")], "id long, t string")
+    got = sorted((r.id, r.path, r.value) for r in rows.json_leaves(df, "t").collect() if r.value is not None)
+    plain = lambda v: {True: "true", False: "false"}.get(v, str(v)) if isinstance(v, bool) else json.dumps(v) if v in ([], {}) else str(v)
+    assert got == sorted((i, p, plain(v)) for i, t in enumerate(texts[:3]) for p, v in _leaves(t) if v is not None)
+    metas = {"data": [{"result": {"block_metas": [{"h": 1}, {"h": 2}], "other": [{"h": 9}]}}, {"x": {"result": {"block_metas": [{"h": 3}]}}}], "else": {"result": {"block_metas": [{"h": 8}]}}}
+    found = rows.json_walk(spark.createDataFrame([(1, json.dumps(metas))], "id long, t string"), "t", "data**.result.block_metas[*]")
+    assert sorted((r.path, r["index"]) for r in found.collect()) == [("data[0].result.block_metas[0]", 0), ("data[0].result.block_metas[1]", 1), ("data[1].x.result.block_metas[0]", 0)]
+    fields = rows.json_walk(spark.createDataFrame([(1, json.dumps(metas))], "id long, t string"), "t", "data[*].*.other[0].h")
+    assert [r.path for r in fields.collect()] == ["data[0].result.other[0].h"]
+    with pytest.raises(ValueError):
+        rows.json_walk(df, "t", "a b")

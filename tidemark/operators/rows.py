@@ -45,8 +45,64 @@ def split_rows(df: DataFrame, col: str, sep: str, out: str) -> DataFrame:
     return df.withColumn(out, F.explode(F.split(F.col(col), sep)))
 
 
-def json_items(df: DataFrame, col: str, as_type: str = "array<string>", **kw) -> DataFrame:
-    return flatten(df, F.from_json(F.col(col), as_type), **kw)
+def _path_patterns(pattern: str) -> tuple[str, str]:
+    """(regex of the whole path, regex of all that may lead to one). [*] is any place of an array, * any field, ** any
+    number of steps."""
+    import re
+
+    steps = re.findall(r"\*\*|\[\*\]|\[[0-9]+\]|\.?(?:\*|[A-Za-z0-9_]+)", pattern)
+    if "".join(steps) != pattern:
+        raise ValueError(f"not a path pattern: {pattern}")
+    parts = []
+    for x in steps:
+        dot = r"\." if x.startswith(".") else ""
+        parts.append(".*" if x == "**" else r"\[[0-9]+\]" if x == "[*]" else dot + r"[^.\[]+" if x.endswith("*") else re.escape(x))
+    lead = ""
+    for p in reversed(parts[:-1]):
+        lead = p if p == ".*" else f"{p}(?:{lead})?" if lead else p
+    return "^" + "".join(parts) + "$", f"^(?:{lead})?$"
+
+
+def json_walk(df: DataFrame, col: str, pattern: str | None = None) -> DataFrame:
+    """Every node below the root of a JSON text of any shape and depth: path, index and value (variant).
+
+    `path` is like data[0].result.height, with fields that are no plain names as ['a.b']; `index` the place in its
+    array, or null. With a `pattern` only the nodes it names are given; what cannot lead to one is not opened. Levels
+    are opened one after the other, and only nodes with something below them go on, so each node is met once. The
+    other columns of `df` come along; an unreadable text has no nodes.
+    """
+    from ..session import staged
+
+    spark = df.sparkSession
+    keep = [c for c in df.columns if c != col]
+    whole, leading = _path_patterns(pattern) if pattern else (None, None)
+    level = df.select(*keep, F.lit("").alias("path"), F.lit(None).cast("int").alias("index"), F.try_parse_json(col).alias("value")).filter(F.col("value").isNotNull())
+    out: DataFrame | None = None
+    while True:
+        nested = level.filter(F.schema_of_variant("value").rlike("^(OBJECT|ARRAY)<"))
+        up = nested.select(*keep, F.col("path").alias("_path"), F.col("value").alias("_value"))
+        each = up.lateralJoin(spark.tvf.variant_explode(F.col("_value").outer()).toDF("_pos", "_key", "value"))
+        plain = F.when(F.col("_path") == "", F.col("_key")).otherwise(F.concat("_path", F.lit("."), "_key"))
+        field = F.when(F.col("_key").rlike("^[A-Za-z0-9_]+$"), plain).otherwise(F.concat("_path", F.lit("['"), "_key", F.lit("']")))
+        at = F.when(F.col("_key").isNull(), F.concat("_path", F.lit("["), F.col("_pos").cast("string"), F.lit("]"))).otherwise(field)
+        below = each.select(*keep, at.alias("path"), F.when(F.col("_key").isNull(), F.col("_pos")).alias("index"), "value")
+        if pattern:
+            below = below.filter(F.col("path").rlike(whole) | F.col("path").rlike(leading))
+        below = staged(below, "json_level")
+        found = below.filter(F.col("path").rlike(whole)) if pattern else below
+        out = found if out is None else out.unionByName(found)
+        level = below.filter(F.col("path").rlike(leading)) if pattern else below
+        if level.isEmpty():
+            return out
+
+
+def json_leaves(df: DataFrame, col: str) -> DataFrame:
+    """path and value (text) of every number, text, truth value or null of a JSON, and of empty objects and arrays."""
+    kind = F.schema_of_variant("value")
+    inner = kind.rlike("^(OBJECT|ARRAY)<") & ~F.to_json("value").isin("{}", "[]")
+    rows = json_walk(df, col).filter(~inner)
+    text = F.when(kind.rlike("^(OBJECT|ARRAY)<"), F.to_json("value")).otherwise(F.try_variant_get("value", "$", "string"))
+    return rows.withColumn("value", text).drop("index")
 
 
 def flatten_tree(df: DataFrame, payload: str, children: str, node_fields: dict[str, str], root: str = "ORIGIN", node: str | None = None, step: int = 8) -> DataFrame:

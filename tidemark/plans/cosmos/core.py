@@ -8,7 +8,7 @@ from ...functions.coins import coin_amount, coin_denom, rate_amount, rate_denom
 from ...functions.common import base64_text, concat_ws_strict, greatest_strict, newest, oldest
 from ...operators import increments as inc
 from ...operators.joins import daily_spine
-from ...operators.rows import flatten, json_project
+from ...operators.rows import flatten, json_project, json_walk
 from ...operators.sets import union_all
 from ...operators.windows import broadcast_agg, dedup_latest, dedup_priority, ffill, group_by_marker, rank_in_group, running_sum, subgroup_backfill
 from ..audit import keyed, published
@@ -70,13 +70,10 @@ def blocks(raw: DataFrame) -> DataFrame:
 
 
 def block_metas(raw: DataFrame) -> DataFrame:
-    """Chain-info payloads, data[*].result.block_metas[*], to one row per height, newest arrival."""
-    fields = {"_pages": (["$.data"], "array<variant>"), "_one": (["$.data.result.block_metas"], "array<variant>")}
-    pages = json_project(raw, "data", fields, [STAMP])
-    metas = F.when(F.col("_pages").isNotNull(), F.flatten(F.transform("_pages", lambda p: F.coalesce(
-        F.try_variant_get(p, "$.result.block_metas", "array<variant>"), F.array().cast("array<variant>"))))).otherwise(F.col("_one"))
-    each = flatten(pages.select(metas.alias("_metas"), STAMP), "_metas", "_i", "_m")
-    get = lambda p, t: F.try_variant_get("_m", p, t)
+    """Chain-info payloads to one row per height, newest arrival. The list of metas stands at
+    data….result.block_metas, in one page or several, however deep the pages are wrapped."""
+    each = json_walk(raw.select("data", STAMP), "data", "data**.result.block_metas[*]")
+    get = lambda p, t: F.try_variant_get("value", p, t)
     rows = each.select(
         get("$.header.chain_id", "string").alias("chain_id"), get("$.header.height", "bigint").alias("block_id"),
         get("$.header.time", "string").try_cast("timestamp_ntz").alias("block_timestamp"), get("$.block_size", "bigint").alias("block_size"),

@@ -257,3 +257,17 @@ def q_transactions_report(t):
     txs = t.table("tested_transactions", lambda: transactions(t).select("block_id", "tx_id", "tx_succeeded")).filter("tx_succeeded")
     first = _stored(reports.transactions_report(txs, metas, datetime(2024, 1, 16), bucket=50))
     return reports.transactions_report(txs, metas, datetime(2024, 1, 30), first, bucket=50).row.drop("test_timestamp")
+
+
+@query("chain_block_metas", f"""select block_id, {_TS}, 'main-1' as chain_id, tx_count as num_txs, block_id * 10 + if(block_id % 7 = 0, 2, 1) as block_size from c_blk""")
+def q_metas(t):
+    """Pages of up to twenty blocks, wrapped in two ways; some blocks stand in a later page too."""
+    meta = F.struct(F.struct(F.lit("main-1").alias("chain_id"), F.col("block_id").cast("string").alias("height"), F.date_format("block_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("time")).alias("header"),
+                    F.col("tx_count").cast("string").alias("num_txs"), (F.col("block_id") * 10 + F.col("version")).cast("string").alias("block_size"))
+    rows = blocks(t).withColumn("version", F.explode(F.when(F.col("block_id") % 7 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+    pages = rows.groupBy(F.expr("block_id div 20").alias("page"), "version").agg(F.sort_array(F.collect_list(meta)).alias("block_metas"))
+    result = F.struct(F.struct("block_metas", F.lit("x").alias("last_height")).alias("result"))
+    one, many = F.to_json(F.struct(result.alias("data"))), F.to_json(F.struct(F.array(result).alias("data")))
+    stamp = F.expr("timestamp_ntz '2024-01-01' + make_dt_interval(version, 0)")
+    out = core.block_metas(pages.select(F.when(F.col("page") % 2 == 0, one).otherwise(many).alias("data"), stamp.alias("_inserted_timestamp")))
+    return out.select("block_id", "block_timestamp", "chain_id", "num_txs", "block_size")

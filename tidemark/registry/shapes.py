@@ -98,6 +98,22 @@ def lateral_flatten_outer(t):
     return rows.flatten_map(t.events.select("event_id", m.alias("m")), "m", outer=True).select("event_id", "key", "value")
 
 
+@query("op_json_leaves", """with l as (select distinct l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag from lineitem), i as (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_returnflag) - 1 as i from l)
+    select l_orderkey, 'order' as path, l_orderkey || '' as value from (select distinct l_orderkey from l) union all select l_orderkey, 'lines[' || i || '].n', l_linenumber || '' from i union all select l_orderkey, 'lines[' || i || '][''part.key'']', l_partkey || '' from i
+    union all select l_orderkey, 'lines[' || i || '].by.ids[0]', l_suppkey || '' from i where l_returnflag <> 'N' union all select l_orderkey, 'lines[' || i || '].by.ids[1][0].flag', l_returnflag from i where l_returnflag <> 'N' union all select l_orderkey, 'lines[' || i || '].by.ids', '[]' from i where l_returnflag = 'N'""")
+def json_leaves(t):
+    """Payloads whose arrays hold numbers, objects and arrays; some are empty."""
+    line = ["l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"]
+    orders = t.lineitem.select("l_orderkey", *line).distinct().groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*line))).alias("lines"))
+
+    def one(x):
+        ids = F.concat(F.lit("["), x["l_suppkey"].cast("string"), F.lit(',[{"flag":"'), x["l_returnflag"], F.lit('"}]]'))
+        return F.concat(F.lit('{"n":'), x["l_linenumber"].cast("string"), F.lit(',"part.key":'), x["l_partkey"].cast("string"), F.lit(',"by":{"ids":'), F.when(x["l_returnflag"] == "N", F.lit("[]")).otherwise(ids), F.lit("}}"))
+
+    text = F.concat(F.lit('{"order":'), F.col("l_orderkey").cast("string"), F.lit(',"lines":['), F.array_join(F.transform("lines", one), ","), F.lit("]}"))
+    return rows.json_leaves(orders.select("l_orderkey", text.alias("payload")), "payload")
+
+
 @query("op_flatten_recursive", """with l as (select distinct l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus, l_shipdate from lineitem)
     select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, 'ORIGIN' as trace_address, null as parent_address, l_returnflag as kind from l
     union all select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, '0', 'ORIGIN', l_linestatus from l
