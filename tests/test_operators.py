@@ -382,3 +382,14 @@ def test_json_leaves_at_any_depth(spark):
     assert [r.path for r in fields.collect()] == ["data[0].result.other[0].h"]
     with pytest.raises(ValueError):
         rows.json_walk(df, "t", "a b")
+
+
+def test_consecutive_numbers(spark):
+    rnd = random.Random(5)
+    keys = [f"{rnd.getrandbits(64):016x}" for _ in range(3000)] + ["same"] * 50 + ["0"]
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, i long").repartition(5)
+    got = sorted((r.no, r.k, r.i) for r in w.consecutive(df, ["k", "i"], "no").collect())
+    assert got == [(n, k, i) for n, (k, i) in enumerate(sorted((k, i) for i, k in enumerate(keys)), start=1)]
+    assert w.consecutive(df.limit(0), ["k"]).count() == 0
+    sizes = [len(p) for p in w.consecutive(df, ["k", "i"])._jdf.inputFiles()]
+    assert len(sizes) >= 3  # a file for each range

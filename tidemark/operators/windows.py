@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.common import oldest
+from ..session import staged
 
 UNBOUNDED = Window.unboundedPreceding
 CHUNK = "_chunk"
@@ -252,6 +253,22 @@ def mod_batches(df: DataFrame, order: str, per_range: int, per_call: int) -> Dat
     return numbered.withColumn("range_no", range_no).withColumn("call_no", F.expr(f"range_no div {per_call}")).drop("_pos", "_all")
 
 
+def consecutive(df: DataFrame, order: list[str], out: str = "row_no") -> DataFrame:
+    """Rows numbered 1, 2, … in the order of any columns, dense or sparse, numbers or text.
+
+    Rows are cut into ranges of the order and written sorted; a row's number is its place in its range plus the rows
+    of the ranges before it, of which there is one number for each. No task sees more than its range. Give enough
+    columns to tell rows apart: rows with equal ones stay in one range, in any order.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    rows = staged(cut, "ranges").withColumns({"_range": F.shiftright("_at", 33), "_place": F.col("_at").bitwiseAND(2**33 - 1)})
+    sizes = rows.groupBy("_range").agg((F.max("_place") + 1).alias("_n"))
+    before = sizes.select(F.col("_range").alias("_r"), (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))  # a row for each range
+    joined = rows.join(before, F.col("_range") == F.col("_r"))
+    return joined.select(*df.columns, (F.col("_before") + F.col("_place") + 1).alias(out))
+
+
 def tree_position(df: DataFrame, part: list[str], address: str, out: str = "trace_index", root: str = "ORIGIN", chunk: Column | None = None) -> DataFrame:
     """Depth-first position of nodes named by paths such as 0_1_2; the root comes first."""
     path = F.when(F.col(address) == root, F.array(F.lit(-1))).otherwise(

@@ -12,7 +12,7 @@ from ...functions.labels import joined_sides, pair_name, pool_label, side_name
 from ...operators import increments as inc
 from ...operators.joins import hourly, many_roles
 from ...operators.sets import union_all
-from ...operators.windows import dedup_latest, mod_batches
+from ...operators.windows import consecutive, dedup_latest
 from ...sources.files import inline_map
 from ..audit import keyed
 from . import dex_values as D
@@ -71,10 +71,9 @@ def registered_pools(logs: DataFrame, vaults: list[tuple] = D.VAULTS) -> DataFra
 
 
 def pool_read_batches(pools: DataFrame, size: int = D.READ_BATCH) -> DataFrame:
-    """Reads still to make: every pool with each of three functions, in numbered batches of pools."""
-    by_address = pools.select("pool_address", "block_number").distinct()
-    rank = by_address.withColumn("_id", F.xxhash64("pool_address"))
-    numbered = mod_batches(rank.withColumn("_id", F.abs(F.col("_id") % 2**40)), "_id", size, 1).withColumn("batch_no", F.col("range_no") + 1)
+    """Reads still to make: every pool with each of three functions, in numbered batches of pools by address."""
+    by_address = pools.groupBy("pool_address").agg(F.max("block_number").alias("block_number"))
+    numbered = consecutive(by_address, ["pool_address"], "row_no").withColumn("batch_no", F.expr(f"(row_no - 1) div {size} + 1")).drop("row_no")
     sigs = F.array(*[F.lit(s) for s in (V.READ_NAME, V.READ_SYMBOL, V.READ_DECIMALS)])
     return numbered.select("pool_address", "block_number", "batch_no", F.explode(sigs).alias("function_sig")).withColumn("input", F.rpad("function_sig", 64, "0"))
 

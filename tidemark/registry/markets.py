@@ -1,18 +1,19 @@
 """Exchange and bridge jobs on event logs that Spark builds from parts and line items.
 
 Every part is a pool: a pair for ECONOMY and SMALL parts, a fee pool for the others. Its tokens carry the
-ids 2p and 2p + 1. Every line item is a swap of its part's pool and a burn on the bridge.
+ids 2p and 2p + 1. Every line item is a swap of its part's pool and a burn on the bridge. Suppliers are pools of several tokens.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..plans.evm import bridge, bridge_values as B, dex, dex_values as D
+from ..plans.evm import bridge, bridge_values as B, dex, dex_values as D, values as V
 from .base import VIEWS, query
 from .evm import addr, address, hexn, lines, topic
 
 CREATED = "1995-01-01 00:00:00"
+VAULT = 3 * 10**9
 
 
 def word(c):
@@ -102,18 +103,83 @@ VIEWS.update({
 })
 
 
+def _vault_id():
+    """A supplier's pool: an address and twelve more bytes."""
+    return F.concat(address(F.col("s_suppkey") + VAULT), F.lpad(hexn("s_suppkey"), 24, "0"))
+
+
+def _vault_log(df: DataFrame, **cols) -> DataFrame:
+    return _log_columns(df, block_number=F.col("s_suppkey"), block_timestamp=F.lit(CREATED).cast("timestamp_ntz"), tx_hash=F.concat(F.lit("0xv"), F.col("s_suppkey")), contract_address=F.lit(D.VAULTS[0][0]),
+                        topic_1=_vault_id(), data=F.lit("0x"), origin_from_address=F.lit("0xa"), origin_to_address=F.lit("0xb"), **cols)
+
+
+def vault_registrations(t) -> DataFrame:
+    return _vault_log(t.supplier, event_index=F.lit(0).cast("bigint"), topic_0=F.lit(D.POOL_REGISTERED))
+
+
+def vault_pools(t) -> DataFrame:
+    """Suppliers are pools of two to five tokens, those of the parts that follow their number. A tenth was never read."""
+    n = (F.col("s_suppkey") % 4 + 2).cast("int")
+    listed = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.concat(F.lit('"'), address((F.col("s_suppkey") + i) * 2), F.lit('"')))
+    told = F.create_map(F.lit("poolId"), _vault_id(), F.lit("tokens"), F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")), F.lit("assetManagers"), F.lit("[]"))
+    decoded = _vault_log(t.supplier.withColumn("told", told), event_index=F.lit(1).cast("bigint"), topic_0=F.lit(D.TOKENS_REGISTERED))
+    maps = t.supplier.select(F.concat(F.lit("0xv"), F.col("s_suppkey")).alias("tx_hash"), told.alias("decoded_log"))
+    text = lambda c: F.concat(F.lit("0x"), word(F.lit(32).cast("bigint")), word(F.length(c).cast("bigint")), F.rpad(F.lower(F.hex(c.cast("binary"))), 64, "0"))
+    answer = {V.READ_NAME: text(F.concat(F.lit("Pool "), F.col("s_suppkey"))), V.READ_SYMBOL: text(F.concat(F.lit("P"), F.col("s_suppkey"))), V.READ_DECIMALS: F.concat(F.lit("0x"), word(F.lit(18).cast("bigint")))}
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("function_sig"), v.alias("read_result")) for k, v in answer.items()]))
+    read = t.supplier.filter("s_suppkey % 10 <> 0").select(address(F.col("s_suppkey") + VAULT).alias("pool_address"), each.alias("a"), F.lit(CREATED).cast("timestamp_ntz").alias("_inserted_timestamp")).select("pool_address", "a.*", "_inserted_timestamp")
+    return t.table("vault_pools", lambda: dex.vault_pools(vault_registrations(t), decoded.join(maps, "tx_hash"), read))
+
+
+def vault_swap_logs(t) -> DataFrame:
+    """Lines with status F swap one token of their supplier's pool for the next."""
+    n = F.col("l_suppkey") % 4 + 2
+    rows = lines(t).filter("l_linestatus = 'F'").withColumn("s_suppkey", F.col("l_suppkey")).withColumns({"i": F.col("l_linenumber") % n, "j": (F.col("l_linenumber") + 1) % n})
+    return _log_columns(
+        rows, block_timestamp=F.col("ts"), event_index=F.lit(7).cast("bigint"), contract_address=F.lit(D.VAULTS[0][0]), topic_0=F.lit(D.VAULT_SWAP), topic_1=_vault_id(), topic_2=topic((F.col("l_suppkey") + F.col("i")) * 2), topic_3=topic((F.col("l_suppkey") + F.col("j")) * 2),
+        data=F.concat(F.lit("0x"), word(F.col("qty") * 500), word(F.col("cents") * 3)), origin_from_address=address("l_suppkey"), origin_to_address=address("l_orderkey"))
+
+
+VIEWS.update({
+    "y_pool": f"select s_suppkey, {addr(f'(s_suppkey + {VAULT})')} as pool_address, 'Pool ' || s_suppkey as pool_name, 'P' || s_suppkey as pool_symbol, unnest(range(0, s_suppkey % 4 + 2)) as i from supplier where s_suppkey % 10 <> 0",
+    "y_token": f"select y.*, {addr('((s_suppkey + i) * 2)')} as token, case when p_partkey is not null then 'T' || p_partkey end as symbol, p_size % 10 as decimals from y_pool y left join part on p_partkey = s_suppkey + i",
+    "y_named": """select pool_address, 'jellyswap-v1' as platform, pool_name, string_agg('token' || i || '=' || token, ',' order by i) as tokens, string_agg('token' || i || '=' || symbol, ',' order by i) as symbols, string_agg('token' || i || '=' || decimals, ',' order by i) as decimals from y_token group by 1, 2, 3""",
+    "y_swap": f"""select tx_hash, ts, 'Pool ' || l_suppkey as pool_name, l_suppkey + l_linenumber % (l_suppkey % 4 + 2) as a, l_suppkey + (l_linenumber + 1) % (l_suppkey % 4 + 2) as b, qty * 500 as amount_in_unadj, cents * 3 as amount_out_unadj from e_line join supplier on s_suppkey = l_suppkey where l_linestatus = 'F' and l_suppkey % 10 <> 0""",
+    "y_day": "select distinct l_partkey as pk, l_shipdate as hour from lineitem where l_discount > 0.02",
+    "y_done": f"""select s.*, {addr('(a * 2)')} as token_in, {addr('(b * 2)')} as token_out, case when p.p_size is null then cast(amount_in_unadj as double) else amount_in_unadj / power(10.0, p.p_size % 10) end as amount_in, case when q.p_size is null then cast(amount_out_unadj as double) else amount_out_unadj / power(10.0, q.p_size % 10) end as amount_out,
+        case when d.hour is not null then p.p_retailprice / 3.14159 end as price_in, case when e.hour is not null then q.p_retailprice / 3.14159 end as price_out
+        from y_swap s left join part p on p.p_partkey = a left join part q on q.p_partkey = b left join y_day d on d.pk = a and d.hour = s.ts left join y_day e on e.pk = b and e.hour = s.ts""",
+    "x_all": """select tx_hash, platform, pool_name, token_in, token_out, amount_in, amount_out, in_usd, out_usd from x_usd
+        union all select tx_hash, 'jellyswap-v1', pool_name, token_in, token_out, amount_in, amount_out, amount_in * price_in, amount_out * price_out from y_done""",
+})
+
+
+@query("dex_pool_read_batches", f"""select pool_address, s_suppkey as block_number, (rn - 1) // 7 + 1 as batch_no, sig as function_sig, rpad(sig, 64, '0') as input from (select s_suppkey, {addr(f'(s_suppkey + {VAULT})')} as pool_address, row_number() over (order by s_suppkey) as rn from supplier),
+    (values ('{V.READ_NAME}'), ('{V.READ_SYMBOL}'), ('{V.READ_DECIMALS}')) as f(sig)""")
+def q_read_batches(t):
+    return dex.pool_read_batches(dex.registered_pools(vault_registrations(t)), 7)
+
+
+@query("dex_vault_pools", "select pool_address, pool_name, pool_symbol, 18 as pool_decimals, max(case when i = 0 then token end) as token0, max(case when i = 1 then token end) as token1, max(case when i = 4 then token end) as token4 from y_token group by 1, 2, 3")
+def q_vault_pools(t):
+    return vault_pools(t).select("pool_address", "pool_name", "pool_symbol", "pool_decimals", "token0", "token1", "token4")
+
+
+@query("dex_vault_swaps", "select tx_hash, pool_name, token_in, token_out, amount_in_unadj || '' as amount_in_unadj, amount_out_unadj || '' as amount_out_unadj from y_done")
+def q_vault_swaps(t):
+    return dex.vault_swaps(vault_swap_logs(t), vault_pools(t)).select("tx_hash", "pool_name", "token_in", "token_out", "amount_in_unadj", "amount_out_unadj")
+
+
 def pools(t):
     logs = creations(t)
-    none = dex.pairs_v2(logs.filter(F.lit(False)))
-    empty = none.withColumns({"pool_name": F.lit(None).cast("string"), "_inserted_timestamp": F.col("modified_timestamp")})
-    return dex.pairs_v2(logs), dex.pools_v3(logs), empty
+    return dex.pairs_v2(logs), dex.pools_v3(logs), vault_pools(t)
 
 
 def all_swaps(t):
-    v2p, v3p, empty = pools(t)
+    v2p, v3p, vault = pools(t)
     logs = t.table("swap_logs", lambda: swap_logs(t))
     v2, v3 = dex.swaps_v2(logs, v2p), dex.swaps_v3(logs, v3p)
-    return v2, v3, v2.filter(F.lit(False)), v2p, v3p, empty
+    return v2, v3, dex.vault_swaps(vault_swap_logs(t), vault), v2p, v3p, vault
 
 
 @query("dex_pools_v2", "select pool_address, token0, token1, platform, cast(p_size as varchar) as pool_id from x_pool where p_type in ('ECONOMY', 'SMALL')")
@@ -127,7 +193,8 @@ def q_v3_pools(t):
     return out
 
 
-@query("dex_complete_pools", """select pool_address, platform, pool_name, 'token0=' || token0 || ',token1=' || token1 as tokens, 'token0=' || symbol0 || coalesce(',token1=' || symbol1, '') as symbols, 'token0=' || decimals0 || coalesce(',token1=' || decimals1, '') as decimals from x_name""")
+@query("dex_complete_pools", """select pool_address, platform, pool_name, 'token0=' || token0 || ',token1=' || token1 as tokens, 'token0=' || symbol0 || coalesce(',token1=' || symbol1, '') as symbols, 'token0=' || decimals0 || coalesce(',token1=' || decimals1, '') as decimals from x_name
+    union all select pool_address, platform, pool_name, tokens, symbols, decimals from y_named""")
 def q_pools(t):
     return dex.complete_pools(*pools(t), tokens(t)).select("pool_address", "platform", "pool_name", "tokens", "symbols", "decimals")
 
@@ -145,24 +212,24 @@ def q_swaps_v3(t):
 
 
 def complete(t, prices=None):
-    v2, v3, none, v2p, v3p, empty = all_swaps(t)
+    v2, v3, vault, v2p, v3p, many = all_swaps(t)
     dims = tokens(t)
-    named = t.table("pools", lambda: dex.complete_pools(v2p, v3p, empty, dims))
-    return dex.complete_swaps(v2, v3, none, dims, token_prices(t) if prices is None else prices, named), named
+    named = t.table("pools", lambda: dex.complete_pools(v2p, v3p, many, dims))
+    return dex.complete_swaps(v2, v3, vault, dims, token_prices(t) if prices is None else prices, named), named
 
 
-@query("dex_complete_swaps", "select tx_hash, platform, pool_name, token_in, token_out, amount_in, amount_out, in_usd as amount_in_usd, out_usd as amount_out_usd from x_usd")
+@query("dex_complete_swaps", "select tx_hash, platform, pool_name, token_in, token_out, amount_in, amount_out, in_usd as amount_in_usd, out_usd as amount_out_usd from x_all")
 def q_complete(t):
     return complete(t)[0].select("tx_hash", "platform", "pool_name", "token_in", "token_out", "amount_in", "amount_out", "amount_in_usd", "amount_out_usd")
 
 
 @query("dex_ez_swaps", """select tx_hash, round(case when out_usd is null or abs((in_usd - out_usd) / nullif(out_usd, 0)) > 0.75 or abs((in_usd - out_usd) / nullif(in_usd, 0)) > 0.75 then null else in_usd end, 2) as amount_in_usd,
-    round(case when in_usd is null or abs((out_usd - in_usd) / nullif(in_usd, 0)) > 0.75 or abs((out_usd - in_usd) / nullif(out_usd, 0)) > 0.75 then null else out_usd end, 2) as amount_out_usd from x_usd""")
+    round(case when in_usd is null or abs((out_usd - in_usd) / nullif(in_usd, 0)) > 0.75 or abs((out_usd - in_usd) / nullif(out_usd, 0)) > 0.75 then null else out_usd end, 2) as amount_out_usd from x_all""")
 def q_ez(t):
     return dex.ez_swaps(complete(t)[0]).select("tx_hash", "amount_in_usd", "amount_out_usd")
 
 
-@query("dex_heal_swaps", "select tx_hash, pool_name, in_usd as amount_in_usd, out_usd as amount_out_usd from x_usd")
+@query("dex_heal_swaps", "select tx_hash, pool_name, in_usd as amount_in_usd, out_usd as amount_out_usd from x_all")
 def q_heal(t):
     """Swaps stored before any price was known; one run heals every group that can gain."""
     prices = token_prices(t)
