@@ -42,19 +42,21 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, most: int)
     return t.select("source", "source_size", "place", "weight", target.alias("target"))
 
 
-def _sequence(df: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], share: float, most: int, whole: bool) -> tuple[DataFrame, Column]:
+def _keyed(df: DataFrame, id_col: str, text_col: str, source_col: str) -> dict[str, Column]:
+    """What orders a row: doc_id, source, size, turn (its place in the shuffle) and same (its text)."""
+    text = F.col(f"`{text_col}`")
+    key = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.concat(F.lit("no id: "), F.coalesce(text, F.lit(""))))
+    return {"doc_id": F.col(f"`{id_col}`"), "source": F.col(f"`{source_col}`"), "size": word_count(text), "turn": F.md5(key.cast("binary")), "same": F.xxhash64(text)}
+
+
+def _sequence(df: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], share: float, most: int) -> tuple[DataFrame, Column]:
     """All entries, `most` for each row, with `upto_here` (words of all entries up to and with it), and whether an
-    entry is taken. `whole` carries the rows along; entries behind the budget's slot are left out then.
+    entry is taken. No texts are carried: a row is its id, source, size and the hash of its text.
 
     Rows are read and counted once. Buckets cut a source's shuffled order, slots the global order; both grow in
     number with the rows, and neither changes the order.
     """
-    text, source = F.col(f"`{text_col}`"), F.col(f"`{source_col}`")
-    key = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.concat(F.lit("no id: "), F.coalesce(text, F.lit(""))))
-    docs = df.select(
-        *([F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if whole else []), F.col(f"`{id_col}`").alias("doc_id"), source.alias("source"),
-        word_count(text).alias("size"), F.md5(key.cast("binary")).alias("turn"), F.xxhash64(text).alias("same"))
-    docs = staged(docs, "mix_rows")
+    docs = staged(df.select(*[c.alias(name) for name, c in _keyed(df, id_col, text_col, source_col).items()]), "mix_rows")
     parts = max(1, -(-docs.count() // ROWS))
     docs = docs.withColumn("bucket", F.floor(F.conv(F.substring("turn", 1, 8), 16, 10).cast("bigint") * parts / 2**32))
     per_bucket = docs.groupBy("source", "bucket").agg(F.sum("size").alias("here"))
@@ -74,12 +76,10 @@ def _sequence(df: DataFrame, id_col: str, text_col: str, source_col: str, weight
         slot = F.when(F.col("finish") < 2, F.floor(F.col("finish") * fine)).otherwise(2 * fine + F.floor(F.log2(F.col("finish") / 2) * 64))
         return entries.withColumn("slot", slot.cast("bigint"))
 
-    per_slot = dealt(rows.drop("row")).groupBy("slot").agg(F.sum("size").alias("here"))
+    per_slot = dealt(rows).groupBy("slot").agg(F.sum("size").alias("here"))
     per_slot = per_slot.select(F.col("slot").alias("_slot"), (F.sum("here").over(W.orderBy("slot")) - F.col("here")).alias("earlier"), (F.sum("here").over(W.partitionBy()) / most * share).alias("budget"))
     line = W.partitionBy("slot").orderBy("finish", "place", "lap", "turn", "size", "same", "at").rowsBetween(W.unboundedPreceding, W.currentRow)
     entries = dealt(rows).join(per_slot, F.col("slot") == F.col("_slot"))
-    if whole:
-        entries = entries.filter(F.col("earlier") <= F.col("budget"))
     entries = entries.withColumn("upto_here", F.col("earlier") + F.sum("size").over(line))
     return entries, F.col("upto_here") <= F.col("budget")
 
@@ -91,10 +91,18 @@ def mixed(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     finish (its virtual finish time) and word_end (words of the mix up to and with it). An input column with one of
     these names is left out. Empty documents are entries without words and not taken.
     """
-    entries, taken = _sequence(df, id_col, text_col, source_col, weights, share, most, True)
-    ours = [F.col("lap").cast("int").alias("lap"), "size", "source_size", "target", F.col("size").alias("taken"), "finish", F.col("upto_here").cast("bigint").alias("word_end")]
-    names = {"lap", "size", "source_size", "target", "taken", "finish", "word_end"}
-    return entries.filter(taken & (F.col("size") > 0)).select(*[F.col("row")[c].alias(c) for c in df.columns if c not in names], *ours)
+    entries, taken = _sequence(df, id_col, text_col, source_col, weights, share, most)
+    names = ["lap", "size", "source_size", "target", "taken", "finish", "word_end"]
+    one = F.md5(F.concat_ws("|", F.when(F.col("source").isNull(), "null").otherwise(F.concat(F.lit("is "), F.col("source").cast("string"))), "turn", F.col("same").cast("string")).cast("binary"))
+    kept = entries.filter(taken & (F.col("size") > 0)).withColumn("key", one)
+    kept = kept.withColumn("copy", F.col("at") - F.min("at").over(W.partitionBy("place", "bucket", "key")))
+    kept = kept.select("key", "copy", F.struct(F.col("lap").cast("int").alias("lap"), "size", "source_size", "target", F.col("size").alias("taken"), "finish", F.col("upto_here").cast("bigint").alias("word_end")).alias("entry"))
+    # The texts move once: by the key that numbers rows of equal id, source and text, and that entries are joined on.
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(n) for n, c in _keyed(df, id_col, text_col, source_col).items()])
+    rows = rows.filter("size > 0").select("row", one.alias("key"))
+    rows = rows.withColumn("copy", F.row_number().over(W.partitionBy("key").orderBy(F.xxhash64(F.to_json("row")))) - 1)
+    joined = rows.join(kept, ["key", "copy"])
+    return joined.select(*[F.col("row")[c].alias(c) for c in df.columns if c not in names], *[F.col("entry")[n].alias(n) for n in names])
 
 
 def mix(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: int = 2) -> DataFrame:
@@ -104,7 +112,7 @@ def mix(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source
     repeat are documents of their own. The order is that of md5(id), then size and the text's hash; so reruns
     agree. An empty table gives no row; a row without an id is shuffled by its text.
     """
-    entries, taken = _sequence(df, id_col, text_col, source_col, weights, share, most, False)
+    entries, taken = _sequence(df, id_col, text_col, source_col, weights, share, most)
     key = ["place", "bucket", "at"]
     return entries.groupBy(*key).agg(
         *[F.first(c).alias(c) for c in ("doc_id", "source", "size", "source_size", "target")],
