@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm import decontam, mixing, ngramjoin, secretscan, toxicity
 from tidemark.llm.ship import ship
-from tidemark.session import staged
+from tidemark.session import Scratch, staged
 
 
 def _row(docs: DataFrame) -> Column:
@@ -49,8 +49,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     first = again.groupBy(F.col("id").alias("_id")).agg(F.min("text").alias("first"))
     further = F.lit(2**62) + F.abs(F.xxhash64("id", "text") % 2**61)
     again = again.join(first, F.col("id") == F.col("_id")).select("row", F.when(F.col("text") == F.col("first"), F.col("id")).otherwise(further).alias("node"), "text")
-    nodes = _without(rows, ids, "id").select("row", F.col("id").alias("node"), "text").unionByName(again)
-    nodes = staged(nodes, "own_ids")
+    nodes = _without(rows, ids, "id").select("row", F.col("id").alias("node"), "text").unionByName(staged(again, "own_ids"))
     classes = ngramjoin.near_duplicates(nodes, id_col="node")
     return _without(nodes, classes.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("gone")), "node").select("row.*")
 
@@ -95,7 +94,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other. Once a stage's documents are written, what led to them is removed."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    scratch = Scratch()
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), name)
+        scratch.clear(keep=docs)
     return STAGES[-1][1](spark, docs, sf_dir)
