@@ -12,6 +12,9 @@ from pyspark.sql import SparkSession
 #: Rows of a batch between Spark and Python. Texts are long; this bounds the buffers on both sides.
 BATCH_ROWS = 1000
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Bytes of a batch, where rows are long; one row may be longer.
+BATCH_BYTES = 8 << 20
+BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _done: set[str] = set()
 
@@ -20,6 +23,7 @@ def ship(spark: SparkSession) -> None:
     """Send the package's sources as a zip through Spark's file distribution, once per application."""
     if not 0 < int(spark.conf.get(BATCH)) <= BATCH_ROWS:
         spark.conf.set(BATCH, str(BATCH_ROWS))
+    spark.conf.set(BYTES, str(BATCH_BYTES))
     sc = spark.sparkContext
     if sc.applicationId in _done:
         return

@@ -112,10 +112,14 @@ def fit(df: DataFrame, labels: DataFrame, s: Settings = Settings(), *, id_col: s
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
         for part, raw, offsets in slices(batches):
-            for f, label in zip(features(raw, offsets, s.bits), part.column("label").to_pylist()):
-                held += len(f)
-                if held <= s.sample_features:
-                    rows.append((f.astype(np.int32), label))
+            each = features(raw, offsets, s.bits)
+            ends = np.cumsum([len(f) for f in each])
+            fits = int(np.searchsorted(ends, s.sample_features - held, side="right"))
+            if fits and held < s.sample_features:
+                # One block of numbers for each piece: small arrays would leave the worker's memory in shreds.
+                block = np.concatenate(each[:fits]).astype(np.int32)
+                rows += zip(np.split(block, ends[: fits - 1]), part.column("label").to_pylist())
+            held += int(ends[-1]) if len(ends) else 0
         bias, kept, weights = ftrl(rows, s)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(kept, -1)), pa.array(np.append(weights, bias))], names=["feature", "weight"])
 
