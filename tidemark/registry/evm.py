@@ -188,10 +188,10 @@ def _with_lines(t, rows: DataFrame) -> Tables:
 
 
 def _old_lines(t) -> DataFrame:
-    """Every tenth block as it was stored at first: some transactions missing, some that the chain dropped later."""
+    """Every tenth block as it was stored at first: some transactions missing, and some that the chain dropped later."""
     rows = lines(t)
     late = F.col("block_number") % 10 == 0
-    dropped = rows.filter(late & (F.col("disc") == 4)).withColumn("tx_hash", F.concat(F.lit("0x"), F.sha2(F.concat(F.lit("old"), "tx_hash"), 256)))
+    dropped = rows.filter(late & F.col("disc").isin(3, 4)).withColumn("tx_hash", F.concat(F.lit("0x"), F.sha2(F.concat(F.lit("old"), "tx_hash"), 256)))
     return rows.filter(~late | (F.col("disc") != 3)).unionByName(dropped)
 
 
