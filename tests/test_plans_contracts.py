@@ -382,3 +382,53 @@ def test_target_days(spark):
     dates = spark.createDataFrame([(date(2024, 1, d), 1) for d in (1, 2, 3)], "date_day date, day_of_week int")
     assert rows(scores.target_days(blocks, dates), "block_date") == [(date(2024, 1, 1),)]
     assert scores.target_days(blocks, dates, full_reload=True).count() == 0
+
+
+@pytest.fixture(scope="module")
+def two_days(spark):
+    """Two days with the same transactions: a swap by name, a label against a name, a known signature, a wrapped coin."""
+    txs, logs, decoded = [], [], []
+    for d in (0, 1):
+        ts, block = T0 + timedelta(days=d), 10 + d
+        txs.append((block, f"t{d}", "0xfrom", "0xapp", "0xabcdef0100", True, ts))
+        txs.append((block, f"f{d}", "0xfrom", "0xapp", "0xabcdef0100", False, ts))
+        for i, (contract, sig, data) in enumerate([("0xplain", "0xs1", "0x"), ("0xdex", "0xs1", "0x"), ("0xplain", "0xs2", "0x"), ("0xwrap", S.WRAP_DEPOSIT, "0x"), ("0xbridge", "0xs3", "0x"), ("0xplain", None, "0x"), ("0xplain", V.TRANSFER, "0x")]):
+            logs.append((block, f"t{d}", i, ts, "0xfrom", "0xapp", contract, sig, [sig] if sig else [], data))
+        logs.append((block, f"f{d}", 9, ts, "0xfrom", "0xapp", "0xdex", "0xs1", ["0xs1"], "0x"))
+        decoded.append((block, f"t{d}", 4, "Claimed", ts))
+    stamp = "block_timestamp timestamp_ntz"
+    make = spark.createDataFrame
+    chain = (
+        make(txs, f"block_number long, tx_hash string, from_address string, to_address string, input_data string, tx_succeeded boolean, {stamp}"),
+        make(logs, f"block_number long, tx_hash string, event_index long, {stamp}, origin_from_address string, origin_to_address string, contract_address string, topic_0 string, topics array<string>, data string"),
+        make(decoded, f"block_number long, tx_hash string, event_index long, event_name string, {stamp}"),
+        make([], f"block_number long, tx_hash string, trace_index long, value double, trace_succeeded boolean, from_address string, to_address string, {stamp}"))
+    look = scores.Lookups(
+        event_sigs=make([("0xs1", "ReStaked"), ("0xs1", "Zzz")], "event_sig string, event_name string"), known_sigs=make([("0xs2", S.GOV_VOTES)], "event_sig string, metric string"),
+        known_names=make([("stak", S.STAKE_TX), ("restak", S.RESTAKES), ("claim", S.LP_ADDS)], "event_name string, metric string"),
+        labels=make([("0xdex", "dex", "pool"), ("0xbridge", "bridge", "pool")], "address string, label_type string, label_subtype string"), verified=make([], "token_address string, is_verified boolean"),
+        wrapped=make([("0xwrap", S.CHAIN)], "wrapped_asset_address string, blockchain string"), categories=make([(m, i) for i, m in enumerate(S.METRICS)], "metric string, metric_rank int"),
+        contracts=make([], "address string, decimals int"))
+    return chain, look
+
+
+def test_actions_take_the_best_evidence(spark, two_days):
+    chain, look = two_days
+    out = scores.day_actions(*chain, look)
+    # 0: two name patterns, the better rank; 1: label before name; 2: signature; 3: wrapped coin; 4: a bridge's own event; 5: no signature
+    day = out.filter("tx_hash = 't0' and action_type = 'contract_interaction'")
+    assert rows(day, "index", "metric_name") == [(0, S.STAKE_TX), (1, S.SWAP_TX), (2, S.GOV_VOTES), (3, S.SWAP_TX), (4, S.OTHER_DEFI)]
+    assert out.filter("tx_hash like 'f%'").count() == 0
+    assert rows(out.filter("action_type = 'tx'"), "tx_hash", "index", "complex_tx") == [("t0", -1, True), ("t1", -1, True)]
+
+
+def test_actions_of_new_days_only(spark, two_days):
+    chain, look = two_days
+    every = scores.day_actions(*chain, look)
+    days = every.select("block_date").distinct()
+    first = scores.new_actions(None, days.filter(F.col("block_date") == F.lit(T0.date())), *chain, look=look)
+    second = scores.new_actions(first, days, *chain, look=look)
+    assert {r.tx_hash for r in first.collect()} == {"t0"} and {r.tx_hash for r in second.collect()} == {"t1"}
+    assert sorted(map(str, first.unionByName(second).collect())) == sorted(map(str, every.collect()))
+    assert scores.new_actions(every, days, *chain, look=look).count() == 0
+    assert scores.new_actions(None, days.filter("false"), *chain, look=look).count() == 0

@@ -97,9 +97,11 @@ def sum_sources(sources: list[DataFrame], keys: list[str], amount: str, out: str
 def trailing_days(daily: DataFrame, day: str, dates: DataFrame, score_date: str, days: int) -> DataFrame:
     """Copy each daily row to every score date whose trailing window of `days` days holds it.
 
-    Input is one row per (entity, day), already aggregated. A row is exploded to the days it reaches and
-    matched with the score dates by equality; a NULL day reaches none, a NULL date holds none.
+    Input is one row per (entity, day), already aggregated. The score dates name the days they hold, a table as
+    long as the calendar, and a daily row meets its dates by equality: no row is copied to a date nobody asked
+    for. A NULL day reaches none, a NULL date holds none.
     """
-    reach = F.sequence(F.col(day), F.date_add(F.col(day), days - 1), F.expr("interval 1 day"))
-    wanted = dates.select(score_date).distinct()
-    return daily.withColumn(score_date, F.explode(reach)).join(wanted, score_date, "left_semi").select(*daily.columns, score_date)
+    held = F.sequence(F.date_sub(F.col(score_date), days - 1), F.to_date(score_date), F.expr("interval 1 day"))
+    wanted = dates.select(score_date).distinct().withColumn("_held", F.explode(held))
+    rows = daily.drop(score_date) if score_date in daily.columns and score_date != day else daily
+    return rows.join(wanted, F.col(day) == F.col("_held")).select(*[rows[c] for c in rows.columns], score_date)

@@ -61,8 +61,10 @@ def raw_blocks(t) -> DataFrame:
     return per.select("block_number", F.round("block_number", -3).alias("partition_key"), F.to_json(F.struct(body.alias("result"))).alias("data"), F.col("ts").alias("_inserted_timestamp"))
 
 
-def raw_transactions(t) -> DataFrame:
-    inp = F.when(F.col("l_linestatus") == "O", F.concat(F.lit("0xa9059cbb"), hexn("l_partkey", 64))).otherwise(F.lit("0x"))
+def raw_transactions(t, call=None) -> DataFrame:
+    """`call` is the selector that transactions of open lines call."""
+    call = F.lit("0xa9059cbb") if call is None else call
+    inp = F.when(F.col("l_linestatus") == "O", F.concat(call, hexn("l_partkey", 64))).otherwise(F.lit("0x"))
     body = F.struct(
         F.col("tx_hash").alias("hash"), address("l_suppkey").alias("from"), address("l_orderkey").alias("to"), F.lit("0x5208").alias("gas"), qhex("cents").alias("gasPrice"), qhex("l_linenumber").alias("nonce"),
         qhex(F.col("qty") * 10**15).alias("value"), inp.alias("input"))
@@ -74,7 +76,8 @@ def _log(i, contract, topics, data):
     return F.struct(contract.alias("address"), F.array(*topics).alias("topics"), data.alias("data"), F.lit(f"0x{i}").alias("logIndex"), F.lit(False).alias("removed"), qhex("tx_position").alias("transactionIndex"))
 
 
-def raw_receipts(t) -> DataFrame:
+def raw_receipts(t, more=()) -> DataFrame:
+    """`more` are further logs of each receipt."""
     token = _log(0, address("l_partkey"), [F.lit(V.TRANSFER), topic("l_suppkey"), topic("l_orderkey")], F.concat(F.lit("0x"), hexn(F.col("qty") * 1000, 64)))
     batch_data = F.concat(F.lit("0x"), *[hexn(c, 64) for c in (F.lit(64), F.lit(160), F.lit(2), F.col("l_partkey"), F.col("l_suppkey"), F.lit(2), F.col("l_linenumber"), F.col("qty"))])
     batch = _log(1, address("l_orderkey"), [F.lit(V.TRANSFER_BATCH), topic("l_linenumber"), topic("l_suppkey"), topic("l_orderkey")], batch_data)
@@ -82,7 +85,7 @@ def raw_receipts(t) -> DataFrame:
     second = F.when(F.col("l_linestatus") == "O", single).otherwise(batch)
     body = F.struct(
         F.col("tx_hash").alias("transactionHash"), qhex("tx_position").alias("transactionIndex"), address("l_suppkey").alias("from"), address("l_orderkey").alias("to"),
-        F.when(F.col("l_returnflag") == "R", F.lit("0x0")).otherwise(F.lit("0x1")).alias("status"), qhex(21000 + F.col("l_linenumber")).alias("gasUsed"), qhex("cents").alias("effectiveGasPrice"), F.array(token, second).alias("logs"))
+        F.when(F.col("l_returnflag") == "R", F.lit("0x0")).otherwise(F.lit("0x1")).alias("status"), qhex(21000 + F.col("l_linenumber")).alias("gasUsed"), qhex("cents").alias("effectiveGasPrice"), F.array(token, second, *more).alias("logs"))
     return lines(t).select("block_number", F.round("block_number", -3).alias("partition_key"), F.to_json(body).alias("data"), F.col("ts").alias("_inserted_timestamp"))
 
 
