@@ -121,6 +121,14 @@ def running_sum(df: DataFrame, part: list[str], order, value: Column, out: str,
     return _join_carry(rows, carry, [*part, CHUNK], ["_before"]).withColumn(out, total).drop("_in", "_before", "_v", CHUNK)
 
 
+def across_chunks(df: DataFrame, totals: DataFrame, part: list[str], chunk: str, local: str, out: str) -> DataFrame:
+    """Running total of stored rows that carry the running total `local` inside their (group, chunk). `totals` has
+    one row per (group, chunk) with the total of the chunk, also in `local`."""
+    carry = _carry(totals.select(*part, F.col(chunk).alias(CHUNK), local), part, local, "_before", "sum", wide=True)
+    joined = _join_carry(df.withColumn(CHUNK, F.col(chunk)), carry, [*part, CHUNK], ["_before"])
+    return joined.withColumn(out, F.col(local) + F.coalesce("_before", F.lit(0))).drop("_before", CHUNK)
+
+
 def group_by_marker(df: DataFrame, part: list[str], order, flag: Column, out: str = "group_no", chunk: Column | None = None) -> DataFrame:
     """Number the stretches opened by marker rows from 0; rows before the first marker get NULL."""
     marks = F.when(flag, F.lit(1)).otherwise(F.lit(0))

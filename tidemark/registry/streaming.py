@@ -96,9 +96,15 @@ def sliding(t):
 
 @query("op_session_marker", """select event_id, cast(nullif(sum(case when event_type = 'signup' then 1 else 0 end) over (partition by user_id order by ts, event_id rows unbounded preceding) - 1, -1) as varchar) as session_no from events""")
 def marker(t):
+    """Three sets of files: later halves of odd days, the rest of some users, then all else with some rows again."""
+    landing, _ = s.scratch(t.spark, "shuffled")
+    early = (F.dayofmonth("ts") % 2 == 1) & (F.hour("ts") >= 12)
+    for files in (early, ~early & (F.col("user_id") % 3 == 0), ~early & (F.col("user_id") % 3 != 0) | (F.col("event_id") % 7 == 0)):
+        t.events.filter(files).coalesce(1).write.mode("append").parquet(landing)
     table, check = s.scratch(t.spark, "marker")
-    s.stream_marker_groups(_stream(t), table, ["user_id"], ["ts", "event_id"], F.col("event_type") == "signup", "session_no", check, chunk=F.to_date("ts"))
-    return t.spark.read.parquet(f"{table}/rows").select("event_id", F.col("session_no").cast("string").alias("session_no"))
+    rows = s.read_files(t.spark, landing, t.events.schema, per_trigger=1)
+    s.stream_marker_groups(rows, table, ["user_id"], ["ts", "event_id"], F.col("event_type") == "signup", F.date_trunc("hour", "ts"), F.to_date("ts"), check)
+    return s.marker_groups(t.spark, table, ["user_id"], "session_no").select("event_id", F.col("session_no").cast("string").alias("session_no"))
 
 
 @query("op_stream_late_parent", """select event_id, strftime(b.block_timestamp, '%Y-%m-%d %H:%M:%S') as block_timestamp from v_msgs m join v_blocks b on m.block_id = b.block_id""")

@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.increments import late_parent, upsert_partitions, write_partitions
-from ..operators.windows import dedup_latest, running_sum
-from ..session import scratch_path, staged
+from ..operators.windows import across_chunks, dedup_latest, running_sum
+from ..session import discard, scratch_path, staged
 
 
 def read_files(spark: SparkSession, folder: str, schema, glob: str = "*.parquet", per_trigger: int = 100) -> DataFrame:
@@ -98,33 +98,46 @@ def daily_cells(stream: DataFrame, time: str, delay: str, keys: list[str], **agg
     return out.select(F.col("window.start").cast("date").alias("day"), *keys, *aggs)
 
 
-def stream_marker_groups(stream: DataFrame, path: str, part: list[str], order: list[str], flag: Column, out: str, checkpoint: str, chunk: Column | None = None) -> None:
-    """Number stretches opened by marker rows across batches.
+def stream_marker_groups(stream: DataFrame, path: str, part: list[str], order: list[str], flag: Column, chunk: Column, by: Column, checkpoint: str) -> None:
+    """Keep the rows from which marker_groups() numbers the stretches that marker rows open, in any order of arrival.
 
-    Each batch is numbered in itself and shifted by the markers seen before per group. The counts so far
-    are one small row per group, written per batch next to the rows. Batches must arrive in order.
+    Rows are stored with the number of markers before them inside their (group, chunk), and beside them one count
+    per (group, chunk). A batch, early or late, rewrites the partitions it has rows for and no other: a late marker
+    reaches the rows of later chunks through the counts. Group and order together are the key; a row that comes
+    again counts once, so a batch that is retried writes the same. `chunk` never decreases along the order, and
+    `by`, the partition column, follows from the chunk.
     """
+    rows_at, counts_at = f"{path}/rows", f"{path}/counts"
 
-    def apply(batch: DataFrame, epoch: int) -> None:
+    def apply(batch: DataFrame, _epoch: int) -> None:
         spark = batch.sparkSession
-        mark = F.when(flag, F.lit(1)).otherwise(F.lit(0))
-        before = f"{path}/state/epoch={epoch - 1}"
-        seen = spark.read.parquet(before) if epoch and _exists(spark, before) else None
-        counts = batch.groupBy(*part).agg(F.sum(mark).cast("bigint").alias("seen"))
-        rows = running_sum(batch, part, order, mark, "_m", chunk)
-        if seen is None:
-            rows = rows.withColumn("seen", F.lit(0))
-            total = counts
-        else:
-            rows = rows.join(seen, part, "left")
-            total = counts.unionByName(seen).groupBy(*part).agg(F.sum("seen").alias("seen"))
-        number = F.nullif(F.col("_m") + F.coalesce("seen", F.lit(0)) - 1, F.lit(-1)).cast("bigint")
-        rows.withColumn(out, number).drop("_m", "seen").write.mode("overwrite").parquet(f"{path}/rows/epoch={epoch}")
-        total.write.mode("overwrite").parquet(f"{path}/state/epoch={epoch}")
+        mark = F.when(flag, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+        fresh = staged(batch.withColumns({"marker": mark, "marker_chunk": chunk, "marker_by": by}), "marker_batch")
+        rows = fresh
+        if _exists(spark, rows_at):
+            ends = fresh.agg(F.min("marker_by").alias("lo"), F.max("marker_by").alias("hi")).first()
+            stored = spark.read.parquet(rows_at)
+            near = stored.filter(F.col("marker_by").between(F.lit(ends["lo"]), F.lit(ends["hi"])) | F.col("marker_by").isNull())
+            touched = fresh.select(F.col("marker_by").alias("touched")).distinct()
+            near = near.join(touched, F.col("marker_by").eqNullSafe(F.col("touched")), "left_semi")
+            rows = near.select(*fresh.columns).unionByName(fresh)
+        once = rows.dropDuplicates([*part, *order])
+        numbered = staged(running_sum(once, [*part, "marker_by", "marker_chunk"], order, F.col("marker"), "markers"), "marker_rows")
+        write_partitions(numbered, rows_at, "marker_by")
+        write_partitions(numbered.groupBy(*part, "marker_by", "marker_chunk").agg(F.sum("marker").alias("markers")), counts_at, "marker_by")
+        discard(fresh, numbered)
 
     each_batch(stream, apply, checkpoint)
 
 
+def marker_groups(spark: SparkSession, path: str, part: list[str], out: str) -> DataFrame:
+    """The rows that stream_marker_groups() keeps, with the number of their stretch; rows before the first marker
+    of the group get NULL."""
+    rows, counts = spark.read.parquet(f"{path}/rows"), spark.read.parquet(f"{path}/counts")
+    total = across_chunks(rows, counts, part, "marker_chunk", "markers", "_m")
+    return total.withColumn(out, F.nullif(F.col("_m") - 1, F.lit(-1))).drop("_m", "marker", "markers", "marker_chunk", "marker_by")
+
+
 def stream_late_parent(facts: DataFrame, parents: DataFrame, on: list[str], fact_time: str, parent_time: str, delay: str) -> DataFrame:
     """Stream-stream join that waits for the parent; state is bounded by the watermark on both sides.
 
