@@ -180,6 +180,12 @@ def test_fuzio_legs_by_position(attrs, spark):
     assert rows(out, "tx_id", "swapper", "amount_in", "currency_in", "amount_out", "currency_out") == [("t1", "alice", 100, "usei", 7, "ibc/X"), ("t2", "bob", 9, None, 4, "usei")]
 
 
+def test_fuzio_swaps_outside_every_group(attrs, spark):
+    """A swap without a group counts; its transfers cannot be told apart, so its units stay open."""
+    a = attrs(("t1", None, None, 0, "tx", {"fee_payer": "alice"}), ("t1", None, None, 1, "transfer", {"amount": "100usei"}), ("t1", None, None, 2, "wasm", {"_contract_address": "p", "action": "swap", "native_sold": "100", "token_bought": "7"}))
+    assert rows(defi.swaps_fuzio(a, labels(spark, ("p", "Fuzio Pool"))), "swapper", "amount_in", "currency_in", "amount_out", "currency_out") == [("alice", 100, None, 7, None)]
+
+
 def test_seaswap_legs_by_party(attrs, spark):
     listed = spark.createDataFrame([("p", "Pool P")], "pool_address string, pool_name string")
     a = attrs(

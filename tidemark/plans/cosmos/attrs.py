@@ -89,7 +89,5 @@ def groups_doing(attrs: DataFrame, *actions: str, keys: list[str] = GROUP, msg_t
 
 
 def both(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Keys in both tables. Each side is distinct already, so a semi join is an intersection."""
-    return a.join(b, a.columns, "left_semi")
-
-
+    """Keys in both tables; NULL keys match NULL keys, so messages outside every group count too."""
+    return a.intersect(b.select(a.columns))

@@ -81,10 +81,11 @@ def transactions(t):
     return core.transactions(raw_transactions(t), blocks(t))
 
 
-def other_attributes(t, types, attrs) -> DataFrame:
-    """Attribute table of the same events under other message types."""
-    txs = core.transactions(raw_transactions(t, message_type(types), attrs), blocks(t))
-    return t.table("attributes", lambda: core.msg_attributes(core.messages(txs)))
+def other_attributes(t, types, attrs, name="attributes") -> DataFrame:
+    """Attribute table of the same events under other message types (a map from event types, or a column)."""
+    kind = message_type(types) if isinstance(types, dict) else types
+    txs = core.transactions(raw_transactions(t, kind, attrs), blocks(t))
+    return t.table(name, lambda: core.msg_attributes(core.messages(txs)))
 
 
 def final(t):
