@@ -393,3 +393,20 @@ def test_consecutive_numbers(spark):
     assert w.consecutive(df.limit(0), ["k"]).count() == 0
     sizes = [len(p) for p in w.consecutive(df, ["k", "i"])._jdf.inputFiles()]
     assert len(sizes) >= 3  # a file for each range
+
+
+def test_time_chunks_follow_the_number_of_rows(spark):
+    """One user holds a third of the rows, most of them in one hour; a null user and rows without a time."""
+    df = spark.range(3000).selectExpr(
+        "id", "case when id % 3 = 0 then 'hot' when id % 300 = 1 then null else 'u' || id % 40 end as user",
+        "case when id % 500 = 7 then null when id % 3 = 0 then timestamp_ntz '2024-01-02 10:00:00' + make_dt_interval(0, 0, 0, id) else timestamp_ntz '2024-01-01' + make_dt_interval(0, id div 30, 0, 0) end as ts", "id % 7 = 0 as mark")
+    rows = w.time_chunks(df, ["user"], "ts", "span", size=50)
+    assert rows.columns == [*df.columns, "span"]
+    largest = {r.user: r.n for r in rows.filter("ts is not null").groupBy("user", "span").count().groupBy("user").agg(F.max("count").alias("n")).collect()}
+    assert largest["hot"] <= 50 and max(n for u, n in largest.items() if u != "hot") <= 50
+    assert rows.filter("user = 'u1'").select("span").distinct().count() < df.filter("user = 'u1'").count()
+    part, order = ["user"], ["ts", "id"]
+    got = w.ffill(w.group_by_marker(rows, part, order, F.col("mark"), "no", chunk=F.col("span")), part, order, F.when(F.col("mark"), F.col("id")), "last", chunk=F.col("span"))
+    want = w.ffill(w.group_by_marker(df, part, order, F.col("mark"), "no"), part, order, F.when(F.col("mark"), F.col("id")), "last")
+    assert tuples(got, "id", "no", "last") == tuples(want, "id", "no", "last")
+    assert tuples(w.time_chunks(df, ["user"], "ts", "span", size=10**6).filter("user = 'hot' and ts is not null").select("span").distinct(), "span") == tuples(df.filter("user = 'hot' and ts is not null").selectExpr("date_trunc('day', ts) as span").distinct(), "span")

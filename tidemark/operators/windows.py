@@ -74,6 +74,33 @@ def _carry(chunks: DataFrame, part: list[str], value: str, out: str, kind: str,
     return joined.withColumn(out, state).drop("_span", "_near", "_far")
 
 
+#: Rows of one group that a chunk should hold at most.
+CHUNK_ROWS = 1_000_000
+
+
+def time_chunks(df: DataFrame, part: list[str], ts: str, out: str, size: int = CHUNK_ROWS) -> DataFrame:
+    """Add a chunk for the running forms: days, and for a group's day with more than `size` rows its hours, minutes
+    or seconds, whichever its fullest hour calls for. The unit is the same all day, so chunks never decrease. Rows
+    without a time make the last chunk, as they come last in the order.
+
+    Rows are counted by (group, hour) first; only days that are too full come back to the rows, by a join on a table
+    of at most rows / size entries, and without such a day there is no join.
+    """
+    day, last = F.date_trunc("day", F.col(ts)), F.lit("9999-12-31").cast("timestamp")
+    hours = df.groupBy(*part, F.date_trunc("hour", F.col(ts)).alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+    days = hours.groupBy(*part, F.date_trunc("day", "_h").alias("_d")).agg(F.sum("_n").alias("_n"), F.max("_n").alias("_top"))
+    full = days.filter(F.col("_n") > size)
+    if full.isEmpty():
+        return df.withColumn(out, F.coalesce(day, last))
+    unit = F.when(F.col("_top") <= size, "hour").when(F.col("_top") <= size * 15, "minute").otherwise("second")
+    full = staged(full.withColumn("_unit", unit), "full_days")
+    rows = _join_carry(df.withColumn("_d", day), full, [*part, "_d"], ["_unit"])
+    cut = F.col("_d")
+    for u in ("hour", "minute", "second"):
+        cut = F.when(F.col("_unit") == u, F.date_trunc(u, F.col(ts))).otherwise(cut)
+    return rows.withColumn(out, F.coalesce(cut, last)).drop("_d", "_unit")
+
+
 # --- first / latest of a group ---------------------------------------------------------------
 
 

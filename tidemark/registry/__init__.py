@@ -1,5 +1,5 @@
 """All registered queries."""
 
-from . import base, inputs, shapes, joining, grouping, ordering, columns, checks, streaming, chain, evm, messages, exchanges, markets, scoring, interfaces, packets, buses  # noqa: F401
+from . import base, inputs, shapes, joining, grouping, ordering, columns, checks, streaming, chain, evm, messages, exchanges, directory, markets, scoring, interfaces, packets, buses, bridges  # noqa: F401
 
 QUERIES, ORACLES = base.QUERIES, base.ORACLES

@@ -101,7 +101,7 @@ def theta_le(t):
     select event_id, click_id from s where event_type = 'purchase' and click_id is not null""")
 def nearest(t):
     hit = joins.nearest_preceding(
-        t.events, ["user_id"], ["ts", "event_id"], F.col("event_type") == "click", F.col("event_type") == "purchase", ["event_id"], chunk=F.to_date("ts"))
+        windows.time_chunks(t.events, ["user_id"], "ts", "span"), ["user_id"], ["ts", "event_id"], F.col("event_type") == "click", F.col("event_type") == "purchase", ["event_id"], chunk=F.col("span"))
     return hit.select("event_id", F.col("prev_event_id").alias("click_id"))
 
 

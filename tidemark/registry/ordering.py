@@ -61,7 +61,7 @@ def lead_interval(t):
 
 @query("op_group_by_marker", """select event_id, cast(nullif(sum(case when event_type = 'signup' then 1 else 0 end) over (partition by user_id order by ts, event_id rows unbounded preceding) - 1, -1) as varchar) as session_no from events""")
 def group_by_marker(t):
-    marked = w.group_by_marker(t.events, ["user_id"], ["ts", "event_id"], F.col("event_type") == "signup", "session_no", chunk=F.to_date("ts"))
+    marked = w.group_by_marker(w.time_chunks(t.events, ["user_id"], "ts", "span"), ["user_id"], ["ts", "event_id"], F.col("event_type") == "signup", "session_no", chunk=F.col("span"))
     return marked.select("event_id", F.col("session_no").cast("string").alias("session_no"))
 
 
@@ -81,12 +81,12 @@ def subgroup_backfill(t):
 @query("op_ffill", """select event_id, last_value(case when event_type = 'purchase' then value end ignore nulls) over (partition by user_id order by ts, event_id rows unbounded preceding) as balance from events""")
 def ffill(t):
     v = F.when(F.col("event_type") == "purchase", F.col("value"))
-    return w.ffill(t.events, ["user_id"], ["ts", "event_id"], v, "balance", chunk=F.to_date("ts")).select("event_id", "balance")
+    return w.ffill(w.time_chunks(t.events, ["user_id"], "ts", "span"), ["user_id"], ["ts", "event_id"], v, "balance", chunk=F.col("span")).select("event_id", "balance")
 
 
 @query("op_running_sum", """select event_id, cast(sum(cast(value as decimal(18,2))) over (partition by user_id order by ts, event_id rows unbounded preceding) as double) as balance from events""")
 def running_sum(t):
-    summed = w.running_sum(t.events, ["user_id"], ["ts", "event_id"], F.col("value").cast("decimal(18,2)"), "balance", chunk=F.to_date("ts"))
+    summed = w.running_sum(w.time_chunks(t.events, ["user_id"], "ts", "span"), ["user_id"], ["ts", "event_id"], F.col("value").cast("decimal(18,2)"), "balance", chunk=F.col("span"))
     return summed.select("event_id", F.col("balance").cast("double").alias("balance"))
 
 
