@@ -131,7 +131,9 @@ def contains_any(df: DataFrame, text: str, patterns: DataFrame, pattern: str, ca
         return F.when(F.length("_low") >= n, F.array_distinct(whole)).otherwise(F.array().cast("array<string>"))
 
     cut = df.withColumn("_low", low).filter(F.col("_low").isNotNull())
-    cut = cut.withColumn("_piece", F.explode(F.concat(F.array(F.lit("")), *[pieces(n) for n in range(1, PIECE + 1)])))
+    used = sorted(r[0] for r in keyed.select(F.length("_head")).distinct().collect())  # PIECE + 1 lengths at most
+    empty = F.array().cast("array<string>")
+    cut = cut.withColumn("_piece", F.explode(F.concat(empty, *[pieces(n) if n else F.array(F.lit("")) for n in used])))
     hits = cut.join(keyed, F.col("_piece") == F.col("_head")).filter(F.col("_low").contains(F.lower(F.col(pattern))))
     return hits.drop("_piece", "_head", "_low")
 

@@ -83,15 +83,17 @@ def time_chunks(df: DataFrame, part: list[str], ts: str, out: str, size: int = C
     or seconds, whichever its fullest hour calls for. The unit is the same all day, so chunks never decrease. Rows
     without a time make the last chunk, as they come last in the order.
 
-    Rows are counted by (group, hour) first; only days that are too full come back to the rows, by a join on a table
-    of at most rows / size entries, and without such a day there is no join.
+    Rows are counted by (group, day) first; only days that are too full are counted by hour and come back to the
+    rows, by a join on a table of at most rows / size entries. Without such a day there is no join.
     """
     day, last = F.date_trunc("day", F.col(ts)), F.lit("9999-12-31").cast("timestamp")
-    hours = df.groupBy(*part, F.date_trunc("hour", F.col(ts)).alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
-    days = hours.groupBy(*part, F.date_trunc("day", "_h").alias("_d")).agg(F.sum("_n").alias("_n"), F.max("_n").alias("_top"))
-    full = days.filter(F.col("_n") > size)
-    if full.isEmpty():
+    counted = df.groupBy(*part, day.alias("_d")).agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") > size) & F.col("_d").isNotNull())
+    if counted.isEmpty():
         return df.withColumn(out, F.coalesce(day, last))
+    counted = staged(counted.drop("_n").withColumn("_full", F.lit(True)), "full_days")
+    near = _join_carry(df.select(*part, F.col(ts).alias("_t")).withColumn("_d", F.date_trunc("day", "_t")), counted, [*part, "_d"], ["_full"]).filter("_full")
+    hours = near.groupBy(*part, "_d", F.date_trunc("hour", "_t").alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+    full = hours.groupBy(*part, "_d").agg(F.max("_n").alias("_top"))
     unit = F.when(F.col("_top") <= size, "hour").when(F.col("_top") <= size * 15, "minute").otherwise("second")
     full = staged(full.withColumn("_unit", unit), "full_days")
     rows = _join_carry(df.withColumn("_d", day), full, [*part, "_d"], ["_unit"])
