@@ -5,7 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from tidemark.plans.evm import core
-from tidemark.registry import evm
+from tidemark.registry import buses, evm
 from tidemark.registry.base import Tables
 from tidemark.session import staged
 
@@ -56,3 +56,10 @@ def test_receipts_lie_by_place_only(spark):
     out = core.latest_receipts(raw)
     assert sorted((r["block_number"], r["tx_hash"]) for r in out.collect()) == [(7, "0xb"), (8, "0xa")]
     assert "moved_receipts" in " ".join(out.inputFiles())
+
+
+def test_riders_are_read_in_steps(spark, folder):
+    """Words are cut once a row, however many fields are read from them."""
+    plan = buses.q_riders(Tables(spark, folder))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    assert plan.count("regexp_extract(") <= 6
