@@ -5,7 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from tidemark.plans.evm import core
-from tidemark.registry import buses, evm
+from tidemark.registry import buses, evm, markets
 from tidemark.registry.base import Tables
 from tidemark.session import staged
 
@@ -63,3 +63,12 @@ def test_riders_are_read_in_steps(spark, folder):
     plan = buses.q_riders(Tables(spark, folder))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") == 1
     assert plan.count("regexp_extract(") <= 6
+
+
+def test_swaps_are_stored_between_lookups(spark, folder):
+    """The last job sends swaps for one lookup only; the logs behind them are gone."""
+    t = Tables(spark, folder)
+    out = markets.q_complete(t)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= 1
+    assert not {"swap_logs", "lines"} & set(t._tables)
+    assert out.count() > 0
