@@ -5,7 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from tidemark.plans.evm import core
-from tidemark.registry import buses, evm, markets
+from tidemark.registry import buses, evm, interfaces, markets
 from tidemark.registry.base import Tables
 from tidemark.session import staged
 
@@ -72,3 +72,14 @@ def test_swaps_are_stored_between_lookups(spark, folder):
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= 1
     assert not {"swap_logs", "lines"} & set(t._tables)
     assert out.count() > 0
+
+
+def test_interface_versions_are_sent_once(spark, folder):
+    """Both choices and the block ranges find the rows where one exchange put them; lines are stored without hashes."""
+    t = Tables(spark, folder)
+    out = interfaces.q_complete(t)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    executed = out._jdf.queryExecution().executedPlan().toString()
+    last = executed[:executed.index("Union")]
+    assert plan.count("Window ") >= 2 and last.count("Exchange") == 1
+    assert "tx_hash" not in t._tables["call_lines"].columns

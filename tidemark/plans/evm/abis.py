@@ -192,7 +192,8 @@ def complete_event_abis(flat: DataFrame, proxy_rows: DataFrame) -> DataFrame:
         *cols, F.lit(None).cast("timestamp_ntz").alias("proxy_inserted_timestamp"), F.lit(0).cast("bigint").alias("start_block"), F.lit(None).cast("bigint").alias("proxy_created_block"),
         F.col("contract_address").alias("parent_contract_address"), F.lit(3).alias("priority"))
     ties = [newest(STAMP), F.col("proxy_created_block").desc_nulls_last(), F.col("proxy_inserted_timestamp").desc_nulls_last(), "abi"]
-    rows = union_all([impl, own, rest])
+    # sent once by what the keys of all three steps share
+    rows = union_all([impl, own, rest]).repartition("parent_contract_address", "event_signature")
     best = dedup_priority(rows, ["parent_contract_address", "name", "event_type", "event_signature", "start_block"], F.col("priority"), ties)
     once = dedup_latest(best, ["parent_contract_address", "event_name", "event_signature", "start_block"], [newest(STAMP), "abi"])
     # versions of one event are few per contract: a plain window

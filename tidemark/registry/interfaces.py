@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import hexwords as h
 from ..plans.evm import abis
 from .base import VIEWS, query
-from .evm import addr, address, lines
+from .evm import _lines, addr, address
 
 PROXY = 10**9
 
@@ -60,6 +60,11 @@ def submitted(t) -> DataFrame:
         address("p_partkey").alias("contract_address"), F.to_json(F.array(event, call)).alias("abi"), F.concat(F.lit("user"), F.col("version").cast("string")).alias("discord_username"), stamp.alias(abis.STAMP), (F.col("p_partkey") % 25 == 0).alias("duplicate_abi"))
 
 
+def lines(t) -> DataFrame:
+    """The line items with the columns that calls and logs are made of, hashes left out."""
+    return t.table("call_lines", lambda: _lines(t).select("l_partkey", "l_suppkey", "l_linenumber", "qty", "l_returnflag", "block_number", "ts"))
+
+
 def delegations(t) -> DataFrame:
     """Suppliers delegate to the parts of their lines; large lines call move()."""
     move = F.sha2(F.lit("move(uint256,address)"), 256)
@@ -72,7 +77,9 @@ def emitted(t) -> DataFrame:
     """Odd lines log at the proxy, even ones at the part, the part's event each."""
     at = F.when(F.col("l_linenumber") % 2 == 1, address(F.col("l_suppkey") + PROXY)).otherwise(address("l_partkey"))
     text = F.concat(_event_name(), F.lit("(uint256,address)"))
-    return lines(t).join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(at.alias("contract_address"), F.concat(F.lit("0x"), F.sha2(text, 256)).alias("topic_0"))
+    # a hash for each part, not for each line
+    topics = t.table("part_topics", lambda: t.part.select("p_partkey", F.concat(F.lit("0x"), F.sha2(text, 256)).alias("topic_0")))
+    return lines(t).join(topics, F.col("l_partkey") == F.col("p_partkey")).select(at.alias("contract_address"), "topic_0")
 
 
 def accepted(t) -> DataFrame:
