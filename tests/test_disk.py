@@ -5,7 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from tidemark.plans.evm import core
-from tidemark.registry import buses, evm, interfaces, markets
+from tidemark.registry import buses, evm, interfaces, markets, scoring
 from tidemark.registry.base import Tables
 from tidemark.session import staged
 
@@ -83,3 +83,10 @@ def test_interface_versions_are_sent_once(spark, folder):
     last = executed[:executed.index("Union")]
     assert plan.count("Window ") >= 2 and last.count("Exchange") == 1
     assert "tx_hash" not in t._tables["call_lines"].columns
+
+
+def test_scores_store_what_they_read(spark, folder):
+    other = scoring.chain(Tables(spark, folder))
+    for name, df in zip(("transactions", "logs", "traces"), scoring.chain_tables(other)):
+        assert df.columns == scoring.READ[name] and df.count() > 0
+    assert not {"blocks", "receipts", "latest_transactions"} & set(other._tables)
