@@ -4,6 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.plans.evm import core
 from tidemark.registry import buses, evm, interfaces, markets, scoring
 from tidemark.registry.base import Tables
@@ -90,3 +91,13 @@ def test_scores_store_what_they_read(spark, folder):
     for name, df in zip(("transactions", "logs", "traces"), scoring.chain_tables(other)):
         assert df.columns == scoring.READ[name] and df.count() > 0
     assert not {"blocks", "receipts", "latest_transactions"} & set(other._tables)
+
+
+def test_heal_stores_only_what_it_reads(spark, folder):
+    """The swaps behind the stored ones are gone, and addresses that healing does not read were never stored."""
+    t = Tables(spark, folder)
+    before = set(session._written)
+    assert markets.q_heal(t).count() > 0
+    new = [p.rsplit("/", 1)[-1] for p in session._written if p not in before]
+    assert sum(n.startswith("swaps-") for n in new) == 1 and not any(n.startswith("swaps_of_protocol") for n in new)
+    assert not {"sender", "tx_to", "origin_from_address", "_log_id"} & set(t._tables["stored_swaps"].columns)
