@@ -5,7 +5,8 @@ import time
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.plans.evm import core
+from tidemark.operators import increments as inc
+from tidemark.plans.evm import core, dex
 from tidemark.registry import buses, evm, interfaces, markets, scoring
 from tidemark.registry.base import Tables
 from tidemark.session import staged
@@ -101,3 +102,37 @@ def test_heal_stores_only_what_it_reads(spark, folder):
     new = [p.rsplit("/", 1)[-1] for p in session._written if p not in before]
     assert sum(n.startswith("swaps-") for n in new) == 1 and not any(n.startswith("swaps_of_protocol") for n in new)
     assert not {"sender", "tx_to", "origin_from_address", "_log_id"} & set(t._tables["stored_swaps"].columns)
+
+
+def test_swaps_are_healed_in_parts(spark, folder, monkeypatch):
+    """No step of the swaps gets many more rows at a time than a part holds, and the parts give what the whole gives."""
+    whole = sorted(map(str, markets.q_heal(Tables(spark, folder)).collect()))
+    got = {"newest_swaps": [], "enrich_swaps": []}
+
+    def spy(name):
+        real = getattr(dex, name)
+
+        def run(*args, **kw):
+            sources = args[:3] if name == "newest_swaps" else args[:1]
+            got[name].append(sum(df.count() for df in sources))
+            return real(*args, **kw)
+
+        monkeypatch.setattr(dex, name, run)
+
+    for name in got:
+        spy(name)
+    monkeypatch.setattr(dex, "PART", 4000)
+    assert sorted(map(str, markets.q_heal(Tables(spark, folder)).collect())) == whole
+    assert all(max(n) < 1.25 * 4000 for n in got.values())
+    assert sum(got["newest_swaps"]) == len(whole) < sum(got["enrich_swaps"]) <= 2 * len(whole)
+
+
+def test_ranges_hold_every_row_once(spark):
+    """Nulls and equal values included."""
+    rows = [(i, v) for i, v in enumerate([None] * 7 + [5] * 60 + list(range(100)))]
+    df = spark.createDataFrame(rows, "id int, v long")
+    parts = [[r["id"] for r in df.filter(c).collect()] for c in inc.ranges(df, "v", 40)]
+    assert len(parts) > 2 and sorted(sum(parts, [])) == list(range(len(rows)))
+    assert all(len({i in p for i in range(7, 67)}) == 1 for p in parts)
+    for some, n in ((df.filter("v is null"), 7), (df.filter("false"), 0)):
+        assert [some.filter(c).count() for c in inc.ranges(some, "v", 3)] == [n]
