@@ -191,6 +191,16 @@ def test_tuples_of_any_depth(spark):
     assert got == {**{f"f{i}": f"f{i}({text})" for i, (_, text) in enumerate(cases * 2)}, "none": "none()"}
 
 
+def test_signatures_are_spelled_in_the_row(spark):
+    """Nothing is joined or sent, so nothing can reach the driver, however many interfaces there are."""
+    df = spark.createDataFrame([("f", nested(3)[0])], "name string, inputs string")
+    plan = abis.with_signature(df, "s")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    odd = [("[{}, 5, null, {\"type\": \"tuple\"}, {\"type\": \"tuple[2]\", \"components\": 7}, {\"type\": \"bool\"}]", "f((),()[2],bool)"), ("{\"type\": \"bool\"}", "f()"), ("", "f()")]
+    got = {r.inputs: r.s for r in abis.with_signature(spark.createDataFrame([("f", i) for i, _ in odd], "name string, inputs string"), "s").collect()}
+    assert got == dict(odd)
+
+
 def test_submissions_are_counted_by_signature(spark, calls, logs):
     abi = json.dumps([{"type": "event", "name": n, "inputs": [{"type": "uint256", "name": "x"}]} for n in ("A", "B", "C")] + [{"type": "function", "name": "f", "inputs": [], "outputs": []}])
     words = spark.createDataFrame([("A(uint256)", "0xa"), ("B(uint256)", "0xb"), ("C(uint256)", "0xc"), ("f()", "0x12345678aa")], "signature string, topic string")

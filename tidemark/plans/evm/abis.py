@@ -22,45 +22,45 @@ EARLY = "2000-01-01 00:00:00"
 ABI = ["contract_address", "data", STAMP, "abi_source", "discord_username", "abi_hash"]
 
 
-def type_texts(inputs: DataFrame) -> DataFrame:
-    """inputs → inputs, types: the canonical type of each parameter, a row for each different text.
+def type_texts(inputs: Column) -> Column:
+    """The canonical types of an interface's parameters, separated by commas; empty where there are none.
 
-    A tuple is spelled out by its components, keeping an array suffix. Levels are opened one after the other, each
-    from the tuples of the one above, and folded from the deepest up, so tuples nest as deep as they like; below the
-    first level there is next to nothing to do.
+    A tuple is spelled out by its components, keeping an array suffix. The parameters are pieces of text in order, of
+    which tuples still hold their components; each step opens those in their place, so tuples nest as deep as they
+    like. Every opened tuple has a brace of its own, which bounds the steps; all of it happens within the row.
     """
-    def opened(rows: DataFrame, items: str, path: Column) -> DataFrame:
-        each = flatten(rows, items, "_i", "_p")
-        get = lambda p, t: F.try_variant_get("_p", p, t)
-        return each.select("inputs", F.concat(path, F.array(F.col("_i").cast("int"))).alias("path"), get("$.type", "string").alias("type"), get("$.components", "array<variant>").alias("components"))
-
-    texts = inputs.select("inputs").filter(F.col("inputs").isNotNull()).distinct()
-    top = texts.withColumn("_l", F.try_variant_get(F.try_parse_json("inputs"), "$", "array<variant>"))
-    levels = [opened(top, "_l", F.array().cast("array<int>"))]
-    while not (tuples := levels[-1].filter(F.col("type").startswith("tuple"))).isEmpty():
-        levels.append(staged(opened(tuples, "components", F.col("path")), "tuple_components"))
-    typed = levels.pop().drop("components")
-    while levels:
-        parts = _joined(typed, F.slice("path", 1, F.size("path") - 1), "_path").withColumn("_parts", F.array_join("types", ",")).drop("types")
-        above = levels.pop()
-        spelled = F.concat(F.lit("("), F.coalesce("_parts", F.lit("")), F.lit(")"), F.regexp_replace("type", "^tuple", ""))
-        above = above.join(parts.withColumnRenamed("inputs", "_inputs"), (F.col("inputs") == F.col("_inputs")) & (F.col("path") == F.col("_path")), "left")
-        typed = above.select("inputs", "path", F.when(F.col("type").startswith("tuple"), spelled).otherwise(F.col("type")).alias("type"))
-    return _joined(typed, F.lit(0), "_top").select("inputs", "types")
-
-
-def _joined(rows: DataFrame, parent: Column, name: str) -> DataFrame:
-    """The types below each parent, in order. A parameter without a type adds nothing."""
-    grouped = rows.groupBy("inputs", parent.alias(name)).agg(F.array_sort(F.collect_list(F.struct("path", "type"))).alias("_t"))
-    return grouped.select("inputs", name, F.array_compact(F.transform("_t", lambda x: x["type"])).alias("types"))
+    def pieces(items: Column) -> Column:
+        read = F.transform(items, lambda p: F.struct(F.try_variant_get(p, "$.type", "string").alias("text"), p.alias("of")))
+        named = F.filter(read, lambda p: p["text"].isNotNull())
+
+        def piece(p: Column, i: Column) -> Column:
+            comma = F.when(i > 0, F.lit(",")).otherwise(F.lit(""))
+            inside = F.when(p["text"].startswith("tuple"), F.coalesce(F.try_variant_get(p["of"], "$.components", "array<variant>"), none))
+            return F.struct(F.concat(comma, p["text"]).alias("text"), inside.alias("inside"))
+
+        return F.transform(named, piece)
+
+    none = F.array().cast("array<variant>")
+    kind = "struct<text:string,inside:array<variant>>"
+    done = lambda text: F.array(F.struct(text.alias("text"), F.lit(None).cast("array<variant>").alias("inside")))
+
+    def opened(p: Column) -> Column:
+        head, tail = F.concat(F.regexp_extract(p["text"], "^,?", 0), F.lit("(")), F.concat(F.lit(")"), F.regexp_replace(p["text"], "^,?tuple", ""))
+        return F.when(p["inside"].isNull(), F.array(p)).otherwise(F.concat(done(head), pieces(p["inside"]), done(tail)))
+
+    def closed(x: Column) -> Column:
+        return ~F.exists(x, lambda p: p["inside"].isNotNull())
+
+    top = pieces(F.coalesce(F.try_variant_get(F.try_parse_json(inputs), "$", "array<variant>"), none)).cast(f"array<{kind}>")
+    steps = F.sequence(F.lit(1), F.greatest(F.regexp_count(inputs, F.lit("[{]")), F.lit(1)))
+    flat = F.aggregate(steps, top, lambda x, _: F.when(closed(x), x).otherwise(F.flatten(F.transform(x, opened))).cast(f"array<{kind}>"))
+    return F.array_join(F.transform(flat, lambda p: p["text"]), "")
 
 
 def with_signature(rows: DataFrame, name: str) -> DataFrame:
     """Rows (name, inputs) with a column: name(type,type,…)."""
-    rows = staged(rows, "interface_items")
-    texts = type_texts(rows).withColumnRenamed("inputs", "_inputs")
-    out = rows.join(texts, F.col("inputs") == F.col("_inputs"), "left")
-    return out.withColumn(name, F.concat("name", F.lit("("), F.coalesce(F.array_join("types", ","), F.lit("")), F.lit(")"))).drop("_inputs", "types")
+    types = F.when(F.col("inputs").contains("{"), type_texts(F.col("inputs")))
+    return rows.withColumn(name, F.concat("name", F.lit("("), F.coalesce(types, F.lit("")), F.lit(")")))
 
 
 def input_types(inputs: Column) -> Column:
