@@ -144,6 +144,22 @@ def test_contains_any_odd_texts(spark):
     assert tuples(joins.contains_any(df, "n", pats, "p"), "n", "p") == [("", ""), ("x\u0130\u0130ab", ""), ("x\u0130\u0130ab", "ab")]
 
 
+def test_contains_any_never_sends_rows(spark, folder, monkeypatch):
+    """Pieces of texts look as small as the texts. Few patterns are sent to them, many are met by a shuffle."""
+    from tidemark.registry import QUERIES
+
+    texts = spark.read.parquet(f"{folder}/part.parquet").select("p_partkey", "p_name")
+    words = spark.read.parquet(f"{folder}/orders.parquet").select(F.substring("o_orderpriority", 3, 3).alias("w")).distinct().unionByName(texts.select(F.regexp_extract("p_name", "([^ ]+)$", 1).alias("w")).distinct())
+    few = joins.contains_any(texts, "p_name", words, "w")
+    assert "BroadcastHashJoin" in plan(few) and "BuildRight" in plan(few)
+    want = tuples(few, "p_partkey", "w")
+    monkeypatch.setattr(joins, "MOST_SENT", 10)
+    many = joins.contains_any(texts, "p_name", words, "w")
+    assert "BroadcastHashJoin" not in plan(many)
+    assert tuples(many, "p_partkey", "w") == want and want
+    assert "BroadcastHashJoin" not in plan(QUERIES["op_join_ilike"](spark, folder))
+
+
 def test_contains_any_without_patterns(spark):
     df = spark.createDataFrame([("a",)], "n string")
     assert joins.contains_any(df, "n", spark.createDataFrame([], "p string"), "p").count() == 0
