@@ -386,6 +386,27 @@ def test_transfer_metrics_and_daily_features(spark, logs, calls):
     assert receiver.nft_collection_addresses == ["0xnft"] and receiver.gaming_nft_collection_addresses == ["0xnft"]
 
 
+def test_trailing_counts_leave_no_address_out(spark):
+    """A user's day with more addresses of each kind than the daily lists hold; the next day repeats some of them."""
+    n, day = S.CAP + 5, date(2024, 1, 1)
+    cols = "block_date date, block_timestamp timestamp_ntz, tx_hash string, index long, action_type string, metric_name string, origin_from_address string, origin_to_address string, token_from_address string, token_to_address string, contract_address string, complex_tx boolean, to_address_is_contract boolean"
+    acts = []
+    for d, count in ((0, n), (1, 10)):
+        at = (day + timedelta(days=d), T0 + timedelta(days=d))
+        for i in range(count):
+            acts.append((*at, f"t{d}-{i}", -1, "tx", None, "0xuser", f"0xc{i}", None, None, None, False, True))
+            acts.append((*at, f"t{d}-{i}", 0, "contract_interaction", S.STAKE_TX, "0xuser", f"0xc{i}", None, None, f"0xv{i}", False, False))
+            acts.append((*at, f"t{d}-{i}", 1, "erc721_transfer", None, "0xuser", f"0xc{i}", "0xuser", "0xother", f"0xn{i}", False, False))
+    acts = spark.createDataFrame(acts, cols)
+    daily = scores.daily_counts(acts)
+    assert daily.drop("blockchain").columns == [c for c in scores.daily_features(acts).columns if c in daily.columns]
+    none = spark.createDataFrame([], "address string")
+    dates = spark.createDataFrame([(day + timedelta(days=d),) for d in (0, 1)], "block_date date")
+    out = scores.trailing_features(daily, scores.daily_addresses(acts), dates, none, none, "1")
+    got = rows(out.withColumn("score_date", F.col("score_date").cast("string")), "user_address", "score_date", "n_txn", "n_validators", "n_contracts", "n_nft_collections")
+    assert got == [("0xuser", "2024-01-01", n, n, n, n), ("0xuser", "2024-01-02", n + 10, n, n, n)]
+
+
 def test_target_days(spark):
     hours = [datetime(2024, 1, 1) + timedelta(hours=h) for h in range(24 + 23)]
     blocks = spark.createDataFrame([(x,) for x in hours], "block_timestamp timestamp_ntz")
