@@ -136,3 +136,19 @@ def test_ranges_hold_every_row_once(spark):
     assert all(len({i in p for i in range(7, 67)}) == 1 for p in parts)
     for some, n in ((df.filter("v is null"), 7), (df.filter("false"), 0)):
         assert [some.filter(c).count() for c in inc.ranges(some, "v", 3)] == [n]
+
+
+def test_payloads_are_made_once_a_row(spark, folder):
+    """A filter on a payload, or on what is read from it, does not make and read the payload a second time."""
+    t = Tables(spark, folder)
+    for raw, col in ((evm.raw_receipts(t), "data"), (evm.raw_transactions(t), "data"), (evm.raw_traces(t), "data")):
+        read = core._variant(raw.filter(F.col(col).isNotNull()), col).select(core._text("hash").alias("h")).filter("h is not null")
+        plan = read._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("StructsToJsonEvaluator") == 1 and plan.count("parseJson") == 1 and plan.count("sha2(") == 1
+
+
+def test_chain_stores_what_the_query_reads(spark, folder):
+    t = Tables(spark, folder)
+    out = evm.q_logs(t)
+    assert set(t._tables["logs"].columns) == set(out.columns) and "data" not in out.columns
+    assert "tx_hash" not in t._tables["lines"].columns and "tx_hash" in evm.lines(t).columns
