@@ -166,3 +166,10 @@ def test_bridges_work_in_parts(spark, folder, monkeypatch):
         assert sorted(map(str, QUERIES[n](spark, folder).collect())) == whole[n], n
         left = {p.rsplit("/", 1)[-1].rsplit("-", 1)[0] for p in set(session._written) - before}
         assert not left & {"lines_of_part", "bus_logs", "bus_packets", "bus_riders", "departures"}, n
+
+
+def test_decoded_maps_are_built_once(spark, folder):
+    """Dropping logs without parameters does not build their maps a second time."""
+    out = core.decoded_logs(evm.decoded(Tables(spark, folder)))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
+    assert out.count() > 0

@@ -330,7 +330,7 @@ def decoded_logs(raw: DataFrame) -> DataFrame:
     # one parameter list per log: the map is built in the row, the last of equal names wins
     flat = F.aggregate(F.filter(named, lambda e: e["value"].isNotNull() & e["key"].isNotNull()), F.expr("cast(map() as map<string,string>)"),
                        lambda m, e: F.map_concat(F.map_filter(m, lambda k, _v: k != e["key"]), F.create_map(e["key"], e["value"])))
-    out = latest.withColumn("decoded_flat", flat).drop("_p").filter(F.size("decoded_flat") > 0)
+    out = once(latest.withColumn("decoded_flat", flat).drop("_p"), "decoded_flat").filter(F.size("decoded_flat") > 0)
     return keyed(out, "decoded_logs_id", "block_number", "tx_hash", "event_index")
 
 
